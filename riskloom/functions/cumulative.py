@@ -122,19 +122,30 @@ def exact_quantiles(
     rt = running_totals(vc, value_col, ["_n"], group_cols, rows_per_bucket=rows_per_bucket)
     before = F.col("cum__n") - F.col("_n")
     last = (F.col("tot__n") - 1).cast("double")
-    probes = []
-    for i, p in enumerate(probs):
-        h = last * F.lit(float(p))
-        for side, r in ((0, F.floor(h)), (1, F.ceil(h))):
-            probes.append(F.struct(F.lit(i).alias("q_index"), F.lit(float(p)).alias("q"), h.alias("h"),
-                                   F.lit(side).alias("side"), r.cast("long").alias("r")))
-    hits = (rt.select(*group_cols, F.col(value_col).cast("double").alias("_v"), before.alias("_before"),
-                      F.col("cum__n"), F.explode(F.array(*probes)).alias("p"))
-            .where((F.col("p.r") >= F.col("_before")) & (F.col("p.r") < F.col("cum__n"))))
+    plist = F.array(*[F.lit(float(p)) for p in probs])  # a constant: folded, not per-row code
+    # A distinct value holding ranks [before, cum) serves probe i when its position h_i = last * p_i
+    # lies in (before - 1, cum).  With sorted probes those i are one contiguous range [a, b).
+    ordered = list(probs) == sorted(probs)
+    if ordered:
+        a = F.size(F.filter(plist, lambda p: last * p <= before - 1))
+        b = F.size(F.filter(plist, lambda p: last * p < F.col("cum__n")))
+        idx = F.when(b > a, F.sequence(a, b - 1)).otherwise(F.array().cast("array<int>"))
+    else:
+        idx = F.sequence(F.lit(0), F.lit(len(probs) - 1))
+    hits = rt.select(*group_cols, F.col(value_col).cast("double").alias("_v"), before.alias("_before"),
+                     F.col("cum__n"), last.alias("_last"), F.explode(idx).alias("_i"))
+    p_i = F.element_at(plist, F.col("_i") + 1)
+    hits = hits.withColumn("_q", p_i).withColumn("_h", F.col("_last") * F.col("_q"))
+    in_range = lambda r: (r >= F.col("_before")) & (r < F.col("cum__n"))
+    hits = hits.withColumn("_lo_hit", in_range(F.floor("_h"))).withColumn("_hi_hit", in_range(F.ceil("_h"))) \
+        .where(F.col("_lo_hit") | F.col("_hi_hit")) \
+        .select(*group_cols, "_v", "_lo_hit", "_hi_hit",
+                F.struct(F.col("_i").alias("q_index"), F.col("_q").alias("q"), F.col("_h").alias("h"),
+                         F.lit(0).alias("side")).alias("p"))
     res = hits.groupBy(*group_cols, F.col("p.q_index").alias("q_index"), F.col("p.q").alias("q"),
                        F.col("p.h").alias("_h")).agg(
-        F.max(F.when(F.col("p.side") == 0, F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("p.side") == 1, F.col("_v"))).alias("_vhi"))
+        F.max(F.when(F.col("_lo_hit"), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(F.col("_hi_hit"), F.col("_v"))).alias("_vhi"))
     return res.select(*group_cols, "q_index", "q",
                       (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_h") - F.floor("_h")))
                       .alias("quantile"))

@@ -142,14 +142,17 @@ def enrich(scored: DataFrame, probability: Column, f1_threshold: float, cost_thr
 
 
 def batch_summary(scored: DataFrame) -> DataFrame:
-    """One aggregate (exact median = percentile 0.5, linear).  Empty input raises at run time."""
+    """One aggregate plus a distributed exact median (linear, like pandas).  Empty input raises
+    at run time."""
+    from riskloom.functions.cumulative import exact_quantiles
     n = F.count(F.lit(1))
     high = F.count_if(F.col("risk_band") == R.BAND_HIGH)
-    return scored.agg(
+    med = exact_quantiles(scored, "predicted_probability", [0.5]) \
+        .select(F.col("quantile").alias("median_predicted_probability"), F.lit(1).alias("_one"))
+    agg = scored.agg(
         F.when(n == 0, F.raise_error(F.lit(MSG_EMPTY_SUMMARY))).otherwise(n).alias("uploaded_row_count"),
         n.alias("scored_row_count"),
         F.avg("predicted_probability").alias("average_predicted_probability"),
-        F.median("predicted_probability").alias("median_predicted_probability"),
         high.alias("high_risk_row_count"),
         (high / n).alias("high_risk_share"),
         F.sum("predicted_label_f1_threshold").alias("flagged_f1_threshold_count"),
@@ -157,6 +160,10 @@ def batch_summary(scored: DataFrame) -> DataFrame:
         F.first("selected_candidate_source").alias("selected_candidate_source"),
         F.first("f1_threshold").alias("f1_threshold"),
         F.first("cost_threshold").alias("cost_threshold"))
+    cols = ["uploaded_row_count", "scored_row_count", "average_predicted_probability", "median_predicted_probability",
+            "high_risk_row_count", "high_risk_share", "flagged_f1_threshold_count", "flagged_cost_threshold_count",
+            "selected_candidate_source", "f1_threshold", "cost_threshold"]
+    return agg.withColumn("_one", F.lit(1)).join(med, on="_one", how="left").select(*cols)
 
 
 def band_distribution(scored: DataFrame) -> DataFrame:

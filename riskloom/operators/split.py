@@ -85,8 +85,9 @@ def assign_splits(df: DataFrame, key: str, target: str | None, config: SplitConf
     else:
         stratum = q(target).cast("long")
     h = hash_order(key, config.random_state)
+    # The input is read twice (cell counts, then labels): keep it rather than recompute its lineage.
     base = df.withColumn("_stratum", stratum).withColumn("_h", h) \
-        .withColumn("_cell", F.conv(F.substring("_h", 1, prefix_len), 16, 10).cast("int"))
+        .withColumn("_cell", F.conv(F.substring("_h", 1, prefix_len), 16, 10).cast("int")).persist()
     cells = base.groupBy("_stratum", "_cell").agg(F.count(F.lit(1)).alias("_cnt")).persist()
     class_counts = {r["_stratum"]: r["n"] for r in cells.groupBy("_stratum").agg(F.sum("_cnt").alias("n")).collect()}
     if target is not None and config.stratify and None in class_counts:

@@ -171,3 +171,458 @@ def q_validation_status(spark, sf):
     "FROM cases WHERE target IS NOT NULL GROUP BY target"))
 def q_target_summary(spark, sf):
     return round_doubles(V.target_summary(cases(spark, sf), C.target))
+
+
+# ---------------------------------------------------------------- E1-E8 profiling
+def _long_sql(columns: list[str], rel: str = "cases") -> str:
+    return " UNION ALL ".join(f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS value FROM {rel}" for c in columns)
+
+
+@register("eda_shape", S.with_cases(
+    "SELECT CAST(sum(_n) AS BIGINT) AS row_count, CAST(11 AS BIGINT) AS column_count, "
+    "CAST(coalesce(sum(_n - 1), 0) AS BIGINT) AS duplicate_row_count FROM ("
+    "SELECT count(*) AS _n FROM cases GROUP BY " + ", ".join(c for c in _ALL_CASE_COLS if c != "case_id") + ") g"))
+def q_eda_shape(spark, sf):
+    """E1 + E2 over the case attributes (the key is left out so duplicates can exist)."""
+    return E.shape(cases(spark, sf).drop(C.id))
+
+
+@register("eda_target", S.with_cases(
+    "SELECT CAST(target AS BIGINT) AS value, CAST(count(*) AS BIGINT) AS count, "
+    "CAST(sum(sum(CASE WHEN target = 1 THEN 1 ELSE 0 END)) OVER () AS BIGINT) AS positive_count, "
+    "CAST(sum(sum(CASE WHEN target = 0 THEN 1 ELSE 0 END)) OVER () AS BIGINT) AS negative_count, "
+    + S.rnd6("CAST(sum(sum(CASE WHEN target = 1 THEN 1 ELSE 0 END)) OVER () AS DOUBLE) / "
+             "CAST(sum(count(*)) OVER () AS DOUBLE)") + " AS positive_rate FROM cases GROUP BY target"))
+def q_eda_target(spark, sf):
+    return round_doubles(E.target_counts(cases(spark, sf), C.target))
+
+
+@register("eda_missingness", S.with_cases(
+    "SELECT col AS \"column\", missing_count, " + S.rnd6("CAST(missing_count AS DOUBLE) / rows") + " AS missing_rate "
+    "FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS col, CAST(count(*) - count({c}) AS BIGINT) AS missing_count, CAST(count(*) AS DOUBLE) AS rows "
+        f"FROM cases" for c in _ALL_CASE_COLS) + ") m WHERE missing_count > 0"))
+def q_eda_missingness(spark, sf):
+    return round_doubles(E.missingness(cases(spark, sf)))
+
+
+_SUMMARY_P = list(E.SUMMARY_PERCENTILES)
+
+
+def _numeric_summary_sql() -> str:
+    qs = S.quantile_sql("long_cases", "col", "value", _SUMMARY_P)
+    pcols = ", ".join(f"max(CASE WHEN q_index = {i} THEN quantile END) AS {E._pname(p)}"
+                      for i, p in enumerate(_SUMMARY_P))
+    names = ["mean", "std", "min"] + [E._pname(p) for p in _SUMMARY_P] + ["max"]
+    return S.with_cases(
+        "SELECT m.col AS \"column\", " + S.rnd6("m.cnt") + " AS count, "
+        + ", ".join(f"{S.rnd6(n if n not in ('mean', 'std', 'min', 'max') else 'm.' + n)} AS {n}" for n in names)
+        + f" FROM (SELECT col, count(value) AS cnt, avg(value) AS mean, stddev_samp(value) AS std, min(value) AS min, "
+        f"max(value) AS max FROM long_cases GROUP BY col) m LEFT JOIN (SELECT col, {pcols} FROM {qs} qq GROUP BY col) p "
+        "ON m.col = p.col",
+        f"long_cases AS ({_long_sql(_ALL_CASE_COLS)})")
+
+
+@register("eda_numeric_summary", _numeric_summary_sql())
+def q_eda_numeric_summary(spark, sf):
+    return round_doubles(E.numeric_summary(cases(spark, sf)))
+
+
+_EXTREME_COLS = [c for c in _ALL_CASE_COLS if c not in ("case_id", "target")]
+
+
+def _extremes_sql() -> str:
+    qs = S.quantile_sql("long_cases", "col", "value", [0.25, 0.75, 0.99])
+    return S.with_cases(
+        "SELECT l.col AS \"column\", " + S.rnd6("min(l.value)") + " AS min, " + S.rnd6("max(b.p99)") + " AS p99, "
+        + S.rnd6("max(l.value)") + " AS max, CAST(sum(CASE WHEN l.value < b.q1 - 1.5 * (b.q3 - b.q1) OR "
+        "l.value > b.q3 + 1.5 * (b.q3 - b.q1) THEN 1 ELSE 0 END) AS BIGINT) AS iqr_outlier_count, "
+        + S.rnd6("CAST(sum(CASE WHEN l.value < b.q1 - 1.5 * (b.q3 - b.q1) OR l.value > b.q3 + 1.5 * (b.q3 - b.q1) "
+                 "THEN 1 ELSE 0 END) AS DOUBLE) / count(*)") + " AS iqr_outlier_rate "
+        f"FROM long_cases l JOIN (SELECT col, max(CASE WHEN q_index = 0 THEN quantile END) AS q1, "
+        f"max(CASE WHEN q_index = 1 THEN quantile END) AS q3, max(CASE WHEN q_index = 2 THEN quantile END) AS p99 "
+        f"FROM {qs} qq GROUP BY col) b ON l.col = b.col WHERE l.value IS NOT NULL GROUP BY l.col",
+        f"long_cases AS ({_long_sql(_EXTREME_COLS)})")
+
+
+@register("eda_extremes", _extremes_sql())
+def q_eda_extremes(spark, sf):
+    return round_doubles(E.extreme_values(cases(spark, sf), exclude=[C.id, C.target]))
+
+
+def _suspicious_sql() -> str:
+    parts = [
+        ("age_non_positive_count", "age <= 0"), ("age_below_18_count", "age < 18"),
+        ("age_above_100_count", "age > 100"), ("revolving_utilization_above_1_count", "utilization > 1"),
+        ("debt_ratio_above_5_count", "debt_ratio > 5"),
+        ("monthly_income_non_positive_count", "coalesce(income, 0.0) <= 0"),
+        ("dependents_negative_count", "coalesce(dependents, 0.0) < 0"),
+    ]
+    for c in C.delinquency:
+        parts += [(f"{c}_above_20_count", f"{c} > 20"), (f"{c}_above_50_count", f"{c} > 50")]
+    return S.with_cases("SELECT " + ", ".join(f"CAST(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT) AS {n}"
+                                              for n, cond in parts) + " FROM cases")
+
+
+@register("eda_suspicious", _suspicious_sql())
+def q_eda_suspicious(spark, sf):
+    return E.suspicious_values(cases(spark, sf), C)
+
+
+_HIST_BINS = {"age": 40, "income": 40, "debt_ratio": 40, "utilization": 40,
+              "late_30_59": 30, "late_60_89": 30, "late_90": 30}
+
+
+def _histogram_sql() -> str:
+    qs = S.quantile_sql("long_h", "col", "value", [0.99])
+    nb = "CASE " + " ".join(f"WHEN col = '{c}' THEN {n}" for c, n in _HIST_BINS.items()) + " END"
+    return S.with_cases(f"""
+SELECT col AS "column", CAST(bin AS INTEGER) AS bin,
+       {S.rnd6("CASE WHEN bin >= nb THEN hi ELSE bin * ((hi - lo) / nb) + lo END")} AS bin_left,
+       {S.rnd6("CASE WHEN bin + 1 >= nb THEN hi ELSE (bin + 1) * ((hi - lo) / nb) + lo END")} AS bin_right,
+       CAST(count(*) AS BIGINT) AS count
+FROM (
+  SELECT col, x, lo, hi, nb,
+         CASE WHEN x >= (CASE WHEN i1 + 1 >= nb THEN hi ELSE (i1 + 1) * ((hi - lo) / nb) + lo END) AND i1 <> nb - 1
+              THEN i1 + 1 ELSE i1 END AS bin
+  FROM (
+    SELECT col, x, lo, hi, nb,
+           CASE WHEN x < (CASE WHEN i0 >= nb THEN hi ELSE i0 * ((hi - lo) / nb) + lo END) THEN i0 - 1 ELSE i0 END AS i1
+    FROM (
+      SELECT c.col, c.x, r.lo, r.hi, c.nb,
+             CASE WHEN floor((c.x - r.lo) * (c.nb / (r.hi - r.lo))) >= c.nb THEN c.nb - 1
+                  ELSE floor((c.x - r.lo) * (c.nb / (r.hi - r.lo))) END AS i0
+      FROM clipped c JOIN (
+        SELECT col, CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
+                    CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi
+        FROM clipped GROUP BY col) r ON c.col = r.col
+    ) a
+  ) b
+) d
+GROUP BY col, bin, lo, hi, nb
+""", f"long_h AS ({_long_sql(list(_HIST_BINS))}), "
+     f"clipped AS (SELECT l.col, least(l.value, p.quantile) AS x, CAST({nb.replace('col', 'l.col')} AS DOUBLE) AS nb "
+     f"FROM long_h l JOIN {qs} p ON l.col = p.col WHERE l.value IS NOT NULL)")
+
+
+@register("eda_histogram", _histogram_sql())
+def q_eda_histogram(spark, sf):
+    return round_doubles(E.histogram(cases(spark, sf), list(_HIST_BINS), _HIST_BINS))
+
+
+# ---------------------------------------------------------------- P1 / P4 split
+@register("split_assignment", S.with_cases("SELECT case_id, target, split FROM split_cases", S.split_cte()))
+def q_split_assignment(spark, sf):
+    return split_cases(spark, sf).select(C.id, C.target, "split")
+
+
+@register("split_metadata", S.with_cases(
+    "SELECT split, CAST(count(*) AS BIGINT) AS row_count, CAST(count(target) AS BIGINT) AS non_null_count, "
+    "CAST(sum(CASE WHEN target = 1 THEN 1 ELSE 0 END) AS BIGINT) AS positive_count, "
+    "CAST(sum(CASE WHEN target = 0 THEN 1 ELSE 0 END) AS BIGINT) AS negative_count, "
+    + S.rnd6("CAST(sum(CASE WHEN target = 1 THEN 1 ELSE 0 END) AS DOUBLE) / count(target)")
+    + " AS positive_rate FROM split_cases GROUP BY split", S.split_cte()))
+def q_split_metadata(spark, sf):
+    return round_doubles(P.split_metadata(split_cases(spark, sf), C.target))
+
+
+# ---------------------------------------------------------------- F2-F8 features (fit on train)
+_CLIP = {c: b for c, b in C.clip_rules().items()}
+_FEAT_OUT = FEATURES + ["income_missing", "dependents_missing"]
+
+
+def _built_sql(rel: str) -> str:
+    exprs = []
+    for c in FEATURES:
+        v = f"CAST({c} AS DOUBLE)"
+        if c in _CLIP:
+            lo, hi = _CLIP[c]
+            v = f"CASE WHEN {v} IS NULL THEN NULL ELSE least(greatest({v}, CAST({lo!r} AS DOUBLE)), CAST({hi!r} AS DOUBLE)) END"
+        exprs.append(f"{v} AS {c}")
+    exprs += ["CAST(CASE WHEN income IS NULL THEN 1 ELSE 0 END AS INTEGER) AS income_missing",
+              "CAST(CASE WHEN dependents IS NULL THEN 1 ELSE 0 END AS INTEGER) AS dependents_missing"]
+    return f"SELECT case_id, target, split, {', '.join(exprs)} FROM {rel}"
+
+
+def _feature_matrix_sql() -> str:
+    qs = S.quantile_sql("(" + _long_sql(_FEAT_OUT, "(SELECT * FROM built WHERE split = 'train')") + ")", "col",
+                        "value", [0.5])
+    med = ", ".join(f"max(CASE WHEN col = '{c}' THEN quantile END) AS m_{c}" for c in _FEAT_OUT)
+    imputed = ", ".join(f"coalesce(CAST(b.{c} AS DOUBLE), md.m_{c}) AS {c}" for c in _FEAT_OUT)
+    stats = ", ".join(f"avg({c}) AS a_{c}, stddev_pop({c}) AS s_{c}" for c in _FEAT_OUT)
+    scaled = ", ".join(S.r6(f"(i.{c} - st.a_{c}) / (CASE WHEN st.s_{c} IS NULL OR st.s_{c} = 0 THEN 1.0 ELSE st.s_{c} END)", c)
+                       for c in _FEAT_OUT)
+    return S.with_cases(
+        f"SELECT i.case_id, i.split, {scaled} FROM imputed i, stats st",
+        S.split_cte() + f",\nbuilt AS ({_built_sql('split_cases')}),\n"
+        f"medians AS (SELECT {med} FROM {qs} qq),\n"
+        f"imputed AS (SELECT b.case_id, b.split, {imputed} FROM built b, medians md),\n"
+        f"stats AS (SELECT {stats} FROM imputed WHERE split = 'train')")
+
+
+def feature_frame(spark, sf) -> DataFrame:
+    """F2-F8 fitted on the train split, applied to every split (no vector column)."""
+    from riskloom.operators.features import preprocessing
+    df = split_cases(spark, sf)
+    model = preprocessing(C, output_col=None).fit(df.where(F.col("split") == "train"))
+    return model.transform(df)
+
+
+@register("feature_matrix", _feature_matrix_sql())
+def q_feature_matrix(spark, sf):
+    out = feature_frame(spark, sf)
+    return round_doubles(out.select(C.id, "split", *[F.col(c).cast("double").alias(c) for c in _FEAT_OUT]))
+
+
+# ---------------------------------------------------------------- I1 / I3 class weights
+@register("class_weights", S.with_cases(
+    "SELECT CAST(pos AS BIGINT) AS positive_count, CAST(neg AS BIGINT) AS negative_count, "
+    + S.rnd6("CAST(neg AS DOUBLE) / pos") + " AS scale_pos_weight, "
+    + S.rnd6("CAST(pos + neg AS DOUBLE) / (2.0 * pos)") + " AS balanced_weight_positive, "
+    + S.rnd6("CAST(pos + neg AS DOUBLE) / (2.0 * neg)") + " AS balanced_weight_negative "
+    "FROM (SELECT sum(CASE WHEN target = 1 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN target = 0 THEN 1 ELSE 0 END) AS neg "
+    "FROM split_cases WHERE split = 'train') t", S.split_cte()))
+def q_class_weights(spark, sf):
+    from riskloom.operators.imbalance import class_weight_summary
+    return round_doubles(class_weight_summary(split_cases(spark, sf).where(F.col("split") == "train"), C.target))
+
+
+# ---------------------------------------------------------------- K2-K13 metrics
+def _metrics_oracle(group: str | None, src: str = "scored", threshold: str = "CAST(0.5 AS DOUBLE)") -> str:
+    keep = ([group] if group else []) + S.METRIC_LONGS
+    return S.round_select(S.metrics_sql(src, group, threshold), keep, S.METRIC_DOUBLES)
+
+
+@register("metrics_by_split", S.with_cases(_metrics_oracle("split"), S.scored_cte()))
+def q_metrics_by_split(spark, sf):
+    return round_doubles(K.binary_metrics(scored_cases(spark, sf), C.target, "score", 0.5, ["split"]))
+
+
+def _curve_rt_sql() -> str:
+    return ("SELECT split, s, pos, neg, "
+            "CAST(sum(pos) OVER (PARTITION BY split ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cum_pos, "
+            "CAST(sum(neg) OVER (PARTITION BY split ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cum_neg, "
+            "CAST(sum(pos) OVER (PARTITION BY split) AS DOUBLE) AS tot_pos, CAST(sum(neg) OVER (PARTITION BY split) AS DOUBLE) AS tot_neg, "
+            "lead(pos) OVER (PARTITION BY split ORDER BY s DESC) AS next_pos, lead(neg) OVER (PARTITION BY split ORDER BY s DESC) AS next_neg, "
+            "row_number() OVER (PARTITION BY split ORDER BY s DESC) AS rn "
+            "FROM (SELECT split, score AS s, CAST(sum(CASE WHEN target = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pos, "
+            "CAST(sum(CASE WHEN target = 0 THEN 1 ELSE 0 END) AS BIGINT) AS neg FROM scored GROUP BY split, score) g")
+
+
+@register("pr_curve", S.with_cases(
+    "SELECT split, " + S.rnd6("s") + " AS threshold, " + S.rnd6("cum_pos / (cum_pos + cum_neg)") + " AS precision, "
+    + S.rnd6("coalesce(cum_pos / nullif(tot_pos, 0), 1.0)") + " AS recall FROM rt "
+    "UNION ALL SELECT DISTINCT split, CAST(NULL AS DOUBLE), 1.0, 0.0 FROM rt",
+    S.scored_cte() + f",\nrt AS ({_curve_rt_sql()})"))
+def q_pr_curve(spark, sf):
+    return round_doubles(K.precision_recall_curve(scored_cases(spark, sf), C.target, "score", ["split"]))
+
+
+@register("roc_curve", S.with_cases(
+    "SELECT split, " + S.rnd6("s") + " AS threshold, " + S.rnd6("cum_neg / tot_neg") + " AS false_positive_rate, "
+    + S.rnd6("cum_pos / tot_pos") + " AS true_positive_rate FROM rt "
+    "WHERE rn = 1 OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg "
+    "UNION ALL SELECT DISTINCT split, CAST('inf' AS DOUBLE), 0.0, 0.0 FROM rt",
+    S.scored_cte() + f",\nrt AS ({_curve_rt_sql()})"))
+def q_roc_curve(spark, sf):
+    return round_doubles(K.roc_curve(scored_cases(spark, sf), C.target, "score", ["split"]))
+
+
+# ---------------------------------------------------------------- T1-T7 thresholds
+_GRID_P = T.grid_probs(R.DEFAULT_MAX_CANDIDATES)
+
+
+def _grid_sql() -> str:
+    qs = S.quantile_sql("(SELECT 'v' AS g, score FROM scored WHERE split = 'validation')", "g", "score", _GRID_P)
+    fixed = " UNION ALL ".join(f"SELECT CAST({v!r} AS DOUBLE)" for v in R.FIXED_THRESHOLD_CANDIDATES)
+    return (f"SELECT DISTINCT least(1.0, greatest(0.0, t)) AS threshold FROM "
+            f"(SELECT quantile AS t FROM {qs} qq UNION ALL {fixed}) u")
+
+
+@register("threshold_grid", S.with_cases("SELECT " + S.rnd6("threshold") + " AS threshold FROM grid",
+                                         S.scored_cte() + f",\ngrid AS ({_grid_sql()})"))
+def q_threshold_grid(spark, sf):
+    val = scored_cases(spark, sf).where(F.col("split") == "validation")
+    return round_doubles(T.candidate_grid(val, "score"))
+
+
+def _sweep_sql(rel: str = "scored", split: str = "validation") -> str:
+    return f"""SELECT threshold, CAST(N - fp AS BIGINT) AS tn, CAST(fp AS BIGINT) AS fp, CAST(P - tp AS BIGINT) AS fn,
+  CAST(tp AS BIGINT) AS tp, coalesce(tp / nullif(tp + fp, 0), 0.0) AS precision,
+  coalesce(tp / nullif(P, 0), 0.0) AS recall, coalesce(2.0 * tp / nullif(2.0 * tp + fp + (P - tp), 0), 0.0) AS f1,
+  (tp + N - fp) / (P + N) AS accuracy, CAST(P + N AS BIGINT) AS row_count
+FROM (SELECT g.threshold, CAST(coalesce(sum(CASE WHEN v.score >= g.threshold AND v.target = 1 THEN 1 ELSE 0 END), 0) AS DOUBLE) AS tp,
+             CAST(coalesce(sum(CASE WHEN v.score >= g.threshold AND v.target = 0 THEN 1 ELSE 0 END), 0) AS DOUBLE) AS fp,
+             CAST(sum(CASE WHEN v.target = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS P,
+             CAST(sum(CASE WHEN v.target = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS N
+      FROM grid g, (SELECT * FROM {rel} WHERE split = '{split}') v GROUP BY g.threshold) c"""
+
+
+_SWEEP_DOUBLES = ["threshold", "precision", "recall", "f1", "accuracy"]
+_SWEEP_LONGS = ["tn", "fp", "fn", "tp", "row_count"]
+
+
+def _val_sweep(spark, sf):
+    val = scored_cases(spark, sf).where(F.col("split") == "validation")
+    return T.threshold_sweep(val, C.target, "score", T.candidate_grid(val, "score"))
+
+
+@register("threshold_sweep", S.with_cases(S.round_select(f"({_sweep_sql()})", _SWEEP_LONGS, _SWEEP_DOUBLES),
+                                          S.scored_cte() + f",\ngrid AS ({_grid_sql()})"))
+def q_threshold_sweep(spark, sf):
+    return round_doubles(_val_sweep(spark, sf))
+
+
+@register("threshold_leaderboard", S.with_cases(
+    S.round_select("(SELECT * FROM (SELECT *, CAST(row_number() OVER (ORDER BY f1 DESC, recall DESC, threshold ASC) AS INTEGER) AS rank, "
+                   "f1 AS objective_value, CAST(count(*) OVER () AS BIGINT) AS candidate_count, "
+                   "CAST(count(*) OVER () AS BIGINT) AS feasible_candidate_count, 'constraints_satisfied' AS status "
+                   f"FROM ({_sweep_sql()}) sw) r0 WHERE rank <= 10)",
+                   _SWEEP_LONGS + ["rank", "candidate_count", "feasible_candidate_count", "status"],
+                   _SWEEP_DOUBLES + ["objective_value"]),
+    S.scored_cte() + f",\ngrid AS ({_grid_sql()})"))
+def q_threshold_leaderboard(spark, sf):
+    return round_doubles(T.select_threshold(_val_sweep(spark, sf), "f1", top=10))
+
+
+@register("cost_leaderboard", S.with_cases(
+    S.round_select("(SELECT * FROM (SELECT *, CAST(row_number() OVER (ORDER BY average_cost_per_row ASC, recall DESC, threshold ASC) "
+                   "AS INTEGER) AS rank FROM (SELECT *, CAST(fp * 1.0 + fn * 5.0 AS DOUBLE) AS total_cost, "
+                   "CAST(fp * 1.0 + fn * 5.0 AS DOUBLE) / row_count AS average_cost_per_row "
+                   f"FROM ({_sweep_sql()}) sw) c) r0 WHERE rank <= 10)",
+                   _SWEEP_LONGS + ["rank"], _SWEEP_DOUBLES + ["total_cost", "average_cost_per_row"]),
+    S.scored_cte() + f",\ngrid AS ({_grid_sql()})"))
+def q_cost_leaderboard(spark, sf):
+    return round_doubles(T.select_cost_threshold(T.business_cost(_val_sweep(spark, sf), 1.0, 5.0), top=10))
+
+
+# ---------------------------------------------------------------- B1-B9 batch scoring
+from riskloom.functions.columns import NUMERIC_PATTERN  # noqa: E402
+from riskloom.operators import scoring as B  # noqa: E402
+from riskloom.sources.applications import applications_sql, load_applications  # noqa: E402
+from riskloom.sources.cases import fixed_score  # noqa: E402
+
+# FIXED VALUES: the decision thresholds and candidate source of the reference's published artifacts.
+F1_THRESHOLD = 0.19962999820709218
+COST_THRESHOLD = 0.13704658508300782
+SOURCE = "reference_candidate"
+_APP_COLS = ["case_id", *FEATURES, "customer_ref"]
+
+
+def _lit(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _norm_sql(c: str) -> tuple[str, str]:
+    role = C.role_of(c)
+    text = f"trim(CAST({c} AS VARCHAR))"
+    blank = f"({c} IS NULL OR {text} = '' OR lower({text}) = 'nan')"
+    parsed = f"(CASE WHEN regexp_matches({text}, '{NUMERIC_PATTERN}') THEN TRY_CAST({text} AS DOUBLE) END)"
+    infinite = f"(lower(regexp_replace({text}, '^[+-]', '')) IN ('inf', 'infinity'))"
+    optional = role in R.OPTIONAL_INPUT_ROLES
+    req = "NULL" if optional else _lit(R.MSG_FIELD_REQUIRED.format(col=c))
+    err = f"CASE WHEN {blank} THEN {req} WHEN {infinite} OR {parsed} IS NULL THEN {_lit(R.MSG_FIELD_NUMERIC.format(col=c))} "
+    if role == "age":
+        err += f"WHEN {parsed} < 18 THEN {_lit(R.MSG_AGE_MINIMUM)} "
+    elif role in R.NON_NEGATIVE_ROLES:
+        err += f"WHEN {parsed} < 0 THEN {_lit(R.MSG_FIELD_NON_NEGATIVE.format(col=c))} "
+    value = parsed
+    if role in R.INTEGER_LIKE_ROLES:
+        err += (f"WHEN abs({parsed} - round_even({parsed}, 0)) > 1e-9 "
+                f"THEN {_lit(R.MSG_FIELD_INTEGER.format(col=c))} ")
+        value = f"round_even({parsed}, 0)"
+    err += "END"
+    lo, hi = _CLIP.get(c, (None, None))
+    if lo is not None:
+        value = f"greatest({value}, CAST({lo!r} AS DOUBLE))"
+    if hi is not None:
+        value = f"least({value}, CAST({hi!r} AS DOUBLE))"
+    value = f"CASE WHEN {blank} THEN NULL ELSE {value} END"
+    if role in R.INTEGER_LIKE_ROLES:
+        value = f"CAST(round_even({value}, 0) AS BIGINT)"
+    return value, err
+
+
+def _normalized_sql() -> str:
+    vals, errs = zip(*[_norm_sql(c) for c in FEATURES])
+    cols = ", ".join(f"{v} AS n_{c}" for v, c in zip(vals, FEATURES))
+    return f"SELECT *, {cols}, coalesce({', '.join(errs)}) AS row_error FROM apps"
+
+
+def _batch_ctes() -> str:
+    score = ("CAST(floor(least(1.0, greatest(0.0, 0.3 * n_utilization + CASE WHEN n_income < 1000 THEN 0.5 ELSE 0.0 END))"
+             " * 1000.0 + 0.5) / 1000.0 AS DOUBLE)")
+    t1, t2 = f"CAST({F1_THRESHOLD!r} AS DOUBLE)", f"CAST({COST_THRESHOLD!r} AS DOUBLE)"
+    enriched = (f"SELECT {', '.join(_APP_COLS)}, p AS predicted_probability, "
+                f"CASE WHEN p < 0.1 THEN 'Low' WHEN p < {t1} THEN 'Medium' ELSE 'High' END AS risk_band, "
+                f"CAST(CASE WHEN p >= {t1} THEN 1 ELSE 0 END AS INTEGER) AS predicted_label_f1_threshold, "
+                f"CAST(CASE WHEN p >= {t2} THEN 1 ELSE 0 END AS INTEGER) AS predicted_label_cost_threshold, "
+                f"{t1} AS f1_threshold, {t2} AS cost_threshold, '{SOURCE}' AS selected_candidate_source "
+                f"FROM (SELECT *, {score} AS p FROM normalized WHERE row_error IS NULL) g")
+    return (f"apps AS ({applications_sql()}),\nnormalized AS ({_normalized_sql()}),\n"
+            f"enriched AS ({enriched})")
+
+
+def batch_enriched(spark, sf) -> DataFrame:
+    apps = load_applications(spark, sf)
+    norm = B.normalize_batch(apps, C)
+    good = norm.where(F.col("row_error").isNull())
+    p = fixed_score(B.NORM_PREFIX + C.utilization, B.NORM_PREFIX + C.income)
+    return B.enrich(good, p, F1_THRESHOLD, COST_THRESHOLD, SOURCE, apps.columns)
+
+
+@register("batch_row_errors", S.with_cases("SELECT case_id, row_error AS message FROM normalized "
+                                           "WHERE row_error IS NOT NULL", _batch_ctes()))
+def q_batch_row_errors(spark, sf):
+    return B.row_errors(B.normalize_batch(load_applications(spark, sf), C), C.id)
+
+
+_ENRICHED_DOUBLES = ["predicted_probability", "f1_threshold", "cost_threshold"]
+
+
+@register("batch_scored", S.with_cases(
+    S.round_select("enriched", _APP_COLS + ["risk_band", "predicted_label_f1_threshold",
+                                            "predicted_label_cost_threshold", "selected_candidate_source"],
+                   _ENRICHED_DOUBLES), _batch_ctes()))
+def q_batch_scored(spark, sf):
+    return round_doubles(batch_enriched(spark, sf))
+
+
+def _batch_summary_sql() -> str:
+    med = S.quantile_sql("(SELECT 'm' AS g, predicted_probability FROM enriched)", "g", "predicted_probability", [0.5])
+    return ("SELECT CAST(count(*) AS BIGINT) AS uploaded_row_count, CAST(count(*) AS BIGINT) AS scored_row_count, "
+            + S.rnd6("avg(predicted_probability)") + " AS average_predicted_probability, "
+            + S.rnd6(f"(SELECT quantile FROM {med} mq)") + " AS median_predicted_probability, "
+            "CAST(sum(CASE WHEN risk_band = 'High' THEN 1 ELSE 0 END) AS BIGINT) AS high_risk_row_count, "
+            + S.rnd6("CAST(sum(CASE WHEN risk_band = 'High' THEN 1 ELSE 0 END) AS DOUBLE) / count(*)")
+            + " AS high_risk_share, CAST(sum(predicted_label_f1_threshold) AS BIGINT) AS flagged_f1_threshold_count, "
+            "CAST(sum(predicted_label_cost_threshold) AS BIGINT) AS flagged_cost_threshold_count, "
+            "min(selected_candidate_source) AS selected_candidate_source, "
+            + S.rnd6("min(f1_threshold)") + " AS f1_threshold, " + S.rnd6("min(cost_threshold)")
+            + " AS cost_threshold FROM enriched")
+
+
+@register("batch_summary", S.with_cases(_batch_summary_sql(), _batch_ctes()))
+def q_batch_summary(spark, sf):
+    return round_doubles(B.batch_summary(batch_enriched(spark, sf)))
+
+
+@register("batch_band_distribution", S.with_cases(
+    "SELECT risk_band, CAST(count(*) AS BIGINT) AS count FROM enriched GROUP BY risk_band", _batch_ctes()))
+def q_batch_band_distribution(spark, sf):
+    return B.band_distribution(batch_enriched(spark, sf))
+
+
+@register("batch_preview", S.with_cases(
+    S.round_select("(SELECT * FROM enriched ORDER BY case_id LIMIT 50)",
+                   _APP_COLS + ["risk_band", "predicted_label_f1_threshold", "predicted_label_cost_threshold",
+                                "selected_candidate_source"], _ENRICHED_DOUBLES), _batch_ctes()))
+def q_batch_preview(spark, sf):
+    """The preview is a top-k by key (the limit is the operator)."""
+    return round_doubles(B.preview(batch_enriched(spark, sf), C.id, 50))
+
+
+@register("flagship_cost_threshold")
+def q_flagship(spark, sf):
+    from riskloom.plans.flagship import cost_threshold_question
+    return cost_threshold_question(spark, sf)
