@@ -25,6 +25,7 @@ MSG_ROW_LEVEL = "Batch dataframe failed row-level validation."
 MSG_UNEXPECTED_FIELDS = "Unexpected applicant fields: {cols}"
 MSG_EMPTY_SUMMARY = "Cannot build a batch summary for an empty scored dataframe."
 NORM_PREFIX = "_norm_"
+INFINITY_TEXT = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
 SCORE_COLUMNS = ("predicted_probability", "risk_band", "predicted_label_f1_threshold",
                  "predicted_label_cost_threshold", "f1_threshold", "cost_threshold", "selected_candidate_source")
 
@@ -72,12 +73,20 @@ def check_applicant_fields(fields: Sequence[str], raw_features: Sequence[str]) -
         raise ValueError(MSG_UNEXPECTED_FIELDS.format(cols=extra))
 
 
-def normalize_field(raw: Column, column: str, role: str | None, clip_rules: dict) -> tuple[Column, Column]:
-    """B2 for one field: (normalized value, error message or null)."""
+def _parse_stage(raw: Column, name: str) -> list[Column]:
+    """Text, blank flag and parsed number of one field, computed once per row (later rules
+    reference these columns instead of re-running the regex and the cast)."""
     text = F.trim(raw.cast("string"))
-    blank = raw.isNull() | (text == "") | (F.lower(text) == "nan")
-    parsed = F.when(text.rlike(NUMERIC_PATTERN), text.try_cast("double"))
-    infinite = F.lower(F.regexp_replace(text, "^[+-]", "")).isin("inf", "infinity")
+    return [
+        (raw.isNull() | (text == "") | (F.lower(text) == "nan")).alias(f"_blank_{name}"),
+        F.lower(text).isin(*INFINITY_TEXT).alias(f"_inf_{name}"),
+        F.when(text.rlike(NUMERIC_PATTERN), text.try_cast("double")).alias(f"_num_{name}"),
+    ]
+
+
+def normalize_field(column: str, role: str | None, clip_rules: dict, name: str) -> tuple[Column, Column]:
+    """B2 for one field from its parse stage: (normalized value, error message or null)."""
+    blank, infinite, parsed = F.col(f"_blank_{name}"), F.col(f"_inf_{name}"), F.col(f"_num_{name}")
     optional = role in R.OPTIONAL_INPUT_ROLES
     integer_like = role in R.INTEGER_LIKE_ROLES
     non_negative = role in R.NON_NEGATIVE_ROLES
@@ -108,12 +117,16 @@ def normalize_batch(df: DataFrame, cols: CreditColumns, raw_features: Sequence[s
     """Adds ``_norm_<feature>`` columns and ``row_error`` (first failing rule in column order)."""
     raw_features = list(raw_features or cols.features)
     clip_rules = cols.clip_rules() if clip_rules is None else clip_rules
-    values, errors = {}, []
+    names = {c: f"f{i}" for i, c in enumerate(raw_features)}
+    staged = df.select("*", *[e for c in raw_features for e in _parse_stage(q(c), names[c])])
+    values, errors = [], []
     for c in raw_features:
-        v, e = normalize_field(q(c), c, cols.role_of(c), clip_rules)
-        values[NORM_PREFIX + c] = v
+        v, e = normalize_field(c, cols.role_of(c), clip_rules, names[c])
+        values.append(v.alias(NORM_PREFIX + c))
         errors.append(e)
-    return df.withColumns(values).withColumn("row_error", F.coalesce(*errors))
+    helper = [f"_{k}_{names[c]}" for c in raw_features for k in ("blank", "inf", "num")]
+    return staged.select(*[q(c) for c in df.columns], *values, F.coalesce(*errors).alias("row_error")) \
+        .drop(*helper)
 
 
 def row_errors(normalized: DataFrame, key: str) -> DataFrame:

@@ -518,7 +518,7 @@ def _norm_sql(c: str) -> tuple[str, str]:
     text = f"trim(CAST({c} AS VARCHAR))"
     blank = f"({c} IS NULL OR {text} = '' OR lower({text}) = 'nan')"
     parsed = f"(CASE WHEN regexp_matches({text}, '{NUMERIC_PATTERN}') THEN TRY_CAST({text} AS DOUBLE) END)"
-    infinite = f"(lower(regexp_replace({text}, '^[+-]', '')) IN ('inf', 'infinity'))"
+    infinite = f"(lower({text}) IN ({', '.join(_lit(t) for t in B.INFINITY_TEXT)}))"
     optional = role in R.OPTIONAL_INPUT_ROLES
     req = "NULL" if optional else _lit(R.MSG_FIELD_REQUIRED.format(col=c))
     err = f"CASE WHEN {blank} THEN {req} WHEN {infinite} OR {parsed} IS NULL THEN {_lit(R.MSG_FIELD_NUMERIC.format(col=c))} "
