@@ -626,3 +626,133 @@ def q_batch_preview(spark, sf):
 def q_flagship(spark, sf):
     from riskloom.plans.flagship import cost_threshold_question
     return cost_threshold_question(spark, sf)
+
+
+# ---------------------------------------------------------------- L1-L3, V18, V19 layers
+from riskloom.operators import layers as L  # noqa: E402
+
+_FLAG_DEFS = {
+    "age_implausible_flag": "age < 18 OR age > 100",
+    "revolving_utilization_gt_1_flag": "utilization > 1.0",
+    "debt_ratio_gt_5_flag": "debt_ratio > 5.0",
+    "monthly_income_missing_flag": "income IS NULL",
+    "monthly_income_non_positive_flag": "income <= 0",
+    "dependents_missing_flag": "dependents IS NULL",
+    "dependents_negative_flag": "dependents < 0",
+    "delinquency_extreme_flag": "greatest(late_30_59, late_60_89, late_90) > 20",
+}
+
+
+def _curated_sql(rel: str = "split_cases") -> str:
+    flags = {k: f"coalesce(({v}), false)" for k, v in _FLAG_DEFS.items()}
+    summary = "concat_ws('; ', " + ", ".join(f"CASE WHEN {flags[k]} THEN '{k.removesuffix('_flag')}' END"
+                                             for k in L.WARNING_FLAGS) + ")"
+    cols = [
+        "concat(split, '-', CAST(case_id AS VARCHAR)) AS curated_record_id", "split AS source_dataset_split",
+        "'RAW' AS source_schema_name", "'raw_cases' AS source_table_name",
+        f"'{L.CURATED_SCHEMA_VERSION}' AS curated_schema_version",
+        "(case_id IS NOT NULL AND (target IS NULL OR target IN (0, 1))) AS is_valid_row",
+        "(" + " OR ".join(flags[k] for k in L.WARNING_FLAGS) + ") AS has_data_quality_warnings",
+        f"nullif({summary}, '') AS data_quality_warning_summary",
+        "CAST(case_id AS BIGINT) AS source_row_id", f"CAST(target AS INTEGER) AS {L.CURATED_NAMES['target']}",
+    ]
+    for role in R.FEATURE_ROLES:
+        dtype = "BIGINT" if role in R.INTEGER_LIKE_ROLES and role != "dependents" else "DOUBLE"
+        cols.append(f"CAST({C.col(role)} AS {dtype}) AS {L.CURATED_NAMES[role]}")
+    cols += [f"{v} AS {k}" for k, v in flags.items()]
+    return f"SELECT {', '.join(cols)} FROM {rel}"
+
+
+_CURATED_DOUBLES = [L.CURATED_NAMES[r] for r in ("utilization", "debt_ratio", "income", "dependents")]
+
+
+def curated_frame(spark, sf):
+    return L.curate(split_cases(spark, sf), C, "split", with_audit=False)
+
+
+@register("curated_cases", S.with_cases(
+    "SELECT * EXCLUDE (" + ", ".join(_CURATED_DOUBLES) + "), "
+    + ", ".join(S.r6(c, c) for c in _CURATED_DOUBLES) + f" FROM ({_curated_sql()}) cu", S.split_cte()))
+def q_curated_cases(spark, sf):
+    return round_doubles(curated_frame(spark, sf))
+
+
+def _features_layer_sql() -> str:
+    cn, fn = L.CURATED_NAMES, L.FEATURE_NAMES
+    qs = S.quantile_sql(f"(SELECT 'i' AS col, {cn['income']} AS value FROM curated WHERE source_dataset_split = 'train' "
+                        f"UNION ALL SELECT 'd', {cn['dependents']} FROM curated WHERE source_dataset_split = 'train')",
+                        "col", "value", [0.5])
+    cols = ["sha256(concat_ws('|', curated_record_id, '1.0.0')) AS feature_record_id", "curated_record_id",
+            "source_dataset_split", "'1.0.0' AS feature_schema_version", "'1.0.0' AS feature_pipeline_version",
+            cn["target"], "source_row_id"]
+    rules = L.curated_columns().clip_rules()
+    for role in R.FEATURE_ROLES:
+        src = cn[role]
+        v = src
+        if src in rules:
+            lo, hi = rules[src]
+            v = f"CASE WHEN {src} IS NULL THEN NULL ELSE least(greatest({src}, {lo!r}), {hi!r}) END"
+            v = f"CAST({v} AS BIGINT)" if role in R.INTEGER_LIKE_ROLES else f"CAST({v} AS DOUBLE)"
+        if role == "income":
+            v = f"coalesce(CAST({src} AS DOUBLE), m.mi)"
+        if role == "dependents":
+            v = f"coalesce(CAST({src} AS DOUBLE), m.md)"
+        name = fn[role]
+        cols.append(S.r6(v, name) if role in ("utilization", "debt_ratio", "income", "dependents") else f"{v} AS {name}")
+        if role == "income":
+            cols.append(f"CAST(CASE WHEN {src} IS NULL THEN 1 ELSE 0 END AS INTEGER) AS monthly_income_missing_indicator")
+        if role == "dependents":
+            cols.append(f"CAST(CASE WHEN {src} IS NULL THEN 1 ELSE 0 END AS INTEGER) AS dependents_missing_indicator")
+    for k in ("age_implausible_flag", "revolving_utilization_gt_1_flag", "debt_ratio_gt_5_flag",
+              "delinquency_extreme_flag"):
+        cols.append(f"CAST({k} AS INTEGER) AS {k}")
+    return (f"SELECT {', '.join(cols)} FROM curated, (SELECT max(CASE WHEN col = 'i' THEN quantile END) AS mi, "
+            f"max(CASE WHEN col = 'd' THEN quantile END) AS md FROM {qs} qq) m")
+
+
+def features_layer_frame(spark, sf):
+    return L.featurize(curated_frame(spark, sf), with_audit=False)
+
+
+@register("features_layer", S.with_cases(_features_layer_sql(),
+                                         S.split_cte() + f",\ncurated AS ({_curated_sql()})"))
+def q_features_layer(spark, sf):
+    return round_doubles(features_layer_frame(spark, sf))
+
+
+def _predictions_sql() -> str:
+    fn = L.FEATURE_NAMES
+    p = (f"CAST(floor(least(1.0, greatest(0.0, 0.3 * {fn['utilization']} + CASE WHEN {fn['income']} < 1000 "
+         f"THEN 0.5 ELSE 0.0 END)) * 1000.0 + 0.5) / 1000.0 AS DOUBLE)")
+    t = f"CAST({F1_THRESHOLD!r} AS DOUBLE)"
+    return (f"SELECT sha256(concat_ws('|', feature_record_id, 'fixed_rule', '1')) AS prediction_id, feature_record_id, "
+            f"curated_record_id, source_row_id, CAST(NULL AS VARCHAR) AS input_source_identifier, "
+            f"'fixed_rule' AS model_name, '1' AS model_version, '1.0.0' AS feature_schema_version, "
+            f"'1.0.0' AS feature_pipeline_version, {S.rnd6('p')} AS raw_probability, "
+            f"CAST(NULL AS DOUBLE) AS calibrated_probability, {S.rnd6(t)} AS decision_threshold, "
+            f"CAST(CASE WHEN p >= {t} THEN 1 ELSE 0 END AS INTEGER) AS predicted_label, "
+            f"CASE WHEN p < 0.1 THEN 'Low' WHEN p < {t} THEN 'Medium' ELSE 'High' END AS risk_band "
+            f"FROM (SELECT *, {p} AS p FROM feats) f")
+
+
+@register("prediction_audit", S.with_cases(
+    _predictions_sql(),
+    S.split_cte() + f",\ncurated AS ({_curated_sql()}),\nfeats AS ({_features_layer_sql()})"))
+def q_prediction_audit(spark, sf):
+    feats = features_layer_frame(spark, sf)
+    fn = L.FEATURE_NAMES
+    p = fixed_score(fn["utilization"], fn["income"])
+    return round_doubles(L.prediction_records(feats, p, "fixed_rule", "1", F1_THRESHOLD, with_audit=False))
+
+
+@register("quality_runs", S.with_cases(
+    "SELECT sha256(concat_ws('|', 'RAW', dataset, '1.0.0')) AS data_quality_run_id, 'RAW' AS source_layer, "
+    "dataset AS source_object_name, dataset AS dataset_split, '1.0.0' AS ruleset_version, "
+    "CASE WHEN sum(CASE WHEN severity = 'error' THEN 1 ELSE 0 END) > 0 THEN 'failed' ELSE 'passed' END AS run_status, "
+    "CAST(sum(CASE WHEN severity = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS error_count, "
+    "CAST(sum(CASE WHEN severity = 'warning' THEN 1 ELSE 0 END) AS BIGINT) AS warning_count, "
+    "nullif(array_to_string(list_sort(list(CASE WHEN severity = 'error' THEN message END)), ' | '), '') AS error_summary, "
+    "nullif(array_to_string(list_sort(list(CASE WHEN severity = 'warning' THEN message END)), ' | '), '') AS warning_summary "
+    "FROM rep GROUP BY dataset", f"flags AS ({_flags_sql()}), rep AS ({_validation_sql()})"))
+def q_quality_runs(spark, sf):
+    return L.quality_run_records(V.validation_report(_validation_inputs(spark, sf), C))
