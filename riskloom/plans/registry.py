@@ -756,3 +756,115 @@ def q_prediction_audit(spark, sf):
     "FROM rep GROUP BY dataset", f"flags AS ({_flags_sql()}), rep AS ({_validation_sql()})"))
 def q_quality_runs(spark, sf):
     return L.quality_run_records(V.validation_report(_validation_inputs(spark, sf), C))
+
+
+# ---------------------------------------------------------------- M1-M15 models (rows-only checks)
+from riskloom.operators import calibration as CAL  # noqa: E402
+from riskloom.operators import importance as X  # noqa: E402
+from riskloom.operators import models as M  # noqa: E402
+from riskloom.operators.features import preprocessing  # noqa: E402
+from riskloom.operators.imbalance import class_weight_summary, with_balanced_weights, with_weight_column  # noqa: E402
+
+BENCH_TREES = 20  # the reference uses 600 rounds; the registered query trains a short model
+
+
+def _train_frame(spark, sf):
+    df = split_cases(spark, sf)
+    return df, df.where(F.col("split") == "train")
+
+
+def trained_model(spark, sf, kind: str):
+    df, train = _train_frame(spark, sf)
+    prep = preprocessing(C, output_col="features")
+    n_in = len(FEATURES) + 2
+    if kind == "logistic":
+        summary = class_weight_summary(train, C.target)
+        weighted = with_balanced_weights(train, C.target, summary)
+        est = M.logistic("features", C.target, n_weight=float(train.count()), weight_col="weight")
+        return df, M.fit(prep, est, weighted)
+    if kind == "boosting":
+        ratio = class_weight_summary(train, C.target).first()["scale_pos_weight"]
+        weighted = with_weight_column(train, C.target, ratio)
+        est = M.BoostingParams(n_estimators=BENCH_TREES).estimator("features", C.target, weight_col="weight")
+        return df, M.fit(prep, est, weighted)
+    if kind == "neural":
+        est = M.neural("features", C.target, n_inputs=n_in, max_iter=50)
+        return df, M.fit(prep, est, train)
+    raise ValueError(kind)
+
+
+def _model_metrics(spark, sf, kind):
+    df, model = trained_model(spark, sf, kind)
+    scored = M.predict_proba(model, df, keep=[C.id, C.target, "split"], out="score")
+    return round_doubles(K.binary_metrics(scored, C.target, "score", 0.5, ["split"]))
+
+
+@register("model_logistic_metrics")
+def q_model_logistic(spark, sf):
+    """M1 + M4 + M15: balanced-weight logistic baseline evaluated on every split."""
+    return _model_metrics(spark, sf, "logistic")
+
+
+@register("model_boosting_metrics")
+def q_model_boosting(spark, sf):
+    """M2 + M15: boosted trees with the ratio weight."""
+    return _model_metrics(spark, sf, "boosting")
+
+
+@register("model_neural_metrics")
+def q_model_neural(spark, sf):
+    """M3 + M15: 64-32 perceptron."""
+    return _model_metrics(spark, sf, "neural")
+
+
+@register("model_boosting_importance")
+def q_model_importance(spark, sf):
+    """M7: gain / weight / cover per feature from the saved trees."""
+    _, model = trained_model(spark, sf, "boosting")
+    return round_doubles(M.tree_importance(model, FEATURES + ["income_missing", "dependents_missing"]))
+
+
+@register("model_scores")
+def q_model_scores(spark, sf):
+    """M5 + M6: [id], probability, label at the F1 threshold, for the test split."""
+    df, model = trained_model(spark, sf, "logistic")
+    return round_doubles(M.score_records(model, df.where(F.col("split") == "test"), F1_THRESHOLD, C.id))
+
+
+# ---------------------------------------------------------------- C1-C5 calibration
+def calibrated_scores(spark, sf, method: str = "isotonic"):
+    """Holdout (P5: 20 % of train, stratified) fits the calibrator on the raw score."""
+    sc = scored_cases(spark, sf)
+    train = sc.where(F.col("split") == "train")
+    held = P.assign_splits(train, C.id, C.target, P.SplitConfig(), split_col="part", holdout_only=0.2,
+                           labels=("holdout", "unused", "fit"))
+    cal = CAL.fit_calibrator(held.where(F.col("part") == "holdout"), C.target, "score", method)
+    return CAL.apply_calibrator(cal, sc, "score", "calibrated")
+
+
+@register("calibration_report")
+def q_calibration_report(spark, sf):
+    """Raw vs isotonic-calibrated metric bundle on every split (one grouped job)."""
+    return round_doubles(CAL.calibration_report(calibrated_scores(spark, sf), C.target, "score", "calibrated"))
+
+
+@register("calibration_sigmoid_brier")
+def q_calibration_sigmoid(spark, sf):
+    """C1 + C5: sigmoid calibration; improved-Brier flag per split."""
+    rep = CAL.calibration_report(calibrated_scores(spark, sf, "sigmoid"), C.target, "score", "calibrated")
+    return round_doubles(CAL.improved_brier(rep))
+
+
+# ---------------------------------------------------------------- X1 / X2 importance
+def _fixed_rule(frame):
+    return fixed_score(C.utilization, C.income)
+
+
+@register("permutation_importance")
+def q_permutation_importance(spark, sf):
+    """10 features x 5 repeats of the validation rows, scored by the fixed rule, one job."""
+    val = scored_cases(spark, sf).where(F.col("split") == "validation").select(C.id, C.target) \
+        .join(cases(spark, sf).drop(C.target), on=C.id)
+    imp = X.permutation_importance(val, C.id, C.target, FEATURES, _fixed_rule, repeats=5, seed=42)
+    return round_doubles(imp.select("feature_name", "mean_importance", "std_importance", "mean_permuted_metric",
+                                    "baseline_metric_value"))
