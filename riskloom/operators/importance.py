@@ -37,7 +37,7 @@ def permuted_copies(df: DataFrame, key: str, groups: Sequence[Sequence[str]], re
         .select(q(key), F.col("cum__one").alias("_rank"))
     entries = []
     for name, g in zip(names, groups):
-        vals = F.struct(*[q(c).cast("double").alias(f"v{i}") for i, c in enumerate(g)])
+        vals = F.array(*[q(c).cast("double") for c in g])
         for r in range(repeats):
             entries.append(F.struct(F.lit(name).alias("_f"), F.lit(r).alias("_r"), vals.alias("_vals")))
     copies = base.select(q(key), F.inline(F.array(*entries)))
@@ -75,7 +75,7 @@ def permutation_importance(
         for i, c in enumerate(g):
             subst.setdefault(c, []).append((name, i))
     replaced = rows.select("_f", "_r", *[
-        (F.coalesce(*[F.when(F.col("_f") == name, F.col("_pvals")[f"v{i}"]) for name, i in subst[c]],
+        (F.coalesce(*[F.when(F.col("_f") == name, F.col("_pvals")[i]) for name, i in subst[c]],
                     q(c).cast("double")) if c in subst else q(c)).alias(c) for c in base.columns])
     metrics = binary_metrics(scored(replaced), y, "_p", threshold, ["_f", "_r"]).select(
         "_f", "_r", F.col(metric).alias("permuted_metric"))

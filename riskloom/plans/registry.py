@@ -868,3 +868,336 @@ def q_permutation_importance(spark, sf):
     imp = X.permutation_importance(val, C.id, C.target, FEATURES, _fixed_rule, repeats=5, seed=42)
     return round_doubles(imp.select("feature_name", "mean_importance", "std_importance", "mean_permuted_metric",
                                     "baseline_metric_value"))
+
+
+# ---------------------------------------------------------------- R1-R6 comparison
+from riskloom.operators import compare as CMP  # noqa: E402
+from riskloom.operators import monitoring as D  # noqa: E402
+
+# Three deterministic scoring rules stand in for three trained models, so the whole comparison has an oracle.
+RULES = {
+    "rule_a": ("0.3 * utilization + CASE WHEN income < 1000 THEN 0.5 ELSE 0.0 END",
+               lambda: F.lit(0.3) * F.col("utilization")
+               + F.when(F.col("income") < 1000, F.lit(0.5)).otherwise(F.lit(0.0))),
+    "rule_b": ("0.3 * utilization + CASE WHEN income < 1000 THEN 0.5 ELSE 0.0 END + 0.01 * least(late_90, 20)",
+               lambda: F.lit(0.3) * F.col("utilization")
+               + F.when(F.col("income") < 1000, F.lit(0.5)).otherwise(F.lit(0.0))
+               + F.lit(0.01) * F.least(F.col("late_90"), F.lit(20))),
+    "rule_c": ("0.6 * utilization", lambda: F.lit(0.6) * F.col("utilization")),
+}
+CONFIGS = [CMP.ModelConfig("rule_a", "Utilization and income rule", "rule"),
+           CMP.ModelConfig("rule_b", "Rule with delinquency", "rule", True, True, True),
+           CMP.ModelConfig("rule_c", "Utilization-only rule", "rule")]
+
+
+def _rule_score(expr: Column) -> Column:
+    clipped = F.least(F.lit(1.0), F.greatest(F.lit(0.0), expr))
+    return (F.floor(clipped * F.lit(1000.0) + F.lit(0.5)) / F.lit(1000.0)).cast("double")
+
+
+def _rule_sql(expr: str) -> str:
+    return f"CAST(floor(least(1.0, greatest(0.0, {expr})) * 1000.0 + 0.5) / 1000.0 AS DOUBLE)"
+
+
+def multi_model_scores(spark, sf) -> DataFrame:
+    df = split_cases(spark, sf)
+    entries = [F.struct(F.lit(k).alias("model_key"), _rule_score(fn()).alias("score")) for k, (_, fn) in RULES.items()]
+    return df.select(C.id, C.target, "split", F.inline(F.array(*entries)))
+
+
+def comparison_flagged(spark, sf) -> DataFrame:
+    sc = multi_model_scores(spark, sf)
+    metrics = K.binary_metrics(sc, C.target, "score", 0.5, ["model_key", "split"])
+    val = sc.where(F.col("split") == "validation")
+    sweep = T.threshold_sweep(val, C.target, "score", T.candidate_grid(val, "score", ["model_key"]), ["model_key"])
+    f1 = T.select_threshold(sweep, "f1", ["model_key"], top=1).select("model_key", F.col("threshold").alias("f1_threshold"))
+    cost = T.select_cost_threshold(T.business_cost(sweep, 1.0, 5.0), ["model_key"], top=1) \
+        .select("model_key", F.col("threshold").alias("cost_threshold"))
+    records = CMP.model_records(metrics, CMP.config_table(spark, CONFIGS), f1.join(cost, on="model_key"))
+    return CMP.champion_flags(CMP.rank_models(records))
+
+
+def _comparison_sql() -> str:
+    scores = " UNION ALL ".join(f"SELECT case_id, target, split, '{k}' AS model_key, {_rule_sql(e)} AS score "
+                                f"FROM split_cases" for k, (e, _) in RULES.items())
+    grp = "(SELECT *, concat(model_key, '|', split) AS grp FROM sc)"
+    met = S.metrics_sql(grp, "grp")
+    qs = S.quantile_sql("(SELECT model_key, score FROM sc WHERE split = 'validation')", "model_key", "score", _GRID_P)
+    fixed = ", ".join(f"({v!r})" for v in R.FIXED_THRESHOLD_CANDIDATES)
+    grid = (f"SELECT DISTINCT model_key, least(1.0, greatest(0.0, t)) AS threshold FROM "
+            f"(SELECT model_key, quantile AS t FROM {qs} qq UNION ALL SELECT m.model_key, CAST(f.v AS DOUBLE) "
+            f"FROM (SELECT DISTINCT model_key FROM sc) m, (VALUES {fixed}) f(v)) u")
+    sweep = ("SELECT model_key, threshold, tp, fp, P - tp AS fn, N - fp AS tn, P + N AS n, "
+             "coalesce(tp / nullif(P, 0), 0.0) AS recall, "
+             "coalesce(2.0 * tp / nullif(2.0 * tp + fp + (P - tp), 0), 0.0) AS f1 FROM ("
+             "SELECT g.model_key, g.threshold, "
+             "CAST(sum(CASE WHEN v.score >= g.threshold AND v.target = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS tp, "
+             "CAST(sum(CASE WHEN v.score >= g.threshold AND v.target = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS fp, "
+             "CAST(sum(CASE WHEN v.target = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS P, "
+             "CAST(sum(CASE WHEN v.target = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS N "
+             "FROM grid g JOIN (SELECT * FROM sc WHERE split = 'validation') v ON g.model_key = v.model_key "
+             "GROUP BY g.model_key, g.threshold) x")
+    th = ("SELECT a.model_key, a.threshold AS f1_threshold, b.threshold AS cost_threshold FROM "
+          "(SELECT *, row_number() OVER (PARTITION BY model_key ORDER BY f1 DESC, recall DESC, threshold) AS r FROM sweep) a "
+          "JOIN (SELECT *, row_number() OVER (PARTITION BY model_key ORDER BY (fp * 1.0 + fn * 5.0) / n, recall DESC, "
+          "threshold) AS r FROM sweep) b ON a.model_key = b.model_key AND a.r = 1 AND b.r = 1")
+    cfg = " UNION ALL ".join(
+        f"SELECT '{c.model_key}' AS model_key, '{c.label}' AS label, '{c.model_family}' AS model_family, "
+        f"{str(c.interactive_inference_supported).upper()} AS interactive_inference_supported, "
+        f"{str(c.batch_inference_supported).upper()} AS batch_inference_supported, "
+        f"{str(c.designated_champion).upper()} AS designated_champion" for c in CONFIGS)
+    wide = ", ".join(f"max(CASE WHEN split_part(grp, '|', 2) = '{p}' THEN {m} END) AS {p}_{m}"
+                     for p in ("validation", "test") for m in ("average_precision", "roc_auc", "ks_statistic",
+                                                              "brier_score"))
+    rec = (f"SELECT c.*, w.* EXCLUDE (model_key), t.f1_threshold, t.cost_threshold FROM cfg c "
+           f"JOIN (SELECT split_part(grp, '|', 1) AS model_key, {wide} FROM met GROUP BY 1) w ON c.model_key = w.model_key "
+           f"LEFT JOIN th t ON c.model_key = t.model_key")
+    ranked = ("SELECT *, CAST(row_number() OVER (ORDER BY validation_average_precision DESC, test_average_precision DESC, "
+              "test_roc_auc DESC, model_key) AS INTEGER) AS rank FROM rec")
+    qual = ("SELECT *, coalesce(designated_champion AND test_average_precision >= bt - 0.02 AND "
+            "validation_average_precision >= bv - 0.02 AND interactive_inference_supported AND batch_inference_supported "
+            "AND f1_threshold IS NOT NULL AND cost_threshold IS NOT NULL AND test_brier_score <= 0.06, false) AS dq "
+            "FROM (SELECT *, max(CASE WHEN rank = 1 THEN validation_average_precision END) OVER () AS bv, "
+            "max(CASE WHEN rank = 1 THEN test_average_precision END) OVER () AS bt FROM ranked) z")
+    dbl = [f"{p}_{m}" for p in ("validation", "test") for m in ("average_precision", "roc_auc", "ks_statistic",
+                                                                "brier_score")] + ["f1_threshold", "cost_threshold"]
+    final = ("SELECT rank, model_key, label, model_family, " + ", ".join(S.r6(c, c) for c in dbl)
+             + ", interactive_inference_supported, batch_inference_supported, designated_champion, "
+             "CASE WHEN max(CAST(dq AS INTEGER)) OVER () = 1 THEN dq ELSE rank = 1 END AS is_champion FROM qual")
+    return S.with_cases(final, S.split_cte() + f",\nsc AS ({scores}),\nmet AS (SELECT * FROM {met} mm),\n"
+                        f"grid AS ({grid}),\nsweep AS ({sweep}),\nth AS ({th}),\ncfg AS ({cfg}),\nrec AS ({rec}),\n"
+                        f"ranked AS ({ranked}),\nqual AS ({qual})")
+
+
+@register("model_comparison", _comparison_sql())
+def q_model_comparison(spark, sf):
+    """Records, ranking and the champion rule over three scoring rules (grouped metrics and a
+    grouped threshold search, one job each)."""
+    return round_doubles(CMP.comparison_table(comparison_flagged(spark, sf)))
+
+
+@register("comparison_rationale")
+def q_comparison_rationale(spark, sf):
+    """The champion's rationale sentences, only those that hold."""
+    return CMP.rationale(comparison_flagged(spark, sf))
+
+
+# ---------------------------------------------------------------- D1-D14 second wave
+@register("calibration_curve", S.with_cases(
+    "SELECT split, CAST(least(floor(score * 10), 9) AS INTEGER) AS bin, CAST(count(*) AS BIGINT) AS count, "
+    + S.rnd6("avg(score)") + " AS mean_predicted, " + S.rnd6("avg(CAST(target AS DOUBLE))")
+    + " AS observed_rate FROM scored GROUP BY split, CAST(least(floor(score * 10), 9) AS INTEGER)", S.scored_cte()))
+def q_calibration_curve(spark, sf):
+    """D1."""
+    return round_doubles(D.calibration_curve(scored_cases(spark, sf), C.target, "score", 10, ["split"]))
+
+
+@register("gains_table", S.with_cases(
+    "SELECT decile, CAST(rows AS BIGINT) AS rows, CAST(positives AS BIGINT) AS positives, "
+    + S.rnd6("min_score") + " AS min_score, " + S.rnd6("max_score") + " AS max_score, "
+    "CAST(cum_pos AS BIGINT) AS cumulative_positives, " + S.rnd6("CAST(cum_pos AS DOUBLE) / P") + " AS cumulative_gain, "
+    + S.rnd6("(CAST(positives AS DOUBLE) / rows) / (CAST(P AS DOUBLE) / N)") + " AS lift, "
+    + S.rnd6("(CAST(cum_pos AS DOUBLE) / cum_rows) / (CAST(P AS DOUBLE) / N)") + " AS cumulative_lift "
+    "FROM (SELECT *, sum(positives) OVER (ORDER BY decile) AS cum_pos, sum(rows) OVER (ORDER BY decile) AS cum_rows, "
+    "sum(positives) OVER () AS P, sum(rows) OVER () AS N FROM ("
+    "SELECT CAST(floor((rn - 1) * 10 / n) AS INTEGER) AS decile, count(*) AS rows, sum(target) AS positives, "
+    "min(score) AS min_score, max(score) AS max_score FROM (SELECT *, row_number() OVER (ORDER BY score DESC, case_id) AS rn, "
+    "count(*) OVER () AS n FROM scored WHERE split = 'validation') r GROUP BY 1) d) x", S.scored_cte()))
+def q_gains_table(spark, sf):
+    """Deciles by exact rank on the validation split."""
+    val = scored_cases(spark, sf).where(F.col("split") == "validation")
+    return round_doubles(D.gains_table(val, C.target, "score", C.id, 10))
+
+
+_TARGET_PRECISIONS = [0.3, 0.5, 0.7]
+
+
+@register("recall_at_precision", S.with_cases(
+    "SELECT CAST(t AS DOUBLE) AS target_precision, " + S.rnd6("max(recall)") + " AS max_recall, "
+    + S.rnd6("arg_min(s, (-recall, s))") + " AS threshold FROM (SELECT s, cum_pos / (cum_pos + cum_neg) AS precision, "
+    "cum_pos / tot_pos AS recall FROM rt WHERE split = 'validation') p, (VALUES "
+    + ", ".join(f"({v!r})" for v in _TARGET_PRECISIONS) + ") tp(t) WHERE precision >= t GROUP BY t",
+    S.scored_cte() + f",\nrt AS ({_curve_rt_sql()})"))
+def q_recall_at_precision(spark, sf):
+    """D3."""
+    val = scored_cases(spark, sf).where(F.col("split") == "validation")
+    return round_doubles(D.recall_at_precision(val, C.target, "score", _TARGET_PRECISIONS))
+
+
+_PSI_SPLIT = "2024-01-16 00:00:00"
+
+
+def _events(spark, sf):
+    from riskloom.sources.tables import read_table
+    return read_table(spark, sf, "events")
+
+
+def _psi_sql() -> str:
+    qs = S.quantile_sql(f"(SELECT event_type, value FROM events WHERE ts < TIMESTAMP '{_PSI_SPLIT}')", "event_type",
+                        "value", [i / 10 for i in range(1, 10)])
+    return f"""
+WITH cuts AS (SELECT event_type, list(quantile ORDER BY q_index) AS c FROM {qs} qq GROUP BY event_type),
+binned AS (
+  SELECT e.event_type, CASE WHEN e.ts < TIMESTAMP '{_PSI_SPLIT}' THEN 'base' ELSE 'current' END AS period,
+         CAST(len(list_filter(c.c, lambda x: e.value > x)) AS INTEGER) AS bin
+  FROM events e JOIN cuts c ON e.event_type = c.event_type WHERE e.value IS NOT NULL),
+counts AS (
+  SELECT event_type, bin, CAST(sum(CASE WHEN period = 'base' THEN 1 ELSE 0 END) AS BIGINT) AS base_count,
+         CAST(sum(CASE WHEN period = 'current' THEN 1 ELSE 0 END) AS BIGINT) AS current_count
+  FROM binned GROUP BY event_type, bin),
+shares AS (
+  SELECT *, greatest(CAST(base_count AS DOUBLE) / sum(base_count) OVER (PARTITION BY event_type), 1e-6) AS bs,
+            greatest(CAST(current_count AS DOUBLE) / sum(current_count) OVER (PARTITION BY event_type), 1e-6) AS cs
+  FROM counts)
+SELECT event_type, {S.rnd6('sum((cs - bs) * ln(cs / bs))')} AS psi, CAST(sum(base_count) AS BIGINT) AS base_rows,
+       CAST(sum(current_count) AS BIGINT) AS current_rows
+FROM shares GROUP BY event_type"""
+
+
+@register("psi_drift", _psi_sql())
+def q_psi_drift(spark, sf):
+    """Population stability of ``events.value`` per event type, first vs second half of the month."""
+    ev = _events(spark, sf)
+    split = F.col("ts") < F.lit(_PSI_SPLIT).cast("timestamp")
+    t = D.psi(ev.where(split), ev.where(~split), "value", 10, ["event_type"])
+    return round_doubles(t.groupBy("event_type").agg(F.sum("psi_term").alias("psi"),
+                                                     F.sum("base_count").cast("long").alias("base_rows"),
+                                                     F.sum("current_count").cast("long").alias("current_rows")))
+
+
+_BANDS = [("very_low", None, 0.05), ("low", 0.05, 0.10), ("medium", 0.10, 0.20), ("high", 0.20, 0.40),
+          ("very_high", 0.40, None)]
+
+
+def _bands_sql(col: str) -> str:
+    parts = []
+    for name, lo, hi in _BANDS:
+        cond = " AND ".join([f"{col} >= {lo!r}"] * (lo is not None) + [f"{col} < {hi!r}"] * (hi is not None)) or "TRUE"
+        parts.append(f"WHEN {cond} THEN '{name}'")
+    return "CASE " + " ".join(parts) + " END"
+
+
+@register("custom_risk_bands", S.with_cases(
+    f"SELECT split, {_bands_sql('score')} AS band, CAST(count(*) AS BIGINT) AS count, "
+    + S.rnd6("avg(CAST(target AS DOUBLE))") + f" AS observed_rate FROM scored GROUP BY split, {_bands_sql('score')}",
+    S.scored_cte()))
+def q_custom_risk_bands(spark, sf):
+    """Configurable bands as one CASE expression (no join needed)."""
+    sc = scored_cases(spark, sf).withColumn("band", D.band_expression(F.col("score"), _BANDS))
+    return round_doubles(sc.groupBy("split", "band").agg(F.count(F.lit(1)).alias("count"),
+                                                         F.avg(F.col(C.target).cast("double")).alias("observed_rate")))
+
+
+def _cohort_sql() -> str:
+    long = " UNION ALL ".join(f"SELECT CAST(target AS VARCHAR) || '|' || '{c}' AS grp, CAST({c} AS DOUBLE) AS value "
+                              f"FROM cases" for c in FEATURES)
+    qs = S.quantile_sql("long_c", "grp", "value", [0.5])
+    return S.with_cases(
+        "SELECT CAST(split_part(m.grp, '|', 1) AS INTEGER) AS cohort, split_part(m.grp, '|', 2) AS \"column\", "
+        "CAST(m.cnt AS BIGINT) AS count, " + S.rnd6("m.mean") + " AS mean, " + S.rnd6("q.quantile") + " AS median "
+        f"FROM (SELECT grp, count(value) AS cnt, avg(value) AS mean FROM long_c GROUP BY grp) m "
+        f"LEFT JOIN {qs} q ON m.grp = q.grp", f"long_c AS ({long})")
+
+
+@register("cohort_profile", _cohort_sql())
+def q_cohort_profile(spark, sf):
+    """Feature profile of positives vs negatives."""
+    return round_doubles(D.cohort_profile(cases(spark, sf), C.target, FEATURES))
+
+
+def _treatment_sql() -> str:
+    parts = []
+    for c, (lo, hi) in _CLIP.items():
+        parts.append(f"SELECT '{c}' AS \"column\", 'capped' AS treatment, "
+                     f"CAST(sum(CASE WHEN {c} < {lo!r} OR {c} > {hi!r} THEN 1 ELSE 0 END) AS BIGINT) AS rows FROM cases")
+    for c in ("income", "dependents"):
+        parts.append(f"SELECT '{c}', 'imputed', CAST(count(*) - count({c}) AS BIGINT) FROM cases")
+    return S.with_cases(" UNION ALL ".join(parts))
+
+
+@register("treatment_audit", _treatment_sql())
+def q_treatment_audit(spark, sf):
+    """D6."""
+    return D.treatment_audit(cases(spark, sf), _CLIP, [C.income, C.dependents])
+
+
+@register("joint_delinquency", S.with_cases(
+    "SELECT CAST(sum(CASE WHEN late_30_59 > 20 OR late_60_89 > 20 OR late_90 > 20 THEN 1 ELSE 0 END) AS BIGINT) "
+    "AS any_column_over_limit, CAST(sum(CASE WHEN late_30_59 > 20 AND late_60_89 > 20 AND late_90 > 20 THEN 1 ELSE 0 END) "
+    "AS BIGINT) AS all_columns_over_limit, CAST(count(*) AS BIGINT) AS row_count FROM cases"))
+def q_joint_delinquency(spark, sf):
+    """D7."""
+    return D.joint_delinquency(cases(spark, sf), list(C.delinquency))
+
+
+_CORR_COLS = FEATURES
+
+
+@register("correlation_overview", S.with_cases(" UNION ALL ".join(
+    f"SELECT '{a}' AS column_a, '{b}' AS column_b, {S.rnd6(f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))')} AS pearson "
+    f"FROM cases" for i, a in enumerate(_CORR_COLS) for b in _CORR_COLS[i + 1:])))
+def q_correlation_overview(spark, sf):
+    """D8 (Pearson, one aggregate for all pairs)."""
+    return round_doubles(D.correlation_matrix(cases(spark, sf), _CORR_COLS))
+
+
+@register("spearman_overview")
+def q_spearman_overview(spark, sf):
+    """D8 (Spearman): exact average ranks, then Pearson of ranks."""
+    ranks = D.spearman_ranks(cases(spark, sf), C.id, _CORR_COLS)
+    return round_doubles(D.correlation_matrix(ranks, _CORR_COLS))
+
+
+@register("grouped_permutation_importance")
+def q_grouped_permutation(spark, sf):
+    """Columns shuffled together (income with its missingness partner dependents, the delinquency trio)."""
+    val = scored_cases(spark, sf).where(F.col("split") == "validation").select(C.id, C.target) \
+        .join(cases(spark, sf).drop(C.target), on=C.id)
+    groups = [[C.utilization], [C.income, C.dependents], list(C.delinquency), [C.age, C.debt_ratio]]
+    imp = X.permutation_importance(val, C.id, C.target, groups, _fixed_rule, repeats=3, seed=7)
+    return round_doubles(imp.select("feature_name", "mean_importance", "std_importance", "mean_permuted_metric"))
+
+
+# ---------------------------------------------------------------- column-generic checks on other tables
+_LI_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _lineitem_summary_sql() -> str:
+    long = " UNION ALL ".join(f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS value FROM lineitem" for c in _LI_COLS)
+    qs = S.quantile_sql("long_li", "col", "value", _SUMMARY_P)
+    pcols = ", ".join(f"max(CASE WHEN q_index = {i} THEN quantile END) AS {E._pname(p)}" for i, p in enumerate(_SUMMARY_P))
+    names = ["mean", "std", "min"] + [E._pname(p) for p in _SUMMARY_P] + ["max"]
+    return (f"WITH long_li AS ({long}) SELECT m.col AS \"column\", " + S.rnd6("m.cnt") + " AS count, "
+            + ", ".join(f"{S.rnd6(n if n not in ('mean', 'std', 'min', 'max') else 'm.' + n)} AS {n}" for n in names)
+            + " FROM (SELECT col, count(value) AS cnt, avg(value) AS mean, stddev_samp(value) AS std, min(value) AS min, "
+            f"max(value) AS max FROM long_li GROUP BY col) m LEFT JOIN (SELECT col, {pcols} FROM {qs} qq GROUP BY col) p "
+            "ON m.col = p.col")
+
+
+@register("lineitem_numeric_summary", _lineitem_summary_sql())
+def q_lineitem_summary(spark, sf):
+    """E5 on another table (600k rows at sf0.1): the profiler is column-generic."""
+    from riskloom.sources.tables import read_table
+    return round_doubles(E.numeric_summary(read_table(spark, sf, "lineitem"), _LI_COLS))
+
+
+@register("document_quality_metrics", """
+SELECT """ + S.r6("ap_num / P", "average_precision") + ", " + S.r6("auc_num / (P * N)", "roc_auc") + ", "
+          + S.r6("ks", "ks_statistic") + """, CAST(P + N AS BIGINT) AS row_count FROM (
+  SELECT max(tot_pos) AS P, max(tot_neg) AS N, sum(neg * (cum_pos - pos + pos / 2.0)) AS auc_num,
+         sum(pos * (cum_pos / (cum_pos + cum_neg))) AS ap_num, max(abs(cum_pos / tot_pos - cum_neg / tot_neg)) AS ks
+  FROM (SELECT *, CAST(sum(pos) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cum_pos,
+               CAST(sum(neg) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cum_neg,
+               CAST(sum(pos) OVER () AS DOUBLE) AS tot_pos, CAST(sum(neg) OVER () AS DOUBLE) AS tot_neg
+        FROM (SELECT CAST(floor(least(1.0, d.n_chars / 20000.0) * 1000.0 + 0.5) / 1000.0 AS DOUBLE) AS s,
+                     sum(CASE WHEN l.quality = 1 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN l.quality = 0 THEN 1 ELSE 0 END) AS neg
+              FROM labels l JOIN documents d ON l.doc_id = d.doc_id GROUP BY 1) g) r) a""")
+def q_document_quality_metrics(spark, sf):
+    """K6-K8 on another table pair: labels.quality against a length score of documents."""
+    from riskloom.sources.tables import read_table
+    lab = read_table(spark, sf, "labels")
+    doc = read_table(spark, sf, "documents").select("doc_id", "n_chars")
+    s = (F.floor(F.least(F.lit(1.0), F.col("n_chars") / 20000.0) * 1000.0 + 0.5) / 1000.0).cast("double")
+    df = lab.join(doc, on="doc_id").select(F.col("quality").alias("y"), s.alias("s"))
+    m = K.binary_metrics(df, "y", "s")
+    return round_doubles(m.select("average_precision", "roc_auc", "ks_statistic", "row_count"))
