@@ -1201,3 +1201,31 @@ def q_document_quality_metrics(spark, sf):
     df = lab.join(doc, on="doc_id").select(F.col("quality").alias("y"), s.alias("s"))
     m = K.binary_metrics(df, "y", "s")
     return round_doubles(m.select("average_precision", "roc_auc", "ks_statistic", "row_count"))
+
+
+# ---------------------------------------------------------------- I4-I7 SMOTE
+def smote_train(spark, sf):
+    from riskloom.operators.imbalance import smote
+    train = split_cases(spark, sf).where(F.col("split") == "train").drop("split")
+    return smote(train, C.id, C.target, FEATURES, k_neighbors=5, seed=42)
+
+
+@register("smote_distribution", S.with_cases(
+    "SELECT CAST(target AS INTEGER) AS target, CAST(cnt AS BIGINT) AS count_before, "
+    "CAST(CASE WHEN target = 1 THEN max(cnt) OVER () ELSE cnt END AS BIGINT) AS count_after, "
+    + S.rnd6("CAST(cnt AS DOUBLE) / sum(cnt) OVER ()") + " AS rate_before, "
+    + S.rnd6("CAST(CASE WHEN target = 1 THEN max(cnt) OVER () ELSE cnt END AS DOUBLE) / (2.0 * max(cnt) OVER ())")
+    + " AS rate_after FROM (SELECT target, count(*) AS cnt FROM split_cases WHERE split = 'train' GROUP BY target) t",
+    S.split_cte()))
+def q_smote_distribution(spark, sf):
+    """Class counts before and after oversampling the train split."""
+    _, dist = smote_train(spark, sf)
+    return round_doubles(dist.select(F.col("target").cast("int").alias("target"), "count_before", "count_after",
+                                     "rate_before", "rate_after"))
+
+
+@register("smote_synthetic_rows")
+def q_smote_rows(spark, sf):
+    """The synthetic rows (negative ids) appended after the original train rows."""
+    rows, _ = smote_train(spark, sf)
+    return round_doubles(rows.where(F.col(C.id) < 0))

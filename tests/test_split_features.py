@@ -85,3 +85,41 @@ def test_ratio_weight(spark):
     df = spark.createDataFrame([(1,), (1,), (0,), (0,), (0,), (0,)], "y int")
     r = class_weight_summary(df, "y").first()
     assert r.scale_pos_weight == 2.0
+
+
+def test_smote_points_on_segments(spark):
+    import numpy as np
+    from riskloom.operators.imbalance import exact_knn, smote
+    rows = rows40() + [(100 + i, 1, 0.3 + 0.01 * i, 40.0 + i, 0.0, 0.4, 4000.0 + i, 5.0, 0.0, 1.0, 0.0, 1.0)
+                       for i in range(6)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    feats = list(COLS.features)
+    out, dist = smote(df, "id", "y", feats, k_neighbors=5, seed=1)
+    d = {r.target: r for r in dist.collect()}
+    assert d[1].count_after == d[0].count_after == 32
+    syn = out.where("id < 0").collect()
+    assert len(syn) == 32 - 14 and sorted(r.id for r in syn) == list(range(-18, 0))
+    allrows = df.collect()
+    med = {c: float(np.median([r[c] for r in allrows if r[c] is not None])) for c in feats}
+    X = {r.id: np.array([r[c] if r[c] is not None else med[c] for c in feats]) for r in allrows if r.y == 1}
+    for r in syn:
+        s = np.array([r[c] for c in feats])
+        found = False
+        for a in X.values():
+            for b in X.values():
+                seg = b - a
+                if not seg.any():
+                    found = found or np.allclose(s, a)
+                    continue
+                u = float(np.dot(s - a, seg) / np.dot(seg, seg))
+                if -1e-9 <= u <= 1 + 1e-9 and np.allclose(s, a + u * seg, atol=1e-6):
+                    found = True
+        assert found
+
+
+def test_exact_knn_small(spark):
+    from riskloom.operators.imbalance import exact_knn
+    pts = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(50)], "k long, v array<double>")
+    got = {(r.k, r.rank): r.nn_key for r in exact_knn(pts, "k", "v", 2, block_rows=7).collect()}
+    assert {got[(10, 1)], got[(10, 2)]} == {9, 11}
+    assert got[(0, 1)] == 1 and got[(0, 2)] == 2
