@@ -98,7 +98,7 @@ def normalize_field(column: str, role: str | None, clip_rules: dict, name: str)
         err = err.when(parsed < 0, F.lit(R.MSG_FIELD_NON_NEGATIVE.format(col=column)))
     value = parsed
     if integer_like:
-        rounded = F.bround(parsed, 0)  # half to even, like Python's round()
+        rounded = F.rint(parsed)  # half to even, like Python's round() (Math.rint, no BigDecimal)
         err = err.when(F.abs(parsed - rounded) > R.INTEGER_TOLERANCE, F.lit(R.MSG_FIELD_INTEGER.format(col=column)))
         value = rounded
     lower, upper = clip_rules.get(column, (None, None))
@@ -108,7 +108,7 @@ def normalize_field(column: str, role: str | None, clip_rules: dict, name: str)
         value = F.least(value, F.lit(float(upper)))
     value = F.when(blank, F.lit(None).cast("double")).otherwise(value)
     if integer_like:
-        value = F.bround(value, 0).cast("long")
+        value = F.rint(value).cast("long")
     return value, err
 
 
@@ -118,7 +118,10 @@ def normalize_batch(df: DataFrame, cols: CreditColumns, raw_features: Sequence[s
     raw_features = list(raw_features or cols.features)
     clip_rules = cols.clip_rules() if clip_rules is None else clip_rules
     names = {c: f"f{i}" for i, c in enumerate(raw_features)}
-    staged = df.select("*", *[e for c in raw_features for e in _parse_stage(q(c), names[c])])
+    # One-row inline (a Generate node): the parse of each field is evaluated once per row instead of
+    # being inlined by the optimizer into every rule that reads it.
+    parsed = F.struct(*[e for c in raw_features for e in _parse_stage(q(c), names[c])])
+    staged = df.select("*", F.inline(F.array(parsed)))
     values, errors = [], []
     for c in raw_features:
         v, e = normalize_field(c, cols.role_of(c), clip_rules, names[c])

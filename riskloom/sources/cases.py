@@ -44,10 +44,14 @@ def build_cases(orders: DataFrame, customer: DataFrame, lineitem: DataFrame) ->
     def count_or_zero(c: str) -> Column:
         return F.coalesce(F.col(c), F.lit(0)).cast("long")
 
+    # Orders are hash-partitioned by the order key: the exchange a sort-merge join with the per-order
+    # line summary needs anyway (the summary is already partitioned by the same key), so it adds no
+    # shuffle at scale, and it gives small single-file inputs their parallelism.  Customers join last
+    # (broadcast when small, else one shuffle by customer key).
     joined = (
-        orders.select("o_orderkey", "o_custkey", "o_totalprice")
-        .join(customer.select("c_custkey", "c_acctbal"), F.col("o_custkey") == F.col("c_custkey"))
+        orders.select("o_orderkey", "o_custkey", "o_totalprice").repartition(key)
         .join(line_summary(lineitem), key == F.col("l_orderkey"), "left")
+        .join(customer.select("c_custkey", "c_acctbal"), F.col("o_custkey") == F.col("c_custkey"))
     )
     c = CASES_COLUMNS
     return joined.select(
