@@ -26,8 +26,11 @@ def nan_to_null(c: Column) -> Column:
     return F.when(F.isnan(c), F.lit(None)).otherwise(c)
 
 
-def coerce_numeric(c: Column) -> Column:
-    """string/number -> double; anything unparseable -> NULL (never raises, ANSI-safe)."""
+def coerce_numeric(c: Column, dtype=None) -> Column:
+    """string/number -> double; anything unparseable -> NULL (never raises, ANSI-safe).
+    A numeric input needs no parsing: cast, with NaN folded into NULL."""
+    if isinstance(dtype, NumericType):
+        return nan_to_null(c.cast("double"))
     s = F.trim(c.cast("string"))
     return F.when(s.rlike(NUMERIC_PATTERN), s.try_cast("double")).otherwise(F.lit(None).cast("double"))
 

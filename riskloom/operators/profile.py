@@ -61,7 +61,8 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None,
                     percentiles: Sequence[float] = SUMMARY_PERCENTILES) -> DataFrame:
     """E5: count, mean, sample std, min, percentiles, max per numeric column, rounded to 6."""
     columns = list(columns or numeric_columns(df))
-    long = stack(df, columns)
+    # read by two aggregates (moments, quantiles): keep the stacked cells instead of recomputing the input
+    long = stack(df, columns).persist()
     moments = long.groupBy("column").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))

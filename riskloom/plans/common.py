@@ -35,5 +35,6 @@ def split_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(case_id, target, split, score) with the fixed, engine-independent score."""
-    return split_cases(spark, sf_dir).select(C.id, C.target, "split", fixed_score().alias("score"))
+    """(case_id, target, split, score) with the fixed, engine-independent score.  Four narrow
+    columns read by several actions downstream (grid, sweep, read-out): kept, not recomputed."""
+    return split_cases(spark, sf_dir).select(C.id, C.target, "split", fixed_score().alias("score")).persist()

@@ -29,7 +29,7 @@ def cost_threshold_question(spark: SparkSession, sf_dir: str, fp_cost: float = F
     flags = V.quality_flags(raw, C)
     built = FeatureBuilder.for_columns(C).transform(raw)
     scored = assign_splits(built, C.id, C.target, SplitConfig()) \
-        .select(C.id, C.target, "split", fixed_score(C.utilization, C.income).alias("score"))
+        .select(C.id, C.target, "split", fixed_score(C.utilization, C.income).alias("score")).persist()
     val = scored.where(F.col("split") == "validation")
     sweep = T.threshold_sweep(val, C.target, "score", T.candidate_grid(val, "score"))
     best = T.select_cost_threshold(T.business_cost(sweep, fp_cost, fn_cost), top=1) \

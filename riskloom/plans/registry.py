@@ -364,7 +364,8 @@ def feature_frame(spark, sf) -> DataFrame:
     """F2-F8 fitted on the train split, applied to every split (no vector column)."""
     from riskloom.operators.features import preprocessing
     df = split_cases(spark, sf)
-    model = preprocessing(C, output_col=None).fit(df.where(F.col("split") == "train"))
+    train = df.where(F.col("split") == "train").persist()  # fit input read by two estimators
+    model = preprocessing(C, output_col=None).fit(train)
     return model.transform(df)
 
 
