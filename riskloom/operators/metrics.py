@@ -224,3 +224,18 @@ def roc_curve(df: DataFrame, y: str, s: str, group_cols: Sequence[str] = ()) ->
         *group_cols, F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("false_positive_rate"),
         F.lit(0.0).alias("true_positive_rate"))
     return pts.unionByName(start)
+
+
+def ks_row_level(df: DataFrame, y: str, s: str, key: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """K8 row variant: rows ordered by (score desc, key asc), running TPR - FPR after every row, so
+    inside a tie the value depends on the tie order (the original's stable-sort behaviour).
+    Buckets split on the score; one tied score stays in one bucket (sorted externally)."""
+    group_cols = list(group_cols)
+    rows = df.select(*group_cols, key, F.col(s), (F.col(y) == 1).cast("long").alias("pos"),
+                     (F.col(y) == 0).cast("long").alias("neg"))
+    rt = running_totals(rows, s, ["pos", "neg"], group_cols, descending=True, tiebreak=key)
+    checks = [((F.col("P") == 0) | (F.col("N") == 0), MSG_ONE_CLASS)]
+    agg = rt.groupBy(*group_cols).agg(
+        F.max(F.abs(F.try_divide(F.col("cum_pos"), F.col("tot_pos")) - F.try_divide(F.col("cum_neg"), F.col("tot_neg"))))
+        .alias("_ks"), F.max("tot_pos").alias("P"), F.max("tot_neg").alias("N"))
+    return agg.select(*group_cols, _guard(F.col("_ks"), checks).alias("ks_statistic_row_level"))

@@ -1230,3 +1230,25 @@ def q_smote_rows(spark, sf):
     """The synthetic rows (negative ids) appended after the original train rows."""
     rows, _ = smote_train(spark, sf)
     return round_doubles(rows.where(F.col(C.id) < 0))
+
+
+@register("ks_row_level_by_split", S.with_cases(
+    "SELECT split, " + S.rnd6("max(abs(cp / tp - cn / tn))") + " AS ks_statistic_row_level FROM ("
+    "SELECT split, CAST(sum(CASE WHEN target = 1 THEN 1 ELSE 0 END) OVER w AS DOUBLE) AS cp, "
+    "CAST(sum(CASE WHEN target = 0 THEN 1 ELSE 0 END) OVER w AS DOUBLE) AS cn, "
+    "CAST(sum(CASE WHEN target = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY split) AS DOUBLE) AS tp, "
+    "CAST(sum(CASE WHEN target = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY split) AS DOUBLE) AS tn FROM scored "
+    "WINDOW w AS (PARTITION BY split ORDER BY score DESC, case_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) r "
+    "GROUP BY split", S.scored_cte()))
+def q_ks_row_level(spark, sf):
+    """K8 row-by-row variant (tie order = key order)."""
+    return round_doubles(K.ks_row_level(scored_cases(spark, sf), C.target, "score", C.id, ["split"]))
+
+
+@register("top_importances")
+def q_top_importances(spark, sf):
+    """The three largest permutation importances (a top-k is the operator)."""
+    val = scored_cases(spark, sf).where(F.col("split") == "validation").select(C.id, C.target) \
+        .join(cases(spark, sf).drop(C.target), on=C.id)
+    imp = X.permutation_importance(val, C.id, C.target, FEATURES, _fixed_rule, repeats=2, seed=5)
+    return round_doubles(X.top_importances(imp.select("feature_name", "mean_importance"), "mean_importance", 3))
