@@ -32,12 +32,18 @@ def check_threshold(threshold: float) -> None:
         raise ValueError(MSG_THRESHOLD)
 
 
-def score_table(df: DataFrame, y: str, s: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    """(group..., s, pos, neg, _bad_y, _null_y) - one row per distinct score."""
+def score_table(df: DataFrame, y: str, s: str, group_cols: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    """(group..., s, pos, neg, _bad_y, _null_y) - one row per distinct score.  With ``weight``,
+    pos / neg are weighted sums (sample weights, bootstrap replicate weights)."""
     yc = F.col(y)
+    if weight is not None:
+        w = F.col(weight).cast("double")
+        pos, neg = F.sum(F.when(yc == 1, w).otherwise(0.0)), F.sum(F.when(yc == 0, w).otherwise(0.0))
+    else:
+        pos, neg = F.count_if(yc == 1), F.count_if(yc == 0)
     return df.groupBy(*group_cols, s).agg(
-        F.count_if(yc == 1).alias("pos"),
-        F.count_if(yc == 0).alias("neg"),
+        pos.alias("pos"),
+        neg.alias("neg"),
         F.count_if(yc.isNotNull() & ~yc.isin(0, 1)).alias("_bad_y"),
         F.count_if(yc.isNull()).alias("_null_y"),
     )
@@ -56,17 +62,18 @@ def _guard(value: Column, checks: list[tuple[Column, str]]) -> Column:
 
 
 def ranked_scores(df: DataFrame, y: str, s: str, group_cols: Sequence[str] = (),
-                  extra: DataFrame | None = None) -> DataFrame:
+                  extra: DataFrame | None = None, weight: str | None = None) -> DataFrame:
     """Score table with exact descending running sums ``cum_pos``/``cum_neg`` and totals.
 
     ``extra`` rows (group..., s, pos=0, neg=0, _probe=1) are interleaved after
     the score rows of equal value, so their running sums count every score >= s.
     """
-    g = score_table(df, y, s, group_cols)
+    g = score_table(df, y, s, group_cols, weight)
     base = g.select(*group_cols, s, "pos", "neg", "_bad_y", "_null_y", F.lit(0).alias("_probe"))
     if extra is not None:
-        base = base.unionByName(extra.select(*group_cols, F.col(s), F.lit(0).cast("long").alias("pos"),
-                                             F.lit(0).cast("long").alias("neg"), F.lit(0).cast("long").alias("_bad_y"),
+        num = "double" if weight is not None else "long"
+        base = base.unionByName(extra.select(*group_cols, F.col(s), F.lit(0).cast(num).alias("pos"),
+                                             F.lit(0).cast(num).alias("neg"), F.lit(0).cast("long").alias("_bad_y"),
                                              F.lit(0).cast("long").alias("_null_y"), F.lit(1).alias("_probe")))
     return running_totals(base, s, ["pos", "neg", "_bad_y", "_null_y"], group_cols, descending=True,
                           tiebreak="_probe")
@@ -138,11 +145,13 @@ def binary_metrics(
     s: str,
     threshold: float | DataFrame = 0.5,
     group_cols: Sequence[str] = (),
+    weight: str | None = None,
 ) -> DataFrame:
     """One metrics row per group.  ``threshold`` is a number or a table
-    ``(group..., threshold)`` (one threshold per group, e.g. chosen on validation)."""
+    ``(group..., threshold)`` (one threshold per group, e.g. chosen on validation).  ``weight``
+    turns every count into a weighted sum (row_count and confusion cells become weights)."""
     group_cols = list(group_cols)
-    rt = ranked_scores(df, y, s, group_cols)
+    rt = ranked_scores(df, y, s, group_cols, weight=weight)
     if isinstance(threshold, DataFrame):
         keys = group_cols or ["_one"]
         tt = threshold.select(*group_cols, F.col("threshold").alias("_t"))

@@ -7,6 +7,7 @@ summary).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -165,3 +166,67 @@ def spearman_ranks(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame
     ranked = long.join(avg_rank, on=["column", "value"], how="left")
     return ranked.groupBy(q(key)).pivot("column", list(columns)).agg(F.first("rank"))
 
+
+
+def bootstrap_metrics(df: DataFrame, y: str, s: str, key: str, replicates: int = 200, seed: int = 42,
+                      metrics: Sequence[str] = ("average_precision", "roc_auc", "ks_statistic", "brier_score"),
+                      level: float = 0.95, threshold: float = 0.5) -> DataFrame:
+    """Poisson(1) bootstrap - every row gets a repeatable Poisson weight per replicate from a hash
+    (no resampled copies are materialised beyond the weighted rows), all replicates are one grouped
+    weighted metric job, and the interval is the exact percentile of each metric over replicates."""
+    from riskloom.operators.metrics import binary_metrics
+    lam = math.exp(-1.0)
+    # inverse-CDF of Poisson(1) from one uniform draw; counts above 8 have probability < 1e-5 in total
+    cdf, acc, p = [], 0.0, lam
+    for k in range(12):
+        acc += p
+        cdf.append(acc)
+        p = p / (k + 1)
+    rep = F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate")
+    x = df.select(q(key), F.col(y), F.col(s), rep)
+    u = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("replicate"), q(key)), 11).cast("double") / float(2 ** 53)
+    wexpr = F.lit(len(cdf))
+    for k in reversed(range(len(cdf))):
+        wexpr = F.when(u < cdf[k], F.lit(k)).otherwise(wexpr)
+    x = x.withColumn("_w", wexpr.cast("double")).where(F.col("_w") > 0)
+    per = binary_metrics(x, y, s, threshold, ["replicate"], weight="_w")
+    long = per.select("replicate", F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
+                                                      for m in metrics])))
+    lo, hi = (1 - level) / 2, 1 - (1 - level) / 2
+    qs = exact_quantiles(long, "value", [lo, 0.5, hi], ["metric"])
+    return qs.groupBy("metric").agg(F.max(F.when(F.col("q_index") == 0, F.col("quantile"))).alias("lower"),
+                                    F.max(F.when(F.col("q_index") == 1, F.col("quantile"))).alias("median"),
+                                    F.max(F.when(F.col("q_index") == 2, F.col("quantile"))).alias("upper"))
+
+
+def distribution_shift(df: DataFrame, a: str, b: str, bins: int = 20, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Histograms of two probability columns on [0, 1] side by side plus the mean absolute
+    difference per group."""
+    def binned(c):
+        return F.least(F.floor(F.col(c) * bins), F.lit(bins - 1)).cast("int")
+    long = df.select(*group_cols, F.abs(F.col(a) - F.col(b)).alias("_d"), F.inline(F.array(
+        F.struct(F.lit(a).alias("series"), binned(a).alias("bin")),
+        F.struct(F.lit(b).alias("series"), binned(b).alias("bin")))))
+    hist = long.groupBy(*group_cols, "bin").agg(
+        F.count_if(F.col("series") == a).alias(f"{a}_count"), F.count_if(F.col("series") == b).alias(f"{b}_count"))
+    mad = df.groupBy(*group_cols).agg(F.avg(F.abs(F.col(a) - F.col(b))).alias("mean_absolute_difference"))
+    return hist.join(mad, on=list(group_cols) or None, how="inner") if group_cols else \
+        hist.withColumn("_one", F.lit(1)).join(mad.withColumn("_one", F.lit(1)), on="_one").drop("_one")
+
+
+def importance_stability(runs: DataFrame, run_col: str, name_col: str, value_col: str, top_k: int = 5) -> DataFrame:
+    """Per pair of runs (seeds), overlap of the top-k feature sets and the Spearman correlation of
+    the importance ranks.  ``runs`` holds one row per (run, feature): a small table."""
+    from pyspark.sql import Window
+    w = Window.partitionBy(run_col).orderBy(F.col(value_col).desc(), F.col(name_col))
+    ranked = runs.withColumn("_rank", F.row_number().over(w).cast("double"))
+    tops = ranked.groupBy(run_col).agg(F.collect_set(F.when(F.col("_rank") <= top_k, F.col(name_col))).alias("_top"))
+    a = ranked.select(F.col(run_col).alias("run_a"), name_col, F.col("_rank").alias("rank_a"))
+    b = ranked.select(F.col(run_col).alias("run_b"), name_col, F.col("_rank").alias("rank_b"))
+    pairs = a.join(b, on=name_col).where(F.col("run_a") < F.col("run_b"))
+    corr = pairs.groupBy("run_a", "run_b").agg(F.corr("rank_a", "rank_b").alias("rank_correlation"))
+    ta = tops.select(F.col(run_col).alias("run_a"), F.col("_top").alias("top_a"))
+    tb = tops.select(F.col(run_col).alias("run_b"), F.col("_top").alias("top_b"))
+    return corr.join(ta, on="run_a").join(tb, on="run_b").select(
+        "run_a", "run_b", "rank_correlation",
+        (F.size(F.array_intersect("top_a", "top_b")) / F.lit(float(top_k))).alias("top_k_overlap"))

@@ -767,11 +767,13 @@ from riskloom.operators.features import preprocessing  # noqa: E402
 from riskloom.operators.imbalance import class_weight_summary, with_balanced_weights, with_weight_column  # noqa: E402
 
 BENCH_TREES = 20  # the reference uses 600 rounds; the registered query trains a short model
+QUERY_MAX_ITER = 100  # lbfgs iteration budget of the registered logistic queries (library default 1000)
 
 
 def _train_frame(spark, sf):
     df = split_cases(spark, sf)
-    return df, df.where(F.col("split") == "train")
+    train = df.where(F.col("split") == "train").persist()
+    return df, M.sized_for_iterations(train, train.count())
 
 
 def trained_model(spark, sf, kind: str):
@@ -781,7 +783,8 @@ def trained_model(spark, sf, kind: str):
     if kind == "logistic":
         summary = class_weight_summary(train, C.target)
         weighted = with_balanced_weights(train, C.target, summary)
-        est = M.logistic("features", C.target, n_weight=float(train.count()), weight_col="weight")
+        est = M.logistic("features", C.target, n_weight=float(train.count()), weight_col="weight",
+                         max_iter=QUERY_MAX_ITER)
         return df, M.fit(prep, est, weighted)
     if kind == "boosting":
         ratio = class_weight_summary(train, C.target).first()["scale_pos_weight"]
@@ -1252,3 +1255,68 @@ def q_top_importances(spark, sf):
         .join(cases(spark, sf).drop(C.target), on=C.id)
     imp = X.permutation_importance(val, C.id, C.target, FEATURES, _fixed_rule, repeats=2, seed=5)
     return round_doubles(X.top_importances(imp.select("feature_name", "mean_importance"), "mean_importance", 3))
+
+
+# ---------------------------------------------------------------- D4, D10, D13, M9-M14 (rows-only)
+@register("bootstrap_intervals")
+def q_bootstrap_intervals(spark, sf):
+    """95 % Poisson-bootstrap intervals of the validation metrics (100 replicates, one job)."""
+    val = scored_cases(spark, sf).where(F.col("split") == "validation")
+    return round_doubles(D.bootstrap_metrics(val, C.target, "score", C.id, replicates=100, seed=42))
+
+
+@register("calibration_distribution_shift")
+def q_calibration_shift(spark, sf):
+    """Raw vs isotonic-calibrated probability histograms and mean absolute difference."""
+    cal = calibrated_scores(spark, sf).where(F.col("split") == "validation")
+    return round_doubles(D.distribution_shift(cal, "score", "calibrated", 20))
+
+
+@register("importance_stability")
+def q_importance_stability(spark, sf):
+    """Top-5 overlap and rank correlation of permutation importances across three seeds."""
+    val = scored_cases(spark, sf).where(F.col("split") == "validation").select(C.id, C.target) \
+        .join(cases(spark, sf).drop(C.target), on=C.id)
+    # three runs = three disjoint pairs of repeats of one permutation job (each repeat has its own hash order)
+    imp = X.permutation_importance(val, C.id, C.target, FEATURES, _fixed_rule, repeats=6, seed=1)
+    runs = imp.select("feature_name", F.posexplode(F.array(*[
+        (F.col("importance_values")[2 * j] + F.col("importance_values")[2 * j + 1]) / 2.0 for j in range(3)]))
+        .alias("run", "mean_importance")).persist()  # a 30-row table read three times below
+    return round_doubles(D.importance_stability(runs, "run", "feature_name", "mean_importance", 5))
+
+
+@register("model_reload_check")
+def q_model_reload_check(spark, sf):
+    """M9 + M10 + S9: save the pipeline to the shared checkpoint folder, reload, score validation."""
+    import os
+    import uuid
+
+    from riskloom.session import ensure_checkpoint_dir
+    df, model = trained_model(spark, sf, "logistic")
+    path = os.path.join(ensure_checkpoint_dir(spark), f"reload-{uuid.uuid4().hex}")
+    return round_doubles(M.reload_check(model, df.where(F.col("split") == "validation"), path))
+
+
+@register("random_search_leaderboard")
+def q_random_search(spark, sf):
+    """Seeded random search over the logistic penalty; each fit is a Spark job; leaderboard
+    by validation average precision (ties -> earlier candidate)."""
+    df, train = _train_frame(spark, sf)
+    val = df.where(F.col("split") == "validation").persist()
+    n = float(train.count())
+
+    def make(params):
+        est = M.logistic("features", C.target, n_weight=n, C=params["C"], max_iter=min(params["max_iter"], QUERY_MAX_ITER))
+        return __import__("pyspark.ml", fromlist=["Pipeline"]).Pipeline(
+            stages=[*preprocessing(C, output_col="features").getStages(), est])
+
+    def evaluate(model, data):
+        sc = M.predict_proba(model, data, keep=[C.target], out="p")
+        return K.binary_metrics(sc, C.target, "p").first()["average_precision"]
+
+    rows = M.random_search(train, val, make, evaluate, {"C": [0.01, 0.1, 1.0, 10.0], "max_iter": [50, 200]},
+                           n_iter=3, seed=42, split_col="split")
+    board = spark.createDataFrame([(r["index"], float(r["params"]["C"]), int(r["params"]["max_iter"]), r["metric"],
+                                    r["error"]) for r in rows],
+                                  "stage int, C double, max_iter int, validation_average_precision double, error string")
+    return round_doubles(board)

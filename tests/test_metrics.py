@@ -107,3 +107,22 @@ def test_exact_quantiles_match_numpy(spark):
             assert got[(g, i)] == pytest.approx(float(np.quantile(sub, p)), rel=1e-12)
     got2 = {(r.g, r.q_index): r.quantile for r in CU.exact_quantiles(df, "v", probs, ["g"], rows_per_bucket=5).collect()}
     assert got2 == pytest.approx(got)
+
+
+def test_weighted_equals_duplicated(spark):
+    rows = [(0, .1, 2.0), (1, .4, 1.0), (0, .4, 3.0), (1, .8, 2.0), (0, .9, 1.0), (1, .95, 1.0)]
+    w = spark.createDataFrame(rows, "y int, s double, w double")
+    dup = spark.createDataFrame([(y, s) for y, s, k in rows for _ in range(int(k))], "y int, s double")
+    a = K.binary_metrics(w, "y", "s", 0.5, weight="w").first()
+    b = K.binary_metrics(dup, "y", "s", 0.5).first()
+    for m in ("average_precision", "roc_auc", "ks_statistic", "brier_score", "precision", "recall", "f1"):
+        assert a[m] == pytest.approx(b[m], abs=1e-12), m
+
+
+def test_row_level_ks_depends_on_tie_order(spark):
+    df = spark.createDataFrame([(1, 0, .5), (2, 1, .5), (3, 1, .5), (4, 0, .2)], "k int, y int, s double")
+    r = K.ks_row_level(df, "y", "s", "k").first()
+    # order within the tie: k=1 (neg), 2 (pos), 3 (pos): max |tpr - fpr| = 0.5 after row 3
+    assert r.ks_statistic_row_level == pytest.approx(0.5)
+    g = K.binary_metrics(df, "y", "s").first()
+    assert g.ks_statistic == pytest.approx(0.5)

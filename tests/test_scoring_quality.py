@@ -82,3 +82,33 @@ def test_validation_report_status(spark):
     rules = {r.rule for r in rep.collect()}
     assert {"id_not_unique", "target_not_binary"} <= rules
     assert V.report_status(rep).first().status == "failed"
+
+
+def test_model_registry_active_latest(spark):
+    from riskloom.operators.layers import register_model_version
+    reg = spark.createDataFrame([("m", "1", "2026-01-01")], "model_name string, model_version string, registered_at_utc string")
+    new = spark.createDataFrame([("m", "2", "2026-02-01")], "model_name string, model_version string, registered_at_utc string")
+    out = {r.model_version: r.is_active for r in register_model_version(reg, new).collect()}
+    assert out == {"1": False, "2": True}
+
+
+def test_champion_rule(spark):
+    from riskloom.operators import compare as CMP
+    cfg = CMP.config_table(spark, [CMP.ModelConfig("baseline", "B", "lr"),
+                                   CMP.ModelConfig("xgboost", "X", "gbt", True, True, True),
+                                   CMP.ModelConfig("torch", "T", "mlp")])
+    vals = {"baseline": (.3224, .8278, .5130, .0534, .3303, .8311, .5071, .0531),
+            "xgboost": (.4195, .8711, .5930, .0485, .4122, .8717, .5899, .0485),
+            "torch": (.3976, .8723, .5904, .1494, .3959, .8692, .5847, .1494)}
+    rows = []
+    for k, v in vals.items():
+        for i, part in enumerate(("validation", "test")):
+            ap, auc, ks, br = v[4 * i:4 * i + 4]
+            rows.append((k, part, ap, auc, ks, br, 0.0, 0.0, 0.0, 0.0))
+    met = spark.createDataFrame(rows, "model_key string, split string, average_precision double, roc_auc double, "
+                                "ks_statistic double, brier_score double, accuracy double, precision double, "
+                                "recall double, f1 double")
+    th = spark.createDataFrame([("xgboost", 0.19963, 0.13705)], "model_key string, f1_threshold double, cost_threshold double")
+    flagged = CMP.champion_flags(CMP.rank_models(CMP.model_records(met, cfg, th)))
+    got = {r.model_key: (r.rank, r.is_champion) for r in flagged.collect()}
+    assert got == {"xgboost": (1, True), "torch": (2, False), "baseline": (3, False)}
