@@ -1320,3 +1320,66 @@ def q_random_search(spark, sf):
                                     r["error"]) for r in rows],
                                   "stage int, C double, max_iter int, validation_average_precision double, error string")
     return round_doubles(board)
+
+
+# ---------------------------------------------------------------- V12 / V13 file checksums, D5 data checks
+def file_checksums_frame(spark, sf):
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(sf)
+    return files.select(F.regexp_extract("path", r"[^/]+$", 0).alias("name"), F.sha2("content", 256).alias("sha256"),
+                        F.col("length").alias("size_bytes"))
+
+
+@register("file_checksums", "SELECT regexp_extract(filename, '[^/]+$', 0) AS name, sha256(content) AS sha256, "
+          "CAST(size AS BIGINT) AS size_bytes FROM read_blob('/root/testdata/sf0.01/*.parquet')")
+def q_file_checksums(spark, sf):
+    """SHA-256 of every source file (one row per file; a file is read by one task)."""
+    return file_checksums_frame(spark, sf)
+
+
+@register("dataset_fingerprint", "SELECT sha256(string_agg(name || ':' || h, '' ORDER BY name)) AS dataset_fingerprint "
+          "FROM (SELECT regexp_extract(filename, '[^/]+$', 0) AS name, sha256(content) AS h "
+          "FROM read_blob('/root/testdata/sf0.01/*.parquet')) f")
+def q_dataset_fingerprint(spark, sf):
+    """sha256 over name:hash in name order."""
+    return V.dataset_fingerprint(file_checksums_frame(spark, sf))
+
+
+def _data_checks_sql() -> str:
+    parts = []
+    for c in FEATURES:
+        t = f"trim(CAST({c} AS VARCHAR))"
+        parts.append(
+            f"SELECT '{c}' AS \"column\", CAST(sum(CASE WHEN {c} IS NULL OR {t} = '' OR lower({t}) = 'nan' THEN 1 ELSE 0 END) "
+            f"AS BIGINT) AS missing_count, CAST(sum(CASE WHEN lower({t}) IN ('inf', '+inf', '-inf', 'infinity', '+infinity', "
+            f"'-infinity') THEN 1 ELSE 0 END) AS BIGINT) AS infinite_count, CAST(sum(CASE WHEN NOT ({c} IS NULL OR {t} = '' "
+            f"OR lower({t}) = 'nan' OR lower({t}) IN ('inf', '+inf', '-inf', 'infinity', '+infinity', '-infinity')) AND NOT "
+            f"regexp_matches({t}, '{NUMERIC_PATTERN}') THEN 1 ELSE 0 END) AS BIGINT) AS unparseable_count, "
+            f"{S.rnd6(f'CAST(sum(CASE WHEN {c} IS NULL OR {t} = {chr(39)}{chr(39)} OR lower({t}) = {chr(39)}nan{chr(39)} THEN 1 ELSE 0 END) AS DOUBLE) / count(*)')} "
+            f"AS missing_rate FROM apps")
+    return S.with_cases(" UNION ALL ".join(parts), f"apps AS ({applications_sql()})")
+
+
+@register("upload_data_checks", _data_checks_sql())
+def q_upload_data_checks(spark, sf):
+    """Per raw column of the upload: missing (blank / NaN), infinite and unparseable counts, missing rate."""
+    apps = load_applications(spark, sf)
+    exprs = []
+    for c in FEATURES:
+        t = F.trim(F.col(c).cast("string"))
+        missing = F.col(c).isNull() | (t == "") | (F.lower(t) == "nan")
+        inf = F.lower(t).isin(*B.INFINITY_TEXT)
+        bad = ~(missing | inf) & ~t.rlike(NUMERIC_PATTERN)
+        exprs.append(F.struct(F.lit(c).alias("column"), F.count_if(missing).alias("missing_count"),
+                              F.count_if(inf).alias("infinite_count"), F.count_if(bad).alias("unparseable_count"),
+                              (F.count_if(missing) / F.count(F.lit(1))).alias("missing_rate")))
+    return round_doubles(apps.agg(F.array(*exprs).alias("a")).select(F.inline("a")))
+
+
+@register("upload_duplicate_ids", S.with_cases(
+    "SELECT CAST(count(*) - count(DISTINCT case_id) AS BIGINT) AS duplicate_id_rows, CAST(count(*) AS BIGINT) AS row_count "
+    "FROM apps", f"apps AS ({applications_sql()})"))
+def q_upload_duplicate_ids(spark, sf):
+    """Rows whose identifier repeats an earlier one (exact distinct count: a two-level aggregate)."""
+    apps = load_applications(spark, sf)
+    return apps.agg((F.count(F.lit(1)) - F.count_distinct(C.id)).alias("duplicate_id_rows"),
+                    F.count(F.lit(1)).alias("row_count"))
