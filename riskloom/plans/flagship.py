@@ -25,7 +25,7 @@ FP_COST, FN_COST = 1.0, 5.0
 
 def cost_threshold_question(spark: SparkSession, sf_dir: str, fp_cost: float = FP_COST,
                             fn_cost: float = FN_COST) -> DataFrame:
-    raw = load_cases(spark, sf_dir)
+    raw = load_cases(spark, sf_dir).persist()  # read by the quality flags and by the feature / split branch
     flags = V.quality_flags(raw, C)
     built = FeatureBuilder.for_columns(C).transform(raw)
     scored = assign_splits(built, C.id, C.target, SplitConfig()) \
