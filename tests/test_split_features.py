@@ -123,3 +123,19 @@ def test_exact_knn_small(spark):
     got = {(r.k, r.rank): r.nn_key for r in exact_knn(pts, "k", "v", 2, block_rows=7).collect()}
     assert {got[(10, 1)], got[(10, 2)]} == {9, 11}
     assert got[(0, 1)] == 1 and got[(0, 2)] == 2
+
+
+def test_smote_hot_duplicate_group(spark):
+    from riskloom.operators.imbalance import smote
+    rows = [(i, 0, 0.1 * (i % 7), 30.0 + i, 0.0, 0.2, 3000.0, 5.0, 0.0, 1.0, 0.0, 1.0) for i in range(40)]
+    rows += [(100 + i, 1, 0.5, 40.0, 1.0, 0.3, 2000.0, 4.0, 0.0, 1.0, 0.0, 2.0) for i in range(12)]  # one vector x12
+    rows += [(200, 1, 0.9, 50.0, 2.0, 0.6, 1000.0, 3.0, 1.0, 0.0, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out, dist = smote(df, "id", "y", list(COLS.features), k_neighbors=5, seed=3)
+    d = {r.target: r.count_after for r in dist.collect()}
+    assert d[1] == d[0] == 40
+    # a base inside the duplicate group draws its 5 slots from its own 11 copies: synthetic = the point itself
+    syn = [r for r in out.where("id < 0").collect()]
+    assert len(syn) == 27
+    for r in syn:
+        assert 0.5 <= r.util <= 0.9 and 40.0 <= r.age <= 50.0
