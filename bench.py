@@ -47,20 +47,27 @@ def main() -> None:
                           app="riskloom-bench", driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
     names = only or HEADLINE
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in names:
         fn = QUERIES[name]
         runs = []
-        for i in range(repeat + 1):
-            spark.catalog.clearCache()
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            elapsed = time.perf_counter() - t0
-            if i > 0:
-                runs.append(elapsed)
-        times[name] = round(statistics.median(runs), 3)
+        try:
+            for i in range(repeat + 1):
+                spark.catalog.clearCache()
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                elapsed = time.perf_counter() - t0
+                if i > 0:
+                    runs.append(elapsed)
+            times[name] = round(statistics.median(runs), 3)
+        except Exception as exc:  # noqa: BLE001 - report and keep measuring the others
+            errors[name] = str(exc)[:300]
     sf = os.path.basename(os.path.normpath(sf_dir)).replace("sf", "")
-    print(json.dumps({"metric": "sum_of_median_query_seconds", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf, "cpus": cpus, "repeat": repeat}))
+    out = {"metric": "sum_of_median_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
+           "queries": times, "sf": sf, "cpus": cpus, "repeat": repeat}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
