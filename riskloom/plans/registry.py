@@ -1062,7 +1062,8 @@ FROM shares GROUP BY event_type"""
 def q_psi_drift(spark, sf):
     """Population stability of ``events.value`` per event type, first vs second half of the month."""
     ev = _events(spark, sf)
-    split = F.col("ts") < F.lit(_PSI_SPLIT.replace(" ", "T") + "Z").cast("timestamp")  # a UTC instant, any session zone
+    # events.ts is stored as wall-clock time (no UTC adjustment): compare with a wall-clock literal
+    split = F.col("ts") < F.lit(_PSI_SPLIT).cast(ev.schema["ts"].dataType)
     t = D.psi(ev.where(split), ev.where(~split), "value", 10, ["event_type"])
     return round_doubles(t.groupBy("event_type").agg(F.sum("psi_term").alias("psi"),
                                                      F.sum("base_count").cast("long").alias("base_rows"),
