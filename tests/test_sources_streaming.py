@@ -89,3 +89,31 @@ def test_stream_equals_batch(spark, tmp_path):
     batch = B.normalize_batch(spark.read.option("header", True).schema(ST.text_schema(["id", *GMSC.features]))
                               .csv(str(folder)), GMSC)
     assert batch.where("row_error IS NULL").count() == 2
+
+
+def test_table_source_contract(spark, tmp_path):
+    """A catalog table goes through the same contract gate."""
+    p = write(tmp_path / "train.csv", [HEADER, *ROWS])
+    S.typed(S.read_text_csv(spark, p), GMSC).createOrReplaceTempView("raw_train")
+    df = S.load_validated(spark, "raw_train", V.contracts_for(GMSC)["train"], GMSC, fmt="table")
+    assert df.count() == 2
+    with pytest.raises(ValueError, match="Unsupported source format"):
+        S.load_validated(spark, p, V.contracts_for(GMSC)["train"], GMSC, fmt="xml")
+
+
+def test_learning_curve_and_importance(spark):
+    """M7 + M8 on a tiny boosted model."""
+    from riskloom.operators import models as M
+    from riskloom.operators.features import preprocessing
+    rows = [(i, int(i % 3 == 0), 0.1 + 0.02 * i, 30.0 + i, float(i % 4), 0.2, 3000.0 + 10 * i, 5.0, float(i % 3 == 0),
+             1.0, 0.0, 1.0) for i in range(60)]
+    schema = ", ".join([f"`{GMSC.id}` long", f"`{GMSC.target}` int"] + [f"`{c}` double" for c in GMSC.features])
+    df = spark.createDataFrame(rows, schema)
+    est = M.BoostingParams(n_estimators=5, max_depth=2).estimator("features", GMSC.target)
+    model = M.fit(preprocessing(GMSC), est, df)
+    curve = M.learning_curve(model, df)
+    assert len(curve) == 5 and curve[-1] <= curve[0]
+    imp = {r.feature: r for r in M.tree_importance(model, list(GMSC.features) + ["a", "b"]).collect()}
+    assert imp[GMSC.late_90].weight > 0
+    with pytest.raises(ValueError, match="no Spark equivalent"):
+        M.BoostingParams(extra={"reg_alpha": 1.0}).estimator("f", "y")
