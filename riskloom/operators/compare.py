@@ -16,7 +16,14 @@ from riskloom import rules as R
 
 RECORD_METRICS = ("average_precision", "roc_auc", "ks_statistic", "brier_score", "accuracy", "precision", "recall",
                   "f1")
+# FIXED VALUES: champion-rule messages and rationale sentences.
 MSG_NO_RECORDS = "Champion selection requires at least one model record."
+SENTENCE_RANKED_FIRST = "%s ranked first on validation PR-AUC (%.4f)"
+SENTENCE_STRONGEST_TEST = "%s remained strongest on test PR-AUC (%.4f)"
+SENTENCE_LOWEST_BRIER = "%s showed the lowest test Brier score (%.4f)"
+SENTENCE_THRESHOLDS = "The selected model already includes persisted threshold-selection and cost-analysis artifacts."
+SENTENCE_INFERENCE = "The selected model is already wired into both interactive and batch inference paths."
+# END FIXED VALUES
 
 
 @dataclass(frozen=True)
@@ -100,17 +107,13 @@ def rationale(flagged: DataFrame) -> DataFrame:
     best_test = F.max("test_average_precision").over(w)
     x = flagged.withColumn("_lb", lowest_brier).withColumn("_bt", best_test).where(F.col("is_champion"))
     sentences = F.array(
-        F.when(F.col("rank") == 1, F.format_string("%s ranked first on validation PR-AUC (%.4f)", F.col("label"),
+        F.when(F.col("rank") == 1, F.format_string(SENTENCE_RANKED_FIRST, F.col("label"),
                                                    F.col("validation_average_precision"))),
         F.when(F.col("test_average_precision") == F.col("_bt"),
-               F.format_string("%s remained strongest on test PR-AUC (%.4f)", F.col("label"),
-                               F.col("test_average_precision"))),
+               F.format_string(SENTENCE_STRONGEST_TEST, F.col("label"), F.col("test_average_precision"))),
         F.when(F.col("test_brier_score") == F.col("_lb"),
-               F.format_string("%s showed the lowest test Brier score (%.4f)", F.col("label"),
-                               F.col("test_brier_score"))),
-        F.when(F.col("f1_threshold").isNotNull(),
-               F.lit("The selected model already includes persisted threshold-selection and cost-analysis "
-                     "artifacts.")),
+               F.format_string(SENTENCE_LOWEST_BRIER, F.col("label"), F.col("test_brier_score"))),
+        F.when(F.col("f1_threshold").isNotNull(), F.lit(SENTENCE_THRESHOLDS)),
         F.when(F.col("interactive_inference_supported") & F.col("batch_inference_supported"),
-               F.lit("The selected model is already wired into both interactive and batch inference paths.")))
+               F.lit(SENTENCE_INFERENCE)))
     return x.select("model_key", F.posexplode(F.filter(sentences, lambda s: s.isNotNull())).alias("point", "sentence"))

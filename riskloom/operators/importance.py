@@ -19,6 +19,7 @@ from riskloom.functions.columns import q
 from riskloom.functions.cumulative import running_totals
 from riskloom.operators.metrics import binary_metrics
 
+# FIXED VALUES
 MSG_REPEATS = "Permutation importance requires n_repeats to be positive."
 MSG_TOP = "top_n must be positive."
 

@@ -16,6 +16,7 @@ from riskloom import rules as R
 from riskloom.functions.columns import NUMERIC_PATTERN, q
 from riskloom.rules import CreditColumns
 
+# FIXED VALUES: batch-level messages (row-level ones live in riskloom.rules).
 MSG_EMPTY_BATCH = "Uploaded dataframe must contain at least one row."
 MSG_DUPLICATE_BATCH = "Duplicate columns are not allowed: {cols}"
 MSG_MISSING_BATCH = "Missing required feature columns: {cols}"
@@ -24,6 +25,7 @@ MSG_FILE_LEVEL = "Batch dataframe failed file-level validation."
 MSG_ROW_LEVEL = "Batch dataframe failed row-level validation."
 MSG_UNEXPECTED_FIELDS = "Unexpected applicant fields: {cols}"
 MSG_EMPTY_SUMMARY = "Cannot build a batch summary for an empty scored dataframe."
+# END FIXED VALUES
 NORM_PREFIX = "_norm_"
 INFINITY_TEXT = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
 SCORE_COLUMNS = ("predicted_probability", "risk_band", "predicted_label_f1_threshold",

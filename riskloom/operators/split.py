@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from riskloom import rules as R
 from riskloom.functions.columns import q
 
+# FIXED VALUES
 MSG_SIZES = "train_size + validation_size + test_size must equal 1.0."
 
 

@@ -18,6 +18,7 @@ from riskloom import rules as R
 from riskloom.functions.cumulative import exact_quantiles
 from riskloom.operators.metrics import binary_metrics, ranked_scores
 
+# FIXED VALUES
 MSG_MAX_CANDIDATES = "max_candidates must be greater than 1."
 
 
