@@ -122,7 +122,9 @@ def threshold_report(scored: DataFrame, y: str, s: str, split_col: str = "split"
                             min_precision, min_recall, top=1)
     chosen = best.select(*group_cols, "threshold", "status")
     test = scored.where(F.col(split_col) == read_on)
-    return binary_metrics(test, y, s, chosen.select(*group_cols, "threshold"), group_cols) \
-        .join(chosen.select(*group_cols, "status") if group_cols else chosen.select("status"),
-              on=group_cols or None, how="inner") if group_cols else \
-        binary_metrics(test, y, s, chosen.select("threshold"), group_cols)
+    metrics = binary_metrics(test, y, s, chosen.select(*group_cols, "threshold"), group_cols)
+    keys = group_cols or ["_one"]
+    if not group_cols:
+        metrics, chosen = metrics.withColumn("_one", F.lit(1)), chosen.withColumn("_one", F.lit(1))
+    out = metrics.join(chosen.select(*keys, "status"), on=keys, how="inner")
+    return out if group_cols else out.drop("_one")

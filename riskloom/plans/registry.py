@@ -1384,3 +1384,17 @@ def q_upload_duplicate_ids(spark, sf):
     apps = load_applications(spark, sf)
     return apps.agg((F.count(F.lit(1)) - F.count_distinct(C.id)).alias("duplicate_id_rows"),
                     F.count(F.lit(1)).alias("row_count"))
+
+
+_BEST_F1_SQL = (f"SELECT threshold FROM (SELECT *, row_number() OVER (ORDER BY f1 DESC, recall DESC, threshold) AS r "
+                f"FROM ({_sweep_sql()}) sw) x WHERE r = 1")
+
+
+@register("threshold_test_readout", S.with_cases(
+    "SELECT *, 'constraints_satisfied' AS status FROM (" + S.round_select(
+        S.metrics_sql("(SELECT * FROM scored WHERE split = 'test')", None,
+                      threshold=f"CAST(({_BEST_F1_SQL}) AS DOUBLE)"), S.METRIC_LONGS, S.METRIC_DOUBLES) + ") t",
+    S.scored_cte() + f",\ngrid AS ({_grid_sql()})"))
+def q_threshold_test_readout(spark, sf):
+    """T5: F1-optimal threshold chosen on validation, full metric bundle read out on test."""
+    return round_doubles(T.threshold_report(scored_cases(spark, sf), C.target, "score", objective="f1"))
