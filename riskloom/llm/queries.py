@@ -11,12 +11,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.llm.common import text_mod
 from riskloom.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def vocabulary() -> str:
+    """The place of the public tokenizer's file on this machine; the package is on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def register(name: str, oracle: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -44,3 +52,38 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[count(k) for k in ("email", "ip", "card", "phone")],
         F.sha2(span_text(F.col("base_spans")), 256).alias("base_sha256"), span_text(every).alias("spans"),
         F.array_join(F.transform(every, lambda s: F.format_number(s["score"], 2)), ",").alias("scores"))
+
+
+@register("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm import langid
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    net = langid.train(langid.learnable(docs))
+    rows = docs.select("doc_id", (text_mod("doc_id", 5) == 0).alias("held_out"), "text")
+    return langid.predict(rows, net).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@register("op4_backtracking_bpe")
+def op4_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.bpe import encode_decode
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_decode(docs, vocabulary()).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@register("op5_quality")
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm import quality
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, read_table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    rows = docs.select("doc_id", (text_mod("doc_id", 4) == 2).alias("held_out"), "text")
+    return quality.predict(rows, model).select("doc_id", "held_out", "score", "predicted")
+
+
+@register("op7_best_fit_packing")
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.packing import pack
+
+    return pack(read_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary())
