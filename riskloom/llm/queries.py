@@ -87,3 +87,47 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm.packing import pack
 
     return pack(read_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary())
+
+
+@register("op2_learned_partitions")
+def op2_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.ann import nearest_neighbours
+
+    return nearest_neighbours(read_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0, k=5)
+
+
+_WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+h AS (SELECT page_id, body, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha1(body) AS hex FROM p),
+m AS (SELECT body, max(page_id) AS top FROM p GROUP BY body)
+SELECT page_id, payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+    (CAST('0x' || substr(hex, 5 * (j // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (j % 4))) & 31 AS INTEGER) + 1, 1)
+    for j in range(32)], '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM h JOIN m USING (body)"""
+
+
+@register("op9_warc_normaliser", _WARC_SQL)
+def op9_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.warc import round_trip
+
+    return round_trip(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+_TOP_K_SQL = """
+WITH v AS (SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) for x in embedding] AS w FROM embeddings
+  WHERE len(embedding) > 0 AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.w) = len(c.w) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
+
+
+@register("op10_uniform_threshold", _TOP_K_SQL)
+def op10_uniform_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.topk import exact_top_k, whole_numbers
+
+    vectors = whole_numbers(read_table(spark, sf_dir, "embeddings"))
+    return exact_top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10)
