@@ -131,3 +131,10 @@ def op10_uniform_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vectors = whole_numbers(read_table(spark, sf_dir, "embeddings"))
     return exact_top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+@register("op6_ngram_jaccard")
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.jaccard import jaccard_components
+
+    return jaccard_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
