@@ -1,19 +1,84 @@
-"""The corpus pipeline: language ID, quality, near copies, personal data, packing; each stage is written and reread."""
+"""The corpus pipeline: language ID, quality, near copies, personal data, packing; each stage is written and reread.
+
+A stage takes (spark, docs, sf_dir) and works on all that its predecessor
+kept; all but the last return the columns they were given.  Rules:
+
+* ``language_id`` drops texts without a letter and texts whose best language
+  is less likely than ``LEAST_LANGUAGE``.
+* ``quality`` drops texts that score below the classifier's threshold; it
+  learns from the labels in ``sf_dir`` that belong to its own input.
+* ``near_copies`` keeps the document with the smallest id of each group of
+  linked documents (one row, should its id be repeated).
+* ``personal_data`` replaces spans by their kind in brackets and sets
+  ``n_chars``, where there is such a column, to the new length.
+* ``packing`` returns the pieces of all documents and their sequences.
+
+Edge cases: a null text has no letter and goes in the first stage; columns
+with other names, also those that an operator would add, pass unchanged; an
+empty table stays empty.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from riskloom.llm import jaccard, langid, packing, pii, quality
+from riskloom.llm.common import staged
+from riskloom.llm.queries import vocabulary
+from riskloom.sources.tables import read_table
 
-#: A trained classifier decides two stages, which SQL can't express.
+LEAST_LANGUAGE = 0.3
+
+#: Two trained classifiers decide stages, which SQL can't express.
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from riskloom.llm.common import staged
-    from riskloom.sources.tables import read_table
+def _kept(docs: DataFrame, predict, condition: Column) -> DataFrame:
+    """The rows of ``docs`` whose prediction meets the condition, with their own columns, whatever these are called."""
+    names = docs.columns
+    bare = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    found = predict(bare, f"c{names.index('text')}").where(condition)
+    return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    net = langid.train(langid.learnable(docs))
+    return _kept(docs, lambda df, text: langid.predict(df, net, text),
+                 (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE))
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    return _kept(docs, lambda df, text: quality.predict(df, model, text), F.col("predicted") == 1)
+
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    groups = jaccard.jaccard_components(docs)
+    first = groups.where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    masked = pii.mask_personal_data(docs)
+    return masked.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else masked
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, vocabulary())
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("quality", quality_filter),
+    ("near_copies", near_copies),
+    ("personal_data", personal_data),
+    ("packing", pack_sequences),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``: the last one's rows."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), name)
