@@ -9,34 +9,48 @@ bucket its starting offset; the running sum is then a window partitioned by
 (group, bucket).  The result is exact; only the bucket boundaries are
 approximate.  Small tables (``n <= rows_per_bucket``, checked with a count)
 take the plain partitioned window.
+
+Both ways give the same rows: null order values come first when ascending
+(last when descending) and NaN the other way round, as in Spark's sort; text
+order columns are bucketed by their bytes behind what all values share; null
+groups are groups like any other.
 """
 
 from __future__ import annotations
 
 import math
+import os.path
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 20_000
-BROADCAST_ROW_LIMIT = 2_000_000
 BUCKET = "_bucket"
 
 
 def _bucketize(g: DataFrame, order_col: str, buckets: int) -> DataFrame:
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = g.approxQuantile(order_col, probs, 1.0 / (4 * buckets))
+    with_double = g.withColumn("_order_d", _as_number(g, order_col))
+    cuts = with_double.approxQuantile("_order_d", probs, 1.0 / (4 * buckets))
     splits = [-math.inf] + sorted({float(c) for c in cuts if c is not None and math.isfinite(c)}) + [math.inf]
-    with_double = g.withColumn("_order_d", F.col(order_col).cast("double"))
     out = Bucketizer(splits=splits, inputCol="_order_d", outputCol=BUCKET, handleInvalid="keep").transform(with_double)
-    return out.drop("_order_d").withColumn(BUCKET, F.col(BUCKET).cast("int"))
+    # null has a bucket of its own before all others; NaN (kept by the Bucketizer) one behind them
+    return out.drop("_order_d").withColumn(BUCKET, F.coalesce(F.col(BUCKET).cast("int"), F.lit(-1)))
 
 
-def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROW_LIMIT else df
+def _as_number(g: DataFrame, order_col: str) -> Column:
+    """A number that never falls as the order column rises.  Text: six bytes behind the prefix that all values share."""
+    if not isinstance(g.schema[order_col].dataType, StringType):
+        return F.col(order_col).cast("double")
+    ends = g.agg(F.min(order_col), F.max(order_col)).first()
+    shared = len(os.path.commonprefix([(x or "").encode() for x in ends]))
+    part = F.substring(F.col(order_col).cast("binary"), shared + 1, 6)
+    return F.conv(F.rpad(F.hex(part), 12, "0"), 16, 10).cast("double")
 
 
 def running_totals(
@@ -52,8 +66,7 @@ def running_totals(
     """Add ``cum_<c>`` (inclusive running sum in ``order_col`` order within each group) and,
     when ``with_totals``, ``tot_<c>`` (group total) for every ``c`` in ``sum_cols``.
 
-    ``g`` must have at most one row per (group, order value[, tiebreak]); rows
-    with a null order value must be removed by the caller.  ``tiebreak``
+    ``g`` must have at most one row per (group, order value[, tiebreak]).  ``tiebreak``
     (ascending) orders rows of equal value; such rows always share a bucket.
     """
     group_cols = list(group_cols)
@@ -87,14 +100,15 @@ def running_totals(
         offsets = offsets.withColumn(f"_off_{c}", F.coalesce(F.sum(f"_bt_{c}").over(wb), F.lit(0)))
         if with_totals:
             offsets = offsets.withColumn(f"tot_{c}", F.sum(f"_bt_{c}").over(wg))
-    offsets = offsets.drop(*[f"_bt_{c}" for c in sum_cols]).persist()
-    n_offsets = offsets.count()
-    joined = b.join(_maybe_broadcast(offsets, n_offsets), on=keys, how="inner")
+    offsets = offsets.drop(*[f"_bt_{c}" for c in sum_cols]).withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]  # the planner chooses the join by size
+    joined = b.join(offsets, on=same, how="inner").drop(*[f"_key_{k}" for k in keys])
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     out = joined
     for c in sum_cols:
         out = out.withColumn(f"cum_{c}", F.sum(c).over(w) + F.col(f"_off_{c}"))
-    return out.drop(*[f"_off_{c}" for c in sum_cols])
+    made = [f"cum_{c}" for c in sum_cols] + ([f"tot_{c}" for c in sum_cols] if with_totals else [])
+    return out.select(*g.columns, *made, BUCKET)  # as the plain way
 
 
 def value_counts(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:

@@ -71,13 +71,16 @@ def rank_models(records: DataFrame) -> DataFrame:
 
 def champion_flags(ranked: DataFrame, ap_tolerance: float = R.CHAMPION_AP_TOLERANCE,
                    max_brier: float = R.CHAMPION_MAX_BRIER) -> DataFrame:
-    """The designated model wins if it is within the AP tolerance of the best on test and
+    """The designated model (of several, the best-ranked) wins if it is within the AP tolerance of the best on test and
     validation, supports both inference modes, has both thresholds and an acceptable test Brier;
     otherwise the best-ranked model wins.  Adds ``is_champion`` and ``designated_qualifies``."""
+    if ranked.isEmpty():
+        raise ValueError(MSG_NO_RECORDS)
     w = Window.partitionBy()  # one row per model
+    first = F.min(F.when(F.col("designated_champion"), F.col("rank"))).over(w)
     best_val = F.max(F.when(F.col("rank") == 1, F.col("validation_average_precision"))).over(w)
     best_test = F.max(F.when(F.col("rank") == 1, F.col("test_average_precision"))).over(w)
-    qualifies = (F.col("designated_champion")
+    qualifies = (F.col("designated_champion") & (F.col("rank") == first)
                  & (F.col("test_average_precision") >= best_test - ap_tolerance)
                  & (F.col("validation_average_precision") >= best_val - ap_tolerance)
                  & F.col("interactive_inference_supported") & F.col("batch_inference_supported")
@@ -85,9 +88,8 @@ def champion_flags(ranked: DataFrame, ap_tolerance: float = R.CHAMPION_AP_TOLERA
                  & (F.col("test_brier_score") <= max_brier))
     x = ranked.withColumn("designated_qualifies", F.coalesce(qualifies, F.lit(False)))
     any_q = F.max(F.col("designated_qualifies").cast("int")).over(w)
-    n = F.count(F.lit(1)).over(w)
     champ = F.when(any_q == 1, F.col("designated_qualifies")).otherwise(F.col("rank") == 1)
-    return x.withColumn("is_champion", F.when(n == 0, F.raise_error(F.lit(MSG_NO_RECORDS))).otherwise(champ))
+    return x.withColumn("is_champion", champ)
 
 
 def comparison_table(flagged: DataFrame) -> DataFrame:

@@ -218,7 +218,7 @@ def roc_curve(df: DataFrame, y: str, s: str, group_cols: Sequence[str] = ()) ->
     wb = Window.partitionBy(*group_cols).orderBy(F.col(BUCKET).desc())
     heads = heads.withColumn("_follow", F.lead("_head").over(wb)) \
                  .select(*keys, F.col("_follow.pos").alias("_fpos"), F.col("_follow.neg").alias("_fneg"))
-    rt = rt.join(F.broadcast(heads), on=keys, how="left")
+    rt = rt.join(heads, on=keys, how="left")
     next_pos = F.coalesce(F.col("_next_pos"), F.col("_fpos"))
     next_neg = F.coalesce(F.col("_next_neg"), F.col("_fneg"))
     is_first = F.col("_prev_cum") == 0

@@ -66,7 +66,8 @@ def recall_at_precision(df: DataFrame, y: str, s: str, targets: Sequence[float],
 def psi(base: DataFrame, current: DataFrame, value: str, bins: int = 10, group_cols: Sequence[str] = (),
         eps: float = 1e-6) -> DataFrame:
     """Population stability index of ``value``; bins are the base period's exact deciles
-    (value <= cut goes to the lower bin).  PSI = sum (a - b) ln(a / b) with empty shares floored at eps."""
+    (value <= cut goes to the lower bin).  PSI = sum (a - b) ln(a / b) with empty shares floored at eps.
+    A group that only the current period has gets one row with its count: no bin, no base, no term."""
     group_cols = list(group_cols)
     probs = [i / bins for i in range(1, bins)]
     cuts = exact_quantiles(base, value, probs, group_cols)
@@ -77,8 +78,8 @@ def psi(base: DataFrame, current: DataFrame, value: str, bins: int = 10, group_c
         keys = group_cols or ["_one"]
         d = df.withColumn("_one", F.lit(1)) if not group_cols else df
         c = cut_arr.withColumn("_one", F.lit(1)) if not group_cols else cut_arr
-        x = d.where(F.col(value).isNotNull()).join(F.broadcast(c), on=keys)  # one small cut list per group
-        b = F.size(F.filter("_cuts", lambda cut: F.col(value) > cut))
+        x = d.where(F.col(value).isNotNull()).join(c, on=keys, how="left")
+        b = F.when(F.col("_cuts").isNotNull(), F.size(F.filter("_cuts", lambda cut: F.col(value) > cut)))
         return x.groupBy(*group_cols, b.alias("bin")).agg(F.count(F.lit(1)).alias(tag))
 
     a = binned(current, "current_count")
@@ -86,11 +87,10 @@ def psi(base: DataFrame, current: DataFrame, value: str, bins: int = 10, group_c
     j = b.join(a, on=group_cols + ["bin"], how="full").fillna(0, ["current_count", "base_count"])
     from pyspark.sql import Window
     w = Window.partitionBy(*group_cols)  # <= bins rows per group
-    j = j.withColumn("base_share", F.greatest(F.col("base_count") / F.sum("base_count").over(w), F.lit(eps))) \
-         .withColumn("current_share", F.greatest(F.col("current_count") / F.sum("current_count").over(w), F.lit(eps)))
-    j = j.withColumn("psi_term", (F.col("current_share") - F.col("base_share"))
-                     * F.log(F.col("current_share") / F.col("base_share")))
-    return j
+    share = lambda c: F.greatest(F.coalesce(F.try_divide(c, F.sum(c).over(w)), F.lit(0.0)), F.lit(eps))
+    j = j.withColumn("base_share", share("base_count")).withColumn("current_share", share("current_count"))
+    term = (F.col("current_share") - F.col("base_share")) * F.log(F.col("current_share") / F.col("base_share"))
+    return j.withColumn("psi_term", F.when(F.col("bin").isNotNull(), term))
 
 
 def band_expression(p: Column, bands: Sequence[tuple[str, float | None, float | None]]) -> Column:

@@ -33,8 +33,11 @@ SCORE_COLUMNS = ("predicted_probability", "risk_band", "predicted_label_f1_thres
 
 
 class BatchValidationError(ValueError):
-    def __init__(self, message: str, file_errors=None, row_errors=None):
+    """A rejected batch.  ``error_rows`` is a DataFrame of every bad row; ``row_errors`` previews its first ones."""
+
+    def __init__(self, message: str, file_errors=None, row_errors=None, error_rows: DataFrame | None = None):
         super().__init__(message)
+        self.error_rows = error_rows
         self.file_errors = file_errors or []
         self.row_errors = row_errors or []
 
@@ -205,8 +208,8 @@ def score_batch(df: DataFrame, cols: CreditColumns, score_fn, f1_threshold: floa
         bad = norm.where(F.col("row_error").isNotNull())
         if not bad.isEmpty():
             k = key or cols.id
-            sample = [r.asDict() for r in row_errors(norm, k).orderBy(k).limit(1000).collect()]
-            raise BatchValidationError(MSG_ROW_LEVEL, row_errors=sample)
+            every = row_errors(norm, k)
+            raise BatchValidationError(MSG_ROW_LEVEL, row_errors=[r.asDict() for r in preview(every, k).collect()], error_rows=every)
     good = norm.where(F.col("row_error").isNull())
     enriched = enrich(good, score_fn(good), f1_threshold, cost_threshold, source, df.columns)
     return enriched, batch_summary(enriched)

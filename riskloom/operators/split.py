@@ -16,7 +16,6 @@ boundary are ranked by a window partitioned by (class, cell).
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,16 +27,13 @@ from riskloom.functions.columns import q
 MSG_SIZES = "train_size + validation_size + test_size must equal 1.0."
 
 
-@dataclass(frozen=True)
 class SplitConfig:
-    train_size: float = R.SPLIT_TRAIN
-    validation_size: float = R.SPLIT_VALIDATION
-    test_size: float = R.SPLIT_TEST
-    random_state: int = R.SPLIT_SEED
-    stratify: bool = True
-
-    def __post_init__(self) -> None:
-        if abs(self.train_size + self.validation_size + self.test_size - 1.0) > 1e-9:
+    """The fractions of train, validation and test, in this order; the seed of the hash order; whether to stratify."""
+
+    def __init__(self, *fractions: float, seed: int = R.SPLIT_SEED, stratify: bool = True) -> None:
+        self.train, self.validation, self.test = fractions or (R.SPLIT_TRAIN, R.SPLIT_VALIDATION, R.SPLIT_TEST)
+        self.seed, self.stratify = seed, stratify
+        if not math.isclose(math.fsum((self.train, self.validation, self.test)), 1.0, abs_tol=1e-9):
             raise ValueError(MSG_SIZES)
 
 
@@ -46,7 +42,7 @@ def _ceil_size(fraction: float, n: int) -> int:
     return int(math.ceil(round(fraction * n, 9)))
 
 
-def approximate_mode(counts: dict, draws: int) -> dict:
+def largest_remainders(counts: dict, draws: int) -> dict:
     """Largest-remainder allocation of ``draws`` over classes in proportion to ``counts``."""
     total = sum(counts.values())
     cont = {k: (v / total) * draws for k, v in counts.items()}
@@ -62,13 +58,13 @@ def split_quotas(class_counts: dict, config: SplitConfig, holdout_only: float |
     n = sum(class_counts.values())
     if holdout_only is not None:  # P5: one holdout of the given fraction
         n_hold = _ceil_size(holdout_only, n)
-        keep = approximate_mode(class_counts, n - n_hold)
+        keep = largest_remainders(class_counts, n - n_hold)
         return {k: (class_counts[k] - keep[k], 0, keep[k]) for k in class_counts}
-    n_test = _ceil_size(config.test_size, n)
-    trval = approximate_mode(class_counts, n - n_test)
+    n_test = _ceil_size(config.test, n)
+    trval = largest_remainders(class_counts, n - n_test)
     m = n - n_test
-    n_val = _ceil_size(config.validation_size / (config.train_size + config.validation_size), m)
-    train = approximate_mode(trval, m - n_val)
+    n_val = _ceil_size(config.validation / (config.train + config.validation), m)
+    train = largest_remainders(trval, m - n_val)
     return {k: (class_counts[k] - trval[k], trval[k] - train[k], train[k]) for k in class_counts}
 
 
@@ -85,7 +81,7 @@ def assign_splits(df: DataFrame, key: str, target: str | None, config: SplitConf
         stratum = F.lit(0)
     else:
         stratum = q(target).cast("long")
-    h = hash_order(key, config.random_state)
+    h = hash_order(key, config.seed)
     # The input is read twice (cell counts, then labels): keep it rather than recompute its lineage.
     base = df.withColumn("_stratum", stratum).withColumn("_h", h) \
         .withColumn("_cell", F.conv(F.substring("_h", 1, prefix_len), 16, 10).cast("int")).persist()
@@ -131,9 +127,9 @@ def split_metadata(df: DataFrame, target: str, split_col: str = "split") -> Data
 
 def split_oracle_sql(source_sql: str, key: str, target: str, config: SplitConfig = SplitConfig()) -> str:
     """The same split in plain SQL (window ranks over the whole class; fine for a small oracle)."""
-    ts = repr(config.test_size)
-    vs = repr(config.validation_size / (config.train_size + config.validation_size))
-    seed = str(config.random_state)
+    ts = repr(config.test)
+    vs = repr(config.validation / (config.train + config.validation))
+    seed = str(config.seed)
     return f"""
 WITH base AS (
   SELECT *, md5(concat('{seed}', '-', CAST({key} AS VARCHAR))) AS _h FROM ({source_sql}) src

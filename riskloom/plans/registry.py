@@ -1307,7 +1307,7 @@ def q_random_search(spark, sf):
     n = float(train.count())
 
     def make(params):
-        est = M.logistic("features", C.target, n_weight=n, C=params["C"], max_iter=min(params["max_iter"], QUERY_MAX_ITER))
+        est = M.logistic("features", C.target, n_weight=n, C=params["C"], max_iter=params["max_iter"])
         return __import__("pyspark.ml", fromlist=["Pipeline"]).Pipeline(
             stages=[*preprocessing(C, output_col="features").getStages(), est])
 
@@ -1320,7 +1320,7 @@ def q_random_search(spark, sf):
     board = spark.createDataFrame([(r["index"], float(r["params"]["C"]), int(r["params"]["max_iter"]), r["metric"],
                                     r["error"]) for r in rows],
                                   "stage int, C double, max_iter int, validation_average_precision double, error string")
-    return round_doubles(board)
+    return round_doubles(board).orderBy(F.desc_nulls_last("validation_average_precision"), "stage")
 
 
 # ---------------------------------------------------------------- V12 / V13 file checksums, D5 data checks
