@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from riskloom.llm.common import with_arrow_columns
 
 #: Chunks of text whose ids a worker remembers, and the longest chunk that it does.
-MEMO, MEMO_CHARS = 300_000, 48
+MEMO, MEMO_CHARS = 120_000, 48
 _WORD_END = "</w>"
 #: Final signs of a word are moved here, so that tokens with the word end are plain strings.
 _FINAL = 0xE000

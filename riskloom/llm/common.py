@@ -20,6 +20,16 @@ from riskloom.session import ensure_checkpoint_dir
 
 #: Bytes of text that the Python tasks turn into arrays at once.
 BLOCK_BYTES = 1 << 20
+#: The most bytes of an Arrow batch that a Python task gets; a session's smaller setting stays.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session, so that a task's memory doesn't follow the length of its texts."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name, None) or ""
+    if not now.rstrip("b").isdigit() or int(now.rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -44,6 +54,7 @@ def with_arrow_columns(df: DataFrame, inputs: list[str], compute: Callable, adde
 
     A column of ``df`` named like an added one is replaced.
     """
+    small_batches(df.sparkSession)
     names = added.fieldNames()
     source = df.select([F.col(f"`{c}`").alias(f"in{i}") for i, c in enumerate(inputs)]
                        + [F.col(f"`{c}`") for c in df.columns if c not in names])

@@ -156,7 +156,7 @@ def predict(df: DataFrame, net: ByteCnn | None, text: str = "text") -> DataFrame
     """``df`` with ``lang_pred`` and ``score`` (a column of one of these names is replaced)."""
     def compute(texts: pa.Array) -> list[pa.Array]:
         langs, scores = [], []
-        letters = [v is not None and bool(_LETTER.search(v)) for v in texts.to_pylist()]
+        letters = [bool(_LETTER.search(v.as_py() or "")) for v in texts]
         for first, last, data, at in utf8_pieces(texts):
             for k in range(first, last):
                 if net is None or not letters[k]:

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.llm.bpe import TextEncoder
-from riskloom.llm.common import staged
+from riskloom.llm.common import small_batches, staged
 
 CAPACITY, END_ID = 4096, 1
 #: (a piece is large from capacity / this on, groups); the plan with the fewest sequences is used.
@@ -61,6 +61,7 @@ def library_encoder(path: str) -> TextEncoder:
 
 def cut_documents(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
     """The pieces of each document: (doc_id, piece, start, length, ids_crc32)."""
+    small_batches(docs.sparkSession)
     end = np.uint32(END_ID).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
