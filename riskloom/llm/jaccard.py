@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import staged, star_components, utf8_pieces
+from riskloom.llm.common import small_batches, staged, star_components, utf8_pieces
 from riskloom.llm.words import mix, shingle_hashes, word_bounds, word_hashes
 
 SIZE, PERCENT = 5, 80
@@ -259,8 +259,8 @@ def edges_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def _tied(firsts: DataFrame) -> DataFrame:
-    """Edges (a, b) that keep together all that may link, from one row for each distinct set."""
+def _tied(firsts: DataFrame, sets: DataFrame) -> DataFrame:
+    """Edges (a, b) that keep together all that may link, from one row for each distinct set (and the points in ``sets``)."""
     from pyspark.sql import Window
 
     marks = firsts.select(F.explode("cold").alias("mark"), F.col("doc_id").alias("a"))
@@ -280,7 +280,7 @@ def _tied(firsts: DataFrame) -> DataFrame:
                 yield edges_of(found)
 
     small = shared.where(F.col("k") <= CELL).select("cell", "k", "a").join(
-        firsts.select(F.col("doc_id").alias("a"), "n", "point"), "a").select("cell", "k", "a", "n", "point")
+        sets.select(F.col("doc_id").alias("a"), "n", "point").hint("merge"), "a").select("cell", "k", "a", "n", "point")
     small = small.repartition("cell", "k").sortWithinPartitions("cell", "k").mapInArrow(run, "a long, b long")
     return small.unionByName(large).unionByName(tied)
 
@@ -303,16 +303,18 @@ def _links(rows: DataFrame) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: the smallest id that links reach, its own included."""
+    small_batches(docs.sparkSession)
     sets = described(docs, text, key)
     same = sets.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("first"))
     owners = staged(sets.select("doc_id", "n", "h1", "h2").join(same, ["n", "h1", "h2"], "left").select(
         "doc_id", "n", F.coalesce("first", "doc_id").alias("first")), "owners")
     copies = owners.where("doc_id <> first").select("doc_id")
-    firsts = sets.where("n > 0").join(copies, "doc_id", "left_anti")
+    # joins whose sides both grow with the input are merge joins at every size, none a broadcast
+    firsts = sets.where("n > 0").join(copies.hint("merge"), "doc_id", "left_anti")
 
-    rooms = star_components(_tied(firsts))
+    rooms = star_components(_tied(firsts, sets))
     rooms = rooms.unionByName(rooms.select(F.col("component").alias("node"), "component").distinct())
-    rooms = rooms.join(firsts.select(F.col("doc_id").alias("node"), "n").distinct(), "node")
+    rooms = rooms.join(owners.groupBy(F.col("doc_id").alias("node")).agg(F.max("n").alias("n")), "node")
     sizes = rooms.groupBy("component").agg(_parts_of_sum())
     members = staged(rooms.join(sizes, "component").select(
         F.col("component").alias("room"), F.col("node").alias("a"), "n", "blocks"), "members")
@@ -322,7 +324,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id")
     pivots = at_home.where("a = room and blocks > 1").withColumn("home", F.col("block")).withColumn("block", everywhere).where(
         "block <> home").drop("home")
     fixed = {"part": F.lit(0), "label": F.col("a"), "guest": F.lit(False)}
-    links = _links(at_home.unionByName(pivots).join(texts, "a").withColumns(fixed))
+    links = _links(at_home.unionByName(pivots).join(texts.hint("merge"), "a").withColumns(fixed))
 
     if members.where("blocks > 1").limit(1).count():
         links = links.unionByName(_straggler_links(at_home.where("blocks > 1"), links, texts))
@@ -352,4 +354,4 @@ def _straggler_links(at_home: DataFrame, links: DataFrame, texts: DataFrame) ->
     columns = ["room", "block", "part", "a", "label"]
     rows = visits.select(*columns).withColumn("guest", F.lit(True)).unionByName(
         residents.select(*columns).withColumn("guest", F.lit(False)))
-    return _links(rows.join(texts, "a"))
+    return _links(rows.join(texts.hint("merge"), "a"))
