@@ -218,7 +218,7 @@ def normalise(archives: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*rows)], names=[
                     "archive", "offset", "length", "record_id", "record_type"])
 
-    spread = archives.select("archive").repartition("archive")  # a file is a task's unit of work
+    spread = archives.select("archive").repartition(max(1, archives.count()))  # a file is a task's unit of work
     return staged(spread.mapInArrow(run, INDEX), "index")
 
 
