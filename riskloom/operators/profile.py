@@ -118,6 +118,32 @@ def suspicious_values(df: DataFrame, cols: CreditColumns) -> DataFrame:
     return df.agg(*aggs)
 
 
+def full_summary(df: DataFrame, cols: CreditColumns) -> DataFrame:
+    """E1-E7 as one long table (section, item, statistic, value).  ``item`` is the column, the
+    class value of the target (null for missing targets), or null where the whole table is meant.
+    Duplicates are counted without the id, which would make every row differ."""
+    parts = [
+        _as_long(shape(df.drop(cols.id)), "shape"),
+        _as_long(target_counts(df, cols.target), "target", "value"),
+        _as_long(missingness(df), "missingness", "column"),
+        _as_long(numeric_summary(df), "numeric", "column"),
+        _as_long(extreme_values(df, exclude=[cols.id, cols.target]), "extremes", "column"),
+        _as_long(suspicious_values(df, cols), "suspicious"),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _as_long(table: DataFrame, section: str, item: str | None = None) -> DataFrame:
+    """One row for each cell of a wide report table."""
+    cells = F.array(*[F.struct(F.lit(c).alias("statistic"), q(c).cast("double").alias("value"))
+                      for c in table.columns if c != item])
+    name = q(item).cast("string") if item else F.lit(None).cast("string")
+    return table.select(F.lit(section).alias("section"), name.alias("item"), F.inline(cells))
+
+
 def histogram(df: DataFrame, columns: Sequence[str], bins: int | dict[str, int] = 40) -> DataFrame:
     """Per column, drop missing, clip at the exact p99, equal-width bins over [min, p99]
     with the last bin closed (numpy's edge rules).  Output (column, bin, bin_left, bin_right, count)."""

@@ -269,6 +269,31 @@ def q_eda_suspicious(spark, sf):
     return E.suspicious_values(cases(spark, sf), C)
 
 
+def _full_summary_sql() -> str:
+    sections = [
+        ("shape", "eda_shape", None, ["row_count", "column_count", "duplicate_row_count"]),
+        ("target", "eda_target", "value", ["count", "positive_count", "negative_count", "positive_rate"]),
+        ("missingness", "eda_missingness", "column", ["missing_count", "missing_rate"]),
+        ("numeric", "eda_numeric_summary", "column",
+         ["count", "mean", "std", "min", *[E._pname(p) for p in _SUMMARY_P], "max"]),
+        ("extremes", "eda_extremes", "column", ["min", "p99", "max", "iqr_outlier_count", "iqr_outlier_rate"]),
+        ("suspicious", "eda_suspicious", None,
+         ["age_non_positive_count", "age_below_18_count", "age_above_100_count", "revolving_utilization_above_1_count",
+          "debt_ratio_above_5_count", "monthly_income_non_positive_count", "dependents_negative_count",
+          *[f"{c}_above_{n}_count" for c in C.delinquency for n in (20, 50)]]),
+    ]
+    return " UNION ALL ".join(
+        f"SELECT '{section}' AS section, " + (f'CAST(t."{item}" AS VARCHAR)' if item else "CAST(NULL AS VARCHAR)")
+        + f" AS item, s.statistic, CAST(s.value AS DOUBLE) AS value FROM ({ORACLE[name]}) t, LATERAL (VALUES "
+        + ", ".join(f"('{n}', CAST(t.\"{n}\" AS DOUBLE))" for n in names) + ") s(statistic, value)"
+        for section, name, item, names in sections)
+
+
+@register("eda_full_summary", _full_summary_sql())
+def q_eda_full_summary(spark, sf):
+    return round_doubles(E.full_summary(cases(spark, sf), C))
+
+
 _HIST_BINS = {"age": 40, "income": 40, "debt_ratio": 40, "utilization": 40,
               "late_30_59": 30, "late_60_89": 30, "late_90": 30}
 
