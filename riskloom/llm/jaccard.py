@@ -54,6 +54,8 @@ HOT, HOT_MEAN = 2000, 16
 #: The most sets of a cell that a tree joins, and the most shingles (and sets) of a room's block.
 CELL, ROOM, ROOM_SETS = 2000, 2_000_000, 2000
 FAN = 16
+#: The parts over which the rows of equal sets are dealt.
+SALTS = 1024
 
 
 def needed(a, b, percent: int = PERCENT):
@@ -301,13 +303,25 @@ def _links(rows: DataFrame) -> DataFrame:
     return staged(rows.mapInArrow(run, "a long, b long"), "links")
 
 
+def _owners(sets: DataFrame) -> DataFrame:
+    """(doc_id, n, first) of every row: the smallest id among the rows of its set, its own where there is no other.
+
+    A set may be that of a third of all rows: its rows are dealt over ``SALTS`` parts, which are aggregated before
+    they meet, and the set's first id is given to each part that occurs.  Sets of one row aren't joined at all.
+    """
+    same = ["n", "h1", "h2"]
+    rows = sets.select("doc_id", *same, F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"))
+    parts = rows.where("n > 0").groupBy(*same, "salt").agg(F.min("doc_id").alias("m"), F.max("doc_id").alias("x"))
+    whole = parts.groupBy(*same).agg(F.min("m").alias("first"), F.max("x").alias("x"), F.collect_list("salt").alias("salts"))
+    given = whole.where("first <> x").select(*same, F.explode("salts").alias("salt"), "first")
+    return rows.join(given.hint("merge"), [*same, "salt"], "left").select("doc_id", "n", F.coalesce("first", "doc_id").alias("first"))
+
+
 def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: the smallest id that links reach, its own included."""
     small_batches(docs.sparkSession)
     sets = described(docs, text, key)
-    same = sets.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("first"))
-    owners = staged(sets.select("doc_id", "n", "h1", "h2").join(same, ["n", "h1", "h2"], "left").select(
-        "doc_id", "n", F.coalesce("first", "doc_id").alias("first")), "owners")
+    owners = staged(_owners(sets), "owners")
     copies = owners.where("doc_id <> first").select("doc_id")
     # joins whose sides both grow with the input are merge joins at every size, none a broadcast
     firsts = sets.where("n > 0").join(copies.hint("merge"), "doc_id", "left_anti")

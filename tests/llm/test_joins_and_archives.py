@@ -91,6 +91,19 @@ def test_jaccard_edge_cases(odd_docs, no_docs):
     assert jaccard.jaccard_components(no_docs).count() == 0
 
 
+def test_first_of_equal_sets_with_a_hot_set(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SALTS", 7)
+    rng = random.Random(8)
+    rows = [(d, 0 if d % 3 else rng.randint(-1, 40)) for d in range(300)]  # two thirds in one set; -1: no shingles
+    rows += rows[:5]
+    sets = spark.createDataFrame([(d, 0 if k < 0 else 9, k, -k) for d, k in rows], "doc_id long, n long, h1 long, h2 long")
+    first = {}
+    for d, k in sorted(rows):
+        first.setdefault(k, d)
+    found = sorted((r.doc_id, r["first"]) for r in jaccard._owners(sets).collect())
+    assert found == sorted((d, d if k < 0 else first[k]) for d, k in rows)
+
+
 def test_tree_bound_loses_no_pair():
     rng = np.random.default_rng(4)
     base = rng.integers(0, 2 ** 63, 400, dtype=np.uint64)
