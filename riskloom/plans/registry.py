@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom import rules as R
+from riskloom.operators import contracts as CT
 from riskloom.operators import metrics as K
 from riskloom.operators import profile as E
 from riskloom.operators import quality as V
@@ -20,6 +21,7 @@ from riskloom.operators import split as P
 from riskloom.operators import thresholds as T
 from riskloom.plans import sql as S
 from riskloom.plans.common import C, cases, round_doubles, scored_cases, split_cases
+from riskloom.sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -120,7 +122,7 @@ def q_missing_counts(spark, sf):
 # ---------------------------------------------------------------- V4-V9, V15
 def _validation_inputs(spark, sf):
     df = cases(spark, sf)
-    contracts = V.contracts_for(C)
+    contracts = CT.contracts_for(C)
     test_df = df.withColumn(C.target, F.lit(None).cast("int"))
     return {"train": (df, contracts["train"]), "test": (test_df, contracts["test"])}
 
@@ -1423,3 +1425,52 @@ _BEST_F1_SQL = (f"SELECT threshold FROM (SELECT *, row_number() OVER (ORDER BY f
 def q_threshold_test_readout(spark, sf):
     """T5: F1-optimal threshold chosen on validation, full metric bundle read out on test."""
     return round_doubles(T.threshold_report(scored_cases(spark, sf), C.target, "score", objective="f1"))
+
+
+# ---------------------------------------------------------------- S1, S8, V1, V2, V5: the upload against its contract
+def _upload_contract() -> CT.SourceContract:
+    from pyspark.sql.types import LongType, StructType
+    return CT.SourceContract("upload", StructType([CT.column(C.id, LongType(), "id"), *CT.feature_fields(C)]))
+
+
+def _typed_apps_sql() -> str:
+    """The text upload by its contract's types; odd_<column> where a value is there but not of the type."""
+    missing = ", ".join(f"'{t}'" for t in CT.MISSING_TEXTS)
+    parts = [C.id, "customer_ref"]
+    for c in FEATURES:
+        there = f"({c} IS NOT NULL AND lower(trim({c})) NOT IN ({missing}))"
+        number = (f"CASE WHEN regexp_matches(trim({c}), '^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?$') "
+                  f"THEN TRY_CAST(trim({c}) AS DOUBLE) END")
+        if c not in DOUBLE_FEATURES:
+            number = f"CASE WHEN {number} = floor({number}) THEN CAST({number} AS BIGINT) END"
+        parts += [f"{number} AS {c}", f"({there} AND ({number}) IS NULL) AS odd_{c}"]
+    return f"SELECT {', '.join(parts)} FROM apps"
+
+
+def _upload_report_sql() -> str:
+    kinds = {c: "double" if c in DOUBLE_FEATURES else "bigint" for c in FEATURES}
+    odd = " UNION ALL ".join(
+        "SELECT 'upload' AS dataset, 'error' AS severity, 'unreadable_values' AS rule, '"
+        + V.MSG_UNREADABLE.format(col=c, kind=kinds[c]).replace("'", "''") + f"' AS message FROM typed_apps HAVING bool_or(odd_{c})"
+        for c in FEATURES)
+    return f"""{odd}
+UNION ALL SELECT 'upload', 'error', 'unexpected_columns', '{R.MSG_UNEXPECTED_COLUMNS}'
+UNION ALL SELECT 'upload', 'warning', 'id_not_unique', '{R.MSG_ID_NOT_UNIQUE}' FROM typed_apps
+HAVING count(DISTINCT case_id) + max(CASE WHEN case_id IS NULL THEN 1 ELSE 0 END) <> count(*)
+UNION ALL SELECT 'upload', 'error', 'empty', '{R.MSG_EMPTY_FILE}' FROM typed_apps HAVING count(*) = 0
+UNION ALL SELECT 'upload', 'warning', rule, message FROM ({_warnings_sql("flags")}) w WHERE message IS NOT NULL"""
+
+
+@register("raw_contract_report", S.with_cases(
+    _upload_report_sql(),
+    f"apps AS ({applications_sql()}), typed_apps AS ({_typed_apps_sql()}), flags AS ({_flags_sql('typed_apps')})"))
+def q_raw_contract_report(spark, sf):
+    report = V.validation_messages(load_applications(spark, sf), _upload_contract(), C)
+    return report.select("dataset", "severity", "rule", "message")
+
+
+@register("typed_applications", S.with_cases(
+    S.round_select("typed_apps", [C.id, "customer_ref", *[c for c in FEATURES if c not in DOUBLE_FEATURES]], DOUBLE_FEATURES),
+    f"apps AS ({applications_sql()}), typed_apps AS ({_typed_apps_sql()})"))
+def q_typed_applications(spark, sf):
+    return round_doubles(files.typed(load_applications(spark, sf), C))

@@ -18,6 +18,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from riskloom.functions.columns import q
 from riskloom.operators import quality as V
+from riskloom.operators.contracts import SourceContract, contracts_for, read_as, repeated_columns
 from riskloom.rules import CreditColumns
 
 MSG_EMPTY_UPLOAD = "Uploaded file is empty."
@@ -32,57 +33,44 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """The raw header line (V2 must see duplicates before the CSV reader renames them)."""
-    first = spark.read.text(path).limit(1).collect()
-    if not first:
-        return []
-    return [c.strip().strip('"') for c in first[0][0].split(",")]
+    """The raw header (V2 must see duplicates before the CSV reader renames them), split by the reader's own quoting rules."""
+    first = spark.read.option("header", False).option("ignoreLeadingWhiteSpace", True).option(
+        "ignoreTrailingWhiteSpace", True).csv(path).limit(1).collect()
+    return [c or "" for c in first[0]] if first else []
 
 
 def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Every column as text, in header order; an empty file is an error."""
+    """Every column as text, in header order; an empty file is an error, as is a file of a folder with another header."""
     header = csv_header(spark, path)
     if not header:
         raise ValueError(MSG_EMPTY_UPLOAD)
-    dup = V.duplicate_columns(header)
-    if dup:
-        raise ValueError(V.R.MSG_DUPLICATE_COLUMNS + f" {dup}")
+    repeated = repeated_columns(header)
+    if repeated:
+        raise ValueError(V.R.MSG_DUPLICATE_COLUMNS + f" {repeated}")
     schema = StructType([StructField(c, StringType(), True) for c in header])
-    return spark.read.option("header", True).option("mode", "PERMISSIVE").schema(schema).csv(path)
-
-
-def typed(df: DataFrame, cols: CreditColumns, integer_roles=("age", "late_30_59", "open_lines", "late_90",
-                                                               "real_estate", "late_60_89")) -> DataFrame:
-    """Contract types: id long, target int, counts long, ratios/amounts double; unparseable -> NULL."""
-    out = []
-    for c in df.columns:
-        role = cols.role_of(c)
-        if role == "id":
-            out.append(q(c).try_cast("long").alias(c))
-        elif role == "target":
-            out.append(q(c).try_cast("double").try_cast("int").alias(c))
-        elif role in integer_roles:
-            out.append(q(c).try_cast("double").try_cast("long").alias(c))
-        elif role is not None:
-            out.append(F.when(F.lower(F.trim(q(c))) == "nan", F.lit(None)).otherwise(q(c)).try_cast("double").alias(c))
-        else:
-            out.append(q(c))
-    return df.select(*out)
-
-
-def load_validated(spark: SparkSession, path: str, contract: V.FileContract, cols: CreditColumns,
+    return spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(path)
+
+
+def typed(df: DataFrame, cols: CreditColumns) -> DataFrame:
+    """Text columns by the contract's types (id and counts long, target int, amounts and ratios double); others as they are.
+
+    Missing and unreadable values are null: ``load_validated`` looks at the text first, so there none is unreadable.
+    """
+    wanted = {f.name: f.dataType for f in contracts_for(cols)["train"].schema}
+    kinds = {f.name: f.dataType for f in df.schema}
+    return df.select(*[read_as(c, kinds[c], wanted[c]).alias(c) if c in wanted else q(c) for c in df.columns])
+
+
+def load_validated(spark: SparkSession, path: str, contract: SourceContract, cols: CreditColumns,
                    fmt: str = "csv") -> DataFrame:
-    """S1/S3 + V16: read, validate against the contract, fail fast on errors, return typed rows."""
-    if fmt == "csv":
-        df = typed(read_text_csv(spark, path), cols)
-    elif fmt == "parquet":
-        df = spark.read.parquet(path)
-    elif fmt == "table":
-        df = spark.table(path)
-    else:
+    """S1/S3 + V16: read, validate what was read (a CSV's text) against the contract, fail on errors, return typed rows."""
+    readers = {"csv": lambda: read_text_csv(spark, path), "parquet": lambda: spark.read.parquet(path),
+               "table": lambda: spark.table(path)}
+    if fmt not in readers:
         raise ValueError(f"Unsupported source format: {fmt}")
-    V.raise_on_errors(V.validation_messages(df, contract, cols))
-    return df
+    raw = readers[fmt]()
+    V.raise_on_errors(V.validation_messages(raw, contract, cols))
+    return typed(raw, cols)
 
 
 def load_optional(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame | None:

@@ -1,7 +1,9 @@
 """Batch scoring rules and data-quality messages."""
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from riskloom.operators import contracts as CT
 from riskloom.operators import quality as V
 from riskloom.operators import scoring as B
 from riskloom.rules import CreditColumns
@@ -77,7 +79,9 @@ def test_quality_warnings(spark):
 
 def test_validation_report_status(spark):
     df = spark.createDataFrame([(1, 2, 0.1), (1, 0, 0.2)], "id long, y int, util double")
-    contract = V.FileContract("train", ("id", "y", "util"), id_column="id", target_column="y", target_mode="required")
+    contract = CT.SourceContract("train", T.StructType([
+        CT.column("id", T.LongType(), "id"), CT.column("y", T.IntegerType(), "target", labels="binary"),
+        CT.column("util", T.DoubleType())]))
     rep = V.validation_report({"train": (df, contract)}, COLS)
     rules = {r.rule for r in rep.collect()}
     assert {"id_not_unique", "target_not_binary"} <= rules

@@ -4,6 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from riskloom.operators import contracts as CT
 from riskloom.operators import quality as V
 from riskloom.operators import scoring as B
 from riskloom.rules import CreditColumns
@@ -28,7 +29,7 @@ def write(path, lines):
 
 def test_train_contract_passes(spark, tmp_path):
     p = write(tmp_path / "train.csv", [HEADER, *ROWS])
-    contract = V.contracts_for(GMSC)["train"]
+    contract = CT.contracts_for(GMSC)["train"]
     df = S.load_validated(spark, p, contract, GMSC)
     assert df.count() == 2
     assert dict(df.dtypes)["age"] == "bigint" and dict(df.dtypes)["MonthlyIncome"] == "double"
@@ -40,7 +41,7 @@ def test_train_contract_passes(spark, tmp_path):
 
 def test_test_file_with_target_is_error(spark, tmp_path):
     p = write(tmp_path / "test.csv", [HEADER, "3,1,0.40,41,0,0.25,6100,7,0,1,0,0"])
-    contract = V.contracts_for(GMSC)["test"]
+    contract = CT.contracts_for(GMSC)["test"]
     with pytest.raises(ValueError, match="should be unlabeled"):
         S.load_validated(spark, p, contract, GMSC)
 
@@ -54,6 +55,48 @@ def test_duplicate_header_and_empty(spark, tmp_path):
         S.read_text_csv(spark, str(empty))
 
 
+@pytest.mark.parametrize("column, value, message", [
+    (GMSC.target, "0.5", "outside"), (GMSC.target, "abc", "outside"), ("age", "30.9", "'age' holds values"),
+    ("MonthlyIncome", "Infinity", "'MonthlyIncome' holds values"), ("DebtRatio", "1d", "'DebtRatio' holds values")])
+def test_values_that_are_not_of_the_type_are_errors(spark, tmp_path, column, value, message):
+    row = ROWS[0].split(",")
+    row[HEADER.split(",").index(column)] = value
+    p = write(tmp_path / "train.csv", [HEADER, ",".join(row), ROWS[1]])
+    with pytest.raises(ValueError, match=message):
+        S.load_validated(spark, p, CT.contracts_for(GMSC)["train"], GMSC)
+
+
+def test_missing_texts_and_whole_numbers(spark, tmp_path):
+    p = write(tmp_path / "train.csv", [HEADER, "9007199254740993,0,NA,45.0,3e1,nan,,8,0,1,0,null", ROWS[1]])
+    r = S.load_validated(spark, p, CT.contracts_for(GMSC)["train"], GMSC).orderBy(F.desc(GMSC.id)).first()
+    assert (r[GMSC.id], r.age, r[GMSC.late_30_59]) == (9007199254740993, 45, 30)
+    assert r[GMSC.utilization] is None and r.MonthlyIncome is None and r.NumberOfDependents is None
+
+
+def test_header_by_quoting_rules_and_another_order(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    write(folder / "a.csv", ['"a, b",c', "1,2"])
+    assert S.read_text_csv(spark, str(folder)).columns == ["a, b", "c"]
+    write(folder / "b.csv", ['c,"a, b"', "3,4"])
+    with pytest.raises(Exception, match="(?i)header"):
+        S.read_text_csv(spark, str(folder)).collect()
+
+
+def test_unreadable_table_gives_a_row(spark):
+    """An error where the source must exist, a warning where not."""
+    for name, severity in (("train", "error"), ("sample_submission", "warning")):
+        rows = V.table_messages(spark, "no_such_table", CT.contracts_for(GMSC)[name], GMSC).collect()
+        assert [(r.dataset, r.severity, r.rule) for r in rows] == [(name, severity, "source_unreadable")]
+
+
+def test_column_status():
+    contract = CT.contracts_for(GMSC)["test"]
+    status = dict(CT.column_status([GMSC.id, "age", "age", "other"], contract))
+    assert (status[GMSC.id], status["age"], status["other"]) == ("expected", "repeated", "unexpected")
+    assert (status[GMSC.target], status["DebtRatio"]) == ("absent", "missing")
+
+
 def test_optional_source_absent(spark, tmp_path):
     assert S.load_optional(spark, str(tmp_path / "missing.csv")) is None
 
@@ -95,10 +138,10 @@ def test_table_source_contract(spark, tmp_path):
     """A catalog table goes through the same contract gate."""
     p = write(tmp_path / "train.csv", [HEADER, *ROWS])
     S.typed(S.read_text_csv(spark, p), GMSC).createOrReplaceTempView("raw_train")
-    df = S.load_validated(spark, "raw_train", V.contracts_for(GMSC)["train"], GMSC, fmt="table")
+    df = S.load_validated(spark, "raw_train", CT.contracts_for(GMSC)["train"], GMSC, fmt="table")
     assert df.count() == 2
     with pytest.raises(ValueError, match="Unsupported source format"):
-        S.load_validated(spark, p, V.contracts_for(GMSC)["train"], GMSC, fmt="xml")
+        S.load_validated(spark, p, CT.contracts_for(GMSC)["train"], GMSC, fmt="xml")
 
 
 def test_learning_curve_and_importance(spark):

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import split as P
-from riskloom.operators.features import FeatureBuilder, build_feature_schema, preprocessing
+from riskloom.operators.features import FeatureBuilder, feature_document, preprocessing
 from riskloom.operators.imbalance import class_weight_summary
 from riskloom.rules import CreditColumns
 
@@ -76,9 +76,10 @@ def test_preprocessing_fit_train_only(spark):
 
 
 def test_feature_schema():
-    fs = build_feature_schema(COLS)
-    assert len(fs.raw_feature_columns) == 10 and len(fs.model_input_features) == 12
-    assert fs.missing_indicator_features == ("income_missing", "dep_missing")
+    doc = feature_document(FeatureBuilder.for_columns(COLS), COLS)
+    assert len(doc["raw_feature_columns"]) == 10 and len(doc["model_input_features"]) == 12
+    assert doc["missing_indicator_features"] == ["income_missing", "dep_missing"]
+    assert doc["clipping_rules"]["age"] == {"lower": 18.0, "upper": 100.0}
 
 
 def test_ratio_weight(spark):
