@@ -51,7 +51,3 @@ def stack(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), name:
     pairs = F.array(*[F.struct(F.lit(c).alias(name), nan_to_null(q(c).cast("double")).alias(value))
                       for c in columns])
     return df.select(*[q(k) for k in keep], F.inline(pairs))
-
-
-def round6(c: Column) -> Column:
-    return F.round(c, 6)

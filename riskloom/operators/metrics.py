@@ -23,6 +23,7 @@ MSG_Y_MISSING = "Binary evaluation does not allow missing target values."
 MSG_S_MISSING = "Binary evaluation does not allow missing probability scores."
 MSG_S_RANGE = "Probability scores must be bounded within [0, 1]."
 MSG_THRESHOLD = "threshold must be bounded within [0, 1]."
+MSG_NO_THRESHOLD = "A group has no threshold."
 MSG_ONE_CLASS = "KS statistic requires both negative and positive classes to be present."
 MSG_ROC_ONE_CLASS = "ROC curve requires both negative and positive classes to be present."
 
@@ -148,7 +149,7 @@ def binary_metrics(
     weight: str | None = None,
 ) -> DataFrame:
     """One metrics row per group.  ``threshold`` is a number or a table
-    ``(group..., threshold)`` (one threshold per group, e.g. chosen on validation).  ``weight``
+    ``(group..., threshold)`` (one threshold per group, e.g. chosen on validation; a group without one is an error).  ``weight``
     turns every count into a weighted sum (row_count and confusion cells become weights)."""
     group_cols = list(group_cols)
     rt = ranked_scores(df, y, s, group_cols, weight=weight)
@@ -157,7 +158,8 @@ def binary_metrics(
         tt = threshold.select(*group_cols, F.col("threshold").alias("_t"))
         if not group_cols:
             tt, rt = tt.limit(1).withColumn("_one", F.lit(1)), rt.withColumn("_one", F.lit(1))
-        rt = rt.join(F.broadcast(tt), on=keys, how="inner")
+        rt = rt.join(tt, on=keys, how="left").withColumn("_t", F.when(F.col("_t").isNotNull(), F.col("_t")).otherwise(
+            F.raise_error(F.lit(MSG_NO_THRESHOLD)).cast("double")))
         t = F.col("_t")
         agg = rt.groupBy(*group_cols).agg(*_metric_aggs(s, t), F.max("_t").alias("_t"))
         return _finish(agg, group_cols, F.col("_t"))

@@ -30,12 +30,24 @@ def calibration_curve(df: DataFrame, y: str, s: str, bins: int = 10, group_cols:
 def gains_table(df: DataFrame, y: str, s: str, key: str, groups: int = 10) -> DataFrame:
     """Rows ordered by score (desc, key asc) cut into equal-count groups by exact rank;
     per group: rows, positives, cumulative gain and lift."""
-    ranked = running_totals(df.select(q(key), F.col(s), F.col(y), F.lit(1).alias("_one")), s, ["_one"],
-                            descending=True, tiebreak=key)
-    g = F.floor((F.col("cum__one") - 1) * groups / F.col("tot__one")).cast("int")
-    per = ranked.groupBy(g.alias("decile")).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(F.col(y)).alias("positives"), F.min(s).alias("min_score"),
-        F.max(s).alias("max_score"), F.max("tot__one").alias("_rows_total"))
+    rows = df.select(q(key), F.col(s), F.col(y), F.lit(1).alias("_one"))
+    scores = rows.groupBy(s).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(y)).alias("_pos"))
+    at = running_totals(scores, s, ["_n"], descending=True)
+
+    def decile(rank: Column) -> Column:
+        return F.floor(rank * groups / F.col("tot__n")).cast("int")
+
+    first, last = decile(F.col("cum__n") - F.col("_n")), decile(F.col("cum__n") - 1)
+    whole = at.where(first == last).select(first.alias("decile"), "_n", "_pos", F.col(s).alias("_s"), "tot__n")
+    # fewer scores than groups lie across an edge; their rows, however many, are ranked by key in buckets
+    cut = at.where(first != last).select(F.col(s).alias("_s"), (F.col("cum__n") - F.col("_n")).alias("_before"), "tot__n")
+    split = rows.join(F.broadcast(cut), F.col(s).eqNullSafe(F.col("_s")))
+    split = running_totals(split, key, ["_one"], ["_s"], with_totals=False).select(
+        decile(F.col("_before") + F.col("cum__one") - 1).alias("decile"), F.lit(1).cast("long").alias("_n"),
+        F.col(y).alias("_pos"), "_s", "tot__n")
+    per = whole.unionByName(split).groupBy("decile").agg(
+        F.sum("_n").alias("rows"), F.sum("_pos").alias("positives"), F.min("_s").alias("min_score"),
+        F.max("_s").alias("max_score"), F.max("tot__n").alias("_rows_total"))
     tot = per.agg(F.sum("positives").alias("_pos_total"), F.max("_rows_total").alias("_all_rows")).withColumn("_one", F.lit(1))
     from pyspark.sql import Window
     w = Window.orderBy("decile").rowsBetween(Window.unboundedPreceding, 0)  # <= groups rows
@@ -176,9 +188,9 @@ def bootstrap_metrics(df: DataFrame, y: str, s: str, key: str, replicates: int =
     weighted metric job, and the interval is the exact percentile of each metric over replicates."""
     from riskloom.operators.metrics import binary_metrics
     lam = math.exp(-1.0)
-    # inverse-CDF of Poisson(1) from one uniform draw; counts above 8 have probability < 1e-5 in total
+    # inverse CDF of Poisson(1) from one uniform draw of 53 bits, which can't reach weights above 18
     cdf, acc, p = [], 0.0, lam
-    for k in range(12):
+    for k in range(19):
         acc += p
         cdf.append(acc)
         p = p / (k + 1)

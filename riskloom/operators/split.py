@@ -10,7 +10,7 @@ Scale: the md5 prefix (``16^prefix_len`` buckets, uniform by construction)
 cuts every class - even one holding most rows - into small cells.  Cell
 counts give each cell its rank range; cells entirely inside one segment are
 labelled without sorting, only the few cells that straddle a segment
-boundary are ranked by a window partitioned by (class, cell).
+boundary are ranked, in buckets of the hash however many rows they hold.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from riskloom import rules as R
 from riskloom.functions.columns import q
+from riskloom.functions.cumulative import BUCKET, running_totals
 
 # FIXED VALUES
 MSG_SIZES = "train_size + validation_size + test_size must equal 1.0."
@@ -108,9 +109,10 @@ def assign_splits(df: DataFrame, key: str, target: str | None, config: SplitConf
     tagged = base.join(F.broadcast(cells.select("_stratum", "_cell", "_start", "_q0", "_q1", "_boundary", "_label")),
                        on=["_stratum", "_cell"])
     direct = tagged.where(~F.col("_boundary")).withColumn(split_col, F.col("_label"))
-    wr = Window.partitionBy("_stratum", "_cell").orderBy("_h", q(key))
-    ranked = tagged.where(F.col("_boundary")) \
-        .withColumn("_rank", F.col("_start") + F.row_number().over(wr) - 1)
+    # a cell across a boundary may hold many rows of a huge class: its running count is bucketed by the hash
+    ranked = running_totals(tagged.where(F.col("_boundary")).withColumn("_one", F.lit(1)), "_h", ["_one"],
+                            ["_stratum", "_cell"], with_totals=False, tiebreak=key)
+    ranked = ranked.withColumn("_rank", F.col("_start") + F.col("cum__one") - 1).drop("_one", "cum__one", BUCKET)
     ranked = ranked.withColumn(split_col, seg(F.col("_rank"))).drop("_rank")
     out = direct.unionByName(ranked)
     return out.drop("_stratum", "_h", "_cell", "_start", "_q0", "_q1", "_boundary", "_label")

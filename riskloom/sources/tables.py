@@ -17,22 +17,3 @@ def table_path(sf_dir: str, name: str) -> str:
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy Parquet scan; Catalyst prunes columns and pushes filters into it."""
     return spark.read.parquet(table_path(sf_dir, name))
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLE_NAMES) -> None:
-    for name in names:
-        path = table_path(sf_dir, name)
-        if os.path.exists(path):
-            read_table(spark, sf_dir, name).createOrReplaceTempView(name)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an under-partitioned scan over the session's parallelism.
-
-    Large inputs arrive as many files / row groups and already scan in parallel (no-op then); a
-    single-row-group file scans as one task, which would serialise every downstream stage.
-    """
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        return df.repartition(parallelism)
-    return df

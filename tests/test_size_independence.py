@@ -1,12 +1,13 @@
 """The bucketed way of running totals gives what the plain way gives: nulls, NaN, text keys, null groups, hot values."""
 
+import functools
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from riskloom.functions.cumulative import running_totals
-from riskloom.operators import compare, models, monitoring
+from riskloom.operators import compare, metrics, models, monitoring, split
 
 
 def rows_of(df, drop=("_bucket",)):
@@ -55,3 +56,26 @@ def test_one_champion_of_two_designated_and_none_of_nothing(spark):
     assert [r.model_key for r in flagged.where("is_champion").collect()] == ["m2"]
     with pytest.raises(ValueError):
         compare.champion_flags(compare.rank_models(spark.createDataFrame([], columns)))
+
+
+def test_gains_and_split_with_small_buckets_and_a_hot_score(spark, monkeypatch):
+    """Nine tenths of the rows share a score; buckets of seven rows give what one window gives."""
+    rows = [(i, i % 2, 0.5 if i % 10 else i / 300) for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, y int, s double")
+    order = sorted(rows, key=lambda r: (-r[2], r[0]))
+    config = split.SplitConfig(seed=3)
+    plain = {r.k: r.split for r in split.assign_splits(df, "k", "y", config).collect()}
+    small = functools.partial(running_totals, rows_per_bucket=7)
+    monkeypatch.setattr(monitoring, "running_totals", small)
+    monkeypatch.setattr(split, "running_totals", small)
+    got = {r.decile: (r.rows, r.positives, r.min_score, r.max_score) for r in monitoring.gains_table(df, "y", "s", "k").collect()}
+    parts = {d: order[d * 30:(d + 1) * 30] for d in range(10)}
+    assert got == {d: (30, sum(r[1] for r in p), p[-1][2], p[0][2]) for d, p in parts.items()}
+    assert {r.k: r.split for r in split.assign_splits(df, "k", "y", config, prefix_len=1).collect()} == plain
+
+
+def test_a_group_without_a_threshold_is_an_error(spark):
+    df = spark.createDataFrame([(g, y, s) for g in "ab" for y, s in ((0, 0.2), (1, 0.7))], "g string, y int, s double")
+    limits = spark.createDataFrame([("a", 0.5)], "g string, threshold double")
+    with pytest.raises(Exception, match="no threshold"):
+        metrics.binary_metrics(df, "y", "s", limits, ["g"]).collect()
