@@ -948,7 +948,7 @@ def comparison_flagged(spark, sf) -> DataFrame:
     return CMP.champion_flags(CMP.rank_models(records))
 
 
-def _comparison_sql() -> str:
+def _comparison_sql(last: str | None = None) -> str:
     scores = " UNION ALL ".join(f"SELECT case_id, target, split, '{k}' AS model_key, {_rule_sql(e)} AS score "
                                 f"FROM split_cases" for k, (e, _) in RULES.items())
     grp = "(SELECT *, concat(model_key, '|', split) AS grp FROM sc)"
@@ -995,7 +995,7 @@ def _comparison_sql() -> str:
     final = ("SELECT rank, model_key, label, model_family, " + ", ".join(S.r6(c, c) for c in dbl)
              + ", interactive_inference_supported, batch_inference_supported, designated_champion, "
              "CASE WHEN max(CAST(dq AS INTEGER)) OVER () = 1 THEN dq ELSE rank = 1 END AS is_champion FROM qual")
-    return S.with_cases(final, S.split_cte() + f",\nsc AS ({scores}),\nmet AS (SELECT * FROM {met} mm),\n"
+    return S.with_cases(last or final, S.split_cte() + f",\nsc AS ({scores}),\nmet AS (SELECT * FROM {met} mm),\n"
                         f"grid AS ({grid}),\nsweep AS ({sweep}),\nth AS ({th}),\ncfg AS ({cfg}),\nrec AS ({rec}),\n"
                         f"ranked AS ({ranked}),\nqual AS ({qual})")
 
@@ -1007,7 +1007,23 @@ def q_model_comparison(spark, sf):
     return round_doubles(CMP.comparison_table(comparison_flagged(spark, sf)))
 
 
-@register("comparison_rationale")
+def _rationale_sql() -> str:
+    said = [("rank = 1", CMP.SENTENCE_RANKED_FIRST, "validation_average_precision"),
+            ("test_average_precision = best_test", CMP.SENTENCE_STRONGEST_TEST, "test_average_precision"),
+            ("test_brier_score = least_brier", CMP.SENTENCE_LOWEST_BRIER, "test_brier_score"),
+            ("f1_threshold IS NOT NULL", CMP.SENTENCE_THRESHOLDS, None),
+            ("interactive_inference_supported AND batch_inference_supported", CMP.SENTENCE_INFERENCE, None)]
+    rows = " UNION ALL ".join(
+        f"SELECT model_key, {i} AS k, " + (f"printf('{text}', label, {value})" if value else f"'{text}'")
+        + f" AS sentence FROM flagged WHERE is_champion AND {condition}" for i, (condition, text, value) in enumerate(said))
+    return _comparison_sql(
+        "SELECT model_key, CAST(row_number() OVER (ORDER BY k) - 1 AS INTEGER) AS point, sentence FROM (WITH flagged AS ("
+        "SELECT *, CASE WHEN max(CAST(dq AS INTEGER)) OVER () = 1 THEN dq ELSE rank = 1 END AS is_champion, "
+        "max(test_average_precision) OVER () AS best_test, min(test_brier_score) OVER () AS least_brier FROM qual) "
+        + rows + ") said")
+
+
+@register("comparison_rationale", _rationale_sql())
 def q_comparison_rationale(spark, sf):
     """The champion's rationale sentences, only those that hold."""
     return CMP.rationale(comparison_flagged(spark, sf))
