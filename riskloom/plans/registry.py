@@ -1267,7 +1267,8 @@ def smote_train(spark, sf):
     S.split_cte()))
 def q_smote_distribution(spark, sf):
     """Class counts before and after oversampling the train split."""
-    _, dist = smote_train(spark, sf)
+    from riskloom.operators.imbalance import oversampled_distribution
+    dist = oversampled_distribution(split_cases(spark, sf).where(F.col("split") == "train"), C.target)
     return round_doubles(dist.select(F.col("target").cast("int").alias("target"), "count_before", "count_after",
                                      "rate_before", "rate_after"))
 
