@@ -8,6 +8,7 @@ is the operator itself.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -1379,10 +1380,20 @@ def file_checksums_frame(spark, sf):
 @register("file_checksums", "SELECT regexp_extract(filename, '[^/]+$', 0) AS name, sha256(content) AS sha256, "
           "CAST(size AS BIGINT) AS size_bytes FROM read_blob('/root/testdata/sf0.01/*.parquet')")
 def q_file_checksums(spark, sf):
-    """SHA-256 of every source file (one row per file; a file is read by one task)."""
+    """SHA-256 of every source file (one row per file; a file is read by one task, so it must fit in
+    its memory and be below the 2 GB of binaryFile; ``content_fingerprints`` is for tables of any size)."""
     return file_checksums_frame(spark, sf)
 
 
+@register("content_fingerprints")
+def q_content_fingerprints(spark, sf):
+    """Row count and sum of row hashes of every table, whatever its size or number of files."""
+    from riskloom.sources.tables import TABLE_NAMES, read_table
+    parts = [V.content_fingerprint(read_table(spark, sf, name)).select(F.lit(name).alias("name"), "row_count", "fingerprint")
+             for name in TABLE_NAMES]
+    return reduce(DataFrame.unionAll, parts)
+
+
 @register("dataset_fingerprint", "SELECT sha256(string_agg(name || ':' || h, '' ORDER BY name)) AS dataset_fingerprint "
           "FROM (SELECT regexp_extract(filename, '[^/]+$', 0) AS name, sha256(content) AS h "
           "FROM read_blob('/root/testdata/sf0.01/*.parquet')) f")

@@ -65,3 +65,16 @@ def test_boosting_is_cut_at_the_best_validation_round(spark):
     assert model.stages[-1].getNumTrees == 6 and cut.stages[-1].getNumTrees == 1
     assert M.predict_proba(cut, df).count() == 80
     assert M.stop_early(model, df, 2, "w").stages[-1].getNumTrees == 6
+
+
+def test_content_fingerprints_cover_every_table_whatever_its_files(spark, tmp_path):
+    from riskloom.sources.tables import TABLE_NAMES, read_table
+    for name in TABLE_NAMES:
+        read_table(spark, SF, name).repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    query = R.QUERIES["content_fingerprints"]
+    rows = {r.name: r for r in query(spark, SF).collect()}
+    assert {n: r.row_count for n, r in rows.items()} == {n: read_table(spark, SF, n).count() for n in TABLE_NAMES}
+    assert {r.name: r for r in query(spark, str(tmp_path)).collect()} == rows
+    read_table(spark, SF, "nation").withColumn("n_name", F.upper(F.lit("x"))).write.mode("overwrite").parquet(f"{tmp_path}/nation.parquet")
+    changed = {r.name: r for r in query(spark, str(tmp_path)).collect()}
+    assert [n for n in TABLE_NAMES if changed[n] != rows[n]] == ["nation"]
