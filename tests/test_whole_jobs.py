@@ -1,9 +1,13 @@
 """Registered queries do the operators' whole job: training budgets, early stopping, class balance."""
+import inspect
+
 import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import imbalance as I
+from riskloom.operators import importance as X
 from riskloom.operators import models as M
+from riskloom.operators import monitoring as D
 from riskloom.plans import registry as R
 
 SF = "/root/testdata/sf0.001"
@@ -78,3 +82,22 @@ def test_content_fingerprints_cover_every_table_whatever_its_files(spark, tmp_pa
     read_table(spark, SF, "nation").withColumn("n_name", F.upper(F.lit("x"))).write.mode("overwrite").parquet(f"{tmp_path}/nation.parquet")
     changed = {r.name: r for r in query(spark, str(tmp_path)).collect()}
     assert [n for n in TABLE_NAMES if changed[n] != rows[n]] == ["nation"]
+
+
+@pytest.mark.parametrize("query, module, name, repeats, least", [
+    ("top_importances", X, "permutation_importance", "repeats", 5),
+    ("grouped_permutation_importance", X, "permutation_importance", "repeats", 5),
+    ("bootstrap_intervals", D, "bootstrap_metrics", "replicates", 200),
+    ("random_search_leaderboard", M, "random_search", "n_iter", 8)])
+def test_queries_repeat_as_often_as_their_operators(spark, monkeypatch, query, module, name, repeats, least):
+    signature = inspect.signature(getattr(module, name))
+
+    def spy(*args, **given):
+        bound = signature.bind(*args, **given)
+        bound.apply_defaults()
+        raise Seen(bound.arguments[repeats])
+
+    monkeypatch.setattr(module, name, spy)
+    with pytest.raises(Seen) as seen:
+        R.QUERIES[query](spark, SF)
+    assert seen.value.args[0] >= least
