@@ -4,9 +4,10 @@ A stage takes (spark, docs, sf_dir) and works on all that its predecessor
 kept; all but the last return the columns they were given.  Rules:
 
 * ``language_id`` drops texts without a letter and texts whose best language
-  is less likely than ``LEAST_LANGUAGE``.
+  is less likely than ``LEAST_LANGUAGE``; without a labelled row to learn from, only the former.
 * ``quality`` drops texts that score below the classifier's threshold; it
-  learns from the labels in ``sf_dir`` that belong to its own input.
+  learns from the labels in ``sf_dir`` that belong to its own input, and
+  keeps all if these aren't of both kinds.
 * ``near_copies`` keeps the document with the smallest id of each group of
   linked documents (one row, should its id be repeated).
 * ``personal_data`` replaces spans by their kind in brackets and sets
@@ -44,12 +45,16 @@ def _kept(docs: DataFrame, predict, condition: Column) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     net = langid.train(langid.learnable(docs))
+    if net is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     return _kept(docs, lambda df, text: langid.predict(df, net, text),
                  (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE))
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    if not model.learned:
+        return docs
     return _kept(docs, lambda df, text: quality.predict(df, model, text), F.col("predicted") == 1)
 
 

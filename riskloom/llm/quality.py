@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import label_sample, text_mod, utf8_pieces, with_arrow_columns
+from riskloom.llm.common import label_sample, staged, text_mod, utf8_pieces, with_arrow_columns
 from riskloom.llm.words import mix, word_bounds, word_hashes
 
 DIMS = 1 << 18
@@ -96,6 +96,11 @@ class NbSvm:
     slope: float
     shift: float
 
+    @property
+    def learned(self) -> bool:
+        """False for the constant that a fit on fewer than two labels gives."""
+        return bool(self.weights.any())
+
     def margin(self, own: np.ndarray) -> float:
         return float(self.weights[own].sum() / np.sqrt(max(1, len(own)))) + self.bias
 
@@ -172,10 +177,12 @@ def _logistic(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality",
           per_label: int = 2000) -> NbSvm:
-    """A model fitted on a bounded sample of the labelled rows outside the held-out fold."""
+    """A model fitted on a bounded sample of those labelled rows outside the held-out fold whose text ``docs`` has."""
     marks = labels.where(F.col(label).isin(0, 1) & (text_mod(key, 4) != 2)).groupBy(key).agg(F.min(label).alias("mark"))
-    some = label_sample(marks, "mark", key, per_label)
-    found = docs.where(F.col(text).isNotNull()).select(key, text).join(F.broadcast(some), key)  # as many rows as the sample
+    texts = docs.where(F.col(text).isNotNull()).select(key, text)
+    own = staged(marks.join(texts.select(key), key, "left_semi"), "marks")  # the sample is drawn from what can be learned from
+    some = label_sample(own, "mark", key, per_label)
+    found = texts.join(F.broadcast(some), key)  # as many rows as the sample
     found = with_arrow_columns(found.select(key, "mark", text), [text], _as_features, T.StructType(
         [T.StructField("own", T.BinaryType())])).select(F.col(key).cast("string").alias("k"), "mark", "own").collect()
     kept = sorted(((zlib.crc32(r["k"].encode()), r["k"], r["mark"], bytes(r["own"])) for r in found))
