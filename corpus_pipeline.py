@@ -9,7 +9,8 @@ kept; all but the last return the columns they were given.  Rules:
   learns from the labels in ``sf_dir`` that belong to its own input, and
   keeps all if these aren't of both kinds.
 * ``near_copies`` keeps the document with the smallest id of each group of
-  linked documents (one row, should its id be repeated).
+  linked documents, a null id being the largest.  Rows with null or repeated
+  ids are told apart; only of rows with equal id and text one is kept.
 * ``personal_data`` replaces spans by their kind in brackets and sets
   ``n_chars``, where there is such a column, to the new length.
 * ``packing`` returns the pieces of all documents and their sequences.
@@ -59,9 +60,21 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = jaccard.jaccard_components(docs)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    if jaccard.own_ids(docs):
+        first = jaccard.components_by_key(docs, "text", "doc_id").where("doc_id = component_id").select("doc_id")
+        return docs.join(first, "doc_id", "left_semi").select(*docs.columns)
+    names = docs.columns
+    rows = staged(docs.select(F.monotonically_increasing_id().alias("row"),
+                              *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]), "rows")
+    doc_id, text = F.col(f"c{names.index('doc_id')}"), F.col(f"c{names.index('text')}")
+    groups = jaccard.components_by_key(rows, f"c{names.index('text')}", "row").withColumnRenamed("doc_id", "row")
+    ids = rows.select("row", doc_id.alias("id"), F.sha2(F.coalesce(text, F.lit("")), 256).alias("sha"), text.isNull().alias("none"))
+    # texts without shingles are linked with nothing: only those of the same id are copies
+    alone = F.when((F.col("n_shingles") == 0) & F.col("id").isNotNull(), F.struct("id", "sha", "none"))
+    group = F.when(alone.isNull(), F.col("component_id"))
+    first = groups.join(ids.hint("merge"), "row").groupBy(group, alone).agg(
+        F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row"))["row"].alias("row"))
+    return rows.join(first.hint("merge"), "row", "left_semi").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

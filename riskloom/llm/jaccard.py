@@ -29,8 +29,9 @@ a routing that keeps every pair that can link:
 
 Edge cases: a null or empty text, or one of white space, has no shingles and is
 linked with nothing; fewer than five words are one shingle.  Repeated rows and
-equal sets link.  Rows that share an id are one document.  An empty table gives
-an empty result.
+equal sets link.  Rows whose id is null or repeated are told apart by a key of
+their own; a component's id is then the smallest one of its rows, null if all
+are null.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -317,8 +318,30 @@ def _owners(sets: DataFrame) -> DataFrame:
     return rows.join(given.hint("merge"), [*same, "salt"], "left").select("doc_id", "n", F.coalesce("first", "doc_id").alias("first"))
 
 
+def own_ids(docs: DataFrame, key: str = "doc_id") -> bool:
+    """Whether every row has an id, and one that no other row has."""
+    return not docs.groupBy(F.col(key).alias("k")).agg(F.count("*").alias("n")).where("k is null or n > 1").limit(1).count()
+
+
 def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: the smallest id that links reach, its own included."""
+    if own_ids(docs, key):
+        return components_by_key(docs, text, key)
+    rows = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("id"),
+                              F.col(text).alias("text")), "rows")
+    found = components_by_key(rows, "text", "row").withColumnRenamed("doc_id", "row")
+    # a component may be that of a third of all rows: dealt over parts, as in _owners
+    found = staged(found.join(rows.select("row", "id").hint("merge"), "row").withColumn(
+        "salt", F.pmod(F.xxhash64("row"), F.lit(SALTS))), "found")
+    parts = found.groupBy("component_id", "salt").agg(F.min("id").alias("m"))
+    whole = parts.groupBy("component_id").agg(F.min("m").alias("least"), F.collect_list("salt").alias("salts"))
+    given = whole.select("component_id", F.explode("salts").alias("salt"), "least")
+    return found.join(given.hint("merge"), ["component_id", "salt"]).select(
+        F.col("id").alias("doc_id"), "n_shingles", F.col("least").alias("component_id"))
+
+
+def components_by_key(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """As ``jaccard_components``, for keys that are neither null nor repeated."""
     small_batches(docs.sparkSession)
     sets = described(docs, text, key)
     owners = staged(_owners(sets), "owners")
