@@ -39,6 +39,8 @@ from riskloom.llm.common import shared_path, staged
 #: Bytes before compression at which a writer begins its next file.
 FILE_BYTES = 64 << 20
 _PIECE = 1 << 18
+#: Parts that the pages of one payload are dealt over.
+SALTS = 1024
 _END = b"\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -81,15 +83,18 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
 def with_revisits(pages: DataFrame, key: str = "page_id", payload: str = "html", least_bytes: int = 0) -> DataFrame:
     """``pages`` with ``refers_to``: the largest id among the equal payloads, null for that record itself.
 
-    Only payloads that occur more than once are joined back; Spark may split a payload that very many rows share.
+    A payload may be that of a third of all pages: its rows are dealt over ``SALTS`` parts, which are aggregated before
+    they meet, and its response is given to each part that occurs; so no task joins, or then writes, all of them.
     """
     raw = F.coalesce(F.col(payload), F.lit("")).cast("binary")
     keyed = pages.withColumns({"_sha": F.sha2(raw, 256), "_size": F.octet_length(raw)})
-    shared = keyed.where(F.col("_size") >= least_bytes).groupBy("_sha").agg(
-        F.max(key).alias("_response"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    joined = keyed.join(shared, "_sha", "left")
+    keyed = keyed.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)))
+    parts = keyed.where(F.col("_size") >= least_bytes).groupBy("_sha", "_salt").agg(F.max(key).alias("_m"), F.count("*").alias("_n"))
+    whole = parts.groupBy("_sha").agg(F.max("_m").alias("_response"), F.sum("_n").alias("_n"), F.collect_list("_salt").alias("_salts"))
+    shared = whole.where("_n > 1").select("_sha", F.explode("_salts").alias("_salt"), "_response")
+    joined = keyed.join(shared, ["_sha", "_salt"], "left")
     other = F.col("_response").isNotNull() & ~F.col("_response").eqNullSafe(F.col(key))
-    return joined.withColumn("refers_to", F.when(other, F.col("_response"))).drop("_sha", "_size", "_response")
+    return joined.withColumn("refers_to", F.when(other, F.col("_response"))).drop("_sha", "_size", "_salt", "_response")
 
 
 class _Out:

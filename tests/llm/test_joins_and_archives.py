@@ -308,3 +308,15 @@ def test_pipeline_runs_on_odd_and_no_rows(spark, odd_docs, no_docs, tmp_path):
                 assert made.columns == docs.columns and [t for _, t in made.dtypes] == [t for _, t in docs.dtypes]
         assert common.staged(corpus_pipeline.near_copies(spark, docs, ""), "x").count() == (len({c for _, c in components(
             (r.doc_id, r.text) for r in docs.collect()).values()}) if docs is odd_docs else 0)
+
+
+# ---------------------------------------------------------------- hot payloads
+def test_rows_of_a_hot_payload_are_dealt_out(spark):
+    pages = spark.range(3000).selectExpr("id as page_id", "'u' as url", "if(id % 3 = 0, concat('p', id), '') as html")
+    out = warc.with_revisits(pages)
+    assert out.columns == ["page_id", "url", "html", "refers_to"]
+    rows = out.collect()
+    assert len(rows) == 3000 and {r.refers_to for r in rows if r.html == "" and r.page_id != 2999} == {2999}
+    assert all(r.refers_to is None for r in rows if r.html or r.page_id == 2999)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "_salt" in plan.split("Join", 1)[1].split("\n", 1)[0]
