@@ -138,3 +138,37 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm.jaccard import jaccard_components
 
     return jaccard_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _code_sql(rounds: int = 2) -> str:
+    """Part-wise codes in SQL: every entry is compared, the least distance and then the lowest index count."""
+    steps = ["""
+w AS (SELECT vec_id, label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS w FROM embeddings
+  WHERE len(embedding) > 0 AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+p AS (SELECT vec_id, label, part, w[part * (len(w) // 16) + 1:(part + 1) * (len(w) // 16)] AS v
+  FROM w, (SELECT unnest(range(16)) AS part)),
+b0 AS (SELECT part, entry, v FROM p JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM w) USING (vec_id)
+  WHERE entry < 64)"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS (SELECT vec_id, label, p.part, any_value(p.v) AS v, min({{'d': CAST(list_sum([
+    (z[1] - z[2]) * (z[1] - z[2]) for z in list_zip(p.v, b{r}.v)]) AS BIGINT), 'e': entry}}) AS m
+  FROM p JOIN b{r} USING (part) GROUP BY vec_id, label, p.part)""")
+        if r < rounds:
+            steps.append(f"""
+m{r} AS (SELECT part, entry, list(mean ORDER BY pos) AS v FROM (SELECT part, m.e AS entry, pos, CAST(floor(sum(v[pos]) / count(*)) AS BIGINT) AS mean
+  FROM a{r}, (SELECT unnest(range(1, 65)) AS pos) WHERE pos <= len(v) GROUP BY part, m.e, pos) GROUP BY part, entry),
+b{r + 1} AS (SELECT part, entry, coalesce(m{r}.v, b{r}.v) AS v FROM b{r} LEFT JOIN m{r} USING (part, entry))""")
+    return f"""
+WITH {",".join(steps)},
+c AS (SELECT vec_id, label, string_agg(format('{{:02x}}', m.e), '' ORDER BY part) AS code, CAST(sum(m.d) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) FROM b{rounds}) AS codebooks_sha256 FROM c"""
+
+
+@register("op12_equal_average_codes", _code_sql())
+def op12_equal_average_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.codes import compressed
+
+    return compressed(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
