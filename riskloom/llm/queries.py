@@ -172,3 +172,27 @@ def op12_equal_average_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm.codes import compressed
 
     return compressed(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+_TERM_SQL = r"""string_split_regex(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+_LEXICAL_SQL = f"""
+WITH t AS (SELECT row_number() OVER () AS row, doc_id, list_filter({_TERM_SQL.format(text="coalesce(text, '')")}, lambda x: x <> '') AS terms FROM documents),
+d AS (SELECT row, doc_id, CAST(len(terms) AS BIGINT) AS n, terms FROM t WHERE len(terms) > 0),
+s AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS size FROM d),
+i AS (SELECT DISTINCT item_id, unnest({_TERM_SQL.format(text="coalesce(text, '')")}) AS term FROM benchmark),
+p AS (SELECT row, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT row, doc_id, n, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM i) GROUP BY row, doc_id, n, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, s GROUP BY term, docs),
+r AS (SELECT item_id, row, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // size)))) AS BIGINT) AS score
+  FROM i JOIN p USING (term) JOIN w USING (term), s GROUP BY item_id, row, doc_id),
+o AS (SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+  FROM r WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 10"""
+
+
+@register("op11_mask_grouped_search", _LEXICAL_SQL)
+def op11_mask_grouped_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.lexical import search
+
+    return search(read_table(spark, sf_dir, "benchmark").select("item_id", "text"),
+                  read_table(spark, sf_dir, "documents").select("doc_id", "text"))
