@@ -196,3 +196,11 @@ def op11_mask_grouped_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return search(read_table(spark, sf_dir, "benchmark").select("item_id", "text"),
                   read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op13_recurrent_blocks")
+def op13_recurrent_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm import extract
+
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract.extract(pages, extract.train(pages)).select("page_id", "url", "text", "n_chars")
