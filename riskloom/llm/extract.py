@@ -34,7 +34,7 @@ from riskloom.llm.html import Paths, blocks
 from riskloom.llm.layouts import Maker
 from riskloom.llm.words import word_bounds, word_hashes
 
-PAGES, SAMPLE, SAMPLE_CHARS = 800, 200, 20_000
+PAGES, EPOCHS, SAMPLE, SAMPLE_CHARS = 1000, 8, 200, 20_000
 BUCKETS, WORDS, SIZE, HIDDEN, SHAPES = 8192, 8192, 24, 24, 6
 #: Blocks that a task labels at once, about; and its paths before they are met anew.
 GROUP, MOST_PATHS = 20_000, 100_000
@@ -88,7 +88,7 @@ class BlockLabeller:
         """One row for each block; the part of a path is computed once for the path."""
         seen = self.cache.setdefault("rows", np.zeros((0, SIZE), np.float32))
         if len(seen) < len(paths.tokens):
-            new = [self.path[list(t)].sum(0) / np.sqrt(max(1, len(t))) if t else np.zeros(SIZE, np.float32) for t in paths.tokens[len(seen):]]
+            new = [self.path[list(t)].sum(0) / np.sqrt(len(t)) for t in (own or (0,) for own in paths.tokens[len(seen):])]
             seen = self.cache["rows"] = np.concatenate([seen, np.array(new, np.float32)])
         buckets, firsts = word_buckets(texts)
         n = np.diff(firsts)
@@ -122,7 +122,25 @@ class BlockLabeller:
         return np.split(self.read(x, lengths[some]), np.cumsum(lengths)[:-1])
 
 
-def fit(words: list[str], pages: int = PAGES, epochs: int = 6, batch: int = 48, rate: float = 0.01, seed: int = 11) -> BlockLabeller:
+@dataclass
+class Example:
+    """A page made ready for the fit: paths, words and shapes of its blocks, one after the other."""
+
+    places: np.ndarray
+    words: np.ndarray
+    n_words: np.ndarray
+    shape: np.ndarray
+    truth: np.ndarray
+
+    @classmethod
+    def of(cls, page: list[tuple[int, str, float]], labels: list[int]) -> Example:
+        texts = [b[1] for b in page]
+        words, firsts = word_buckets(texts)
+        n = np.diff(firsts)
+        return cls(np.array([b[0] for b in page]), words, n, shapes(texts, np.array([b[2] for b in page], np.float32), n), np.array(labels, np.float32))
+
+
+def fit(words: list[str], pages: int = PAGES, epochs: int = EPOCHS, batch: int = 40, rate: float = 0.01, seed: int = 11) -> BlockLabeller:
     """Train on made pages with Adam; the same words give the same network."""
     maker, rng, paths = Maker(words, seed), np.random.default_rng(seed), Paths(BUCKETS)
     made = []
@@ -132,7 +150,7 @@ def fit(words: list[str], pages: int = PAGES, epochs: int = 6, batch: int = 48,
         if len(found) != len(labels):
             raise ValueError("a made page was read as another number of blocks than it was made of")
         if found:
-            made.append((found, np.array(labels, np.float32)))
+            made.append(Example.of(found, labels))
     normal = lambda *shape: rng.normal(0, 1 / np.sqrt(shape[0]), shape).astype(np.float32)
     net = BlockLabeller(rng.normal(0, 0.3, (BUCKETS, SIZE)).astype(np.float32), rng.normal(0, 0.1, (WORDS, SIZE)).astype(np.float32),
                         normal(SHAPES, SIZE), np.zeros(SIZE, np.float32),
@@ -140,13 +158,15 @@ def fit(words: list[str], pages: int = PAGES, epochs: int = 6, batch: int = 48,
                         normal(2 * HIDDEN + SIZE, 1), np.zeros(1, np.float32))
     params = [net.path, net.word, net.shape, net.bias, *net.lstm[0], *net.lstm[1], net.out, net.out_bias]
     first, second, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
-    for epoch in range(epochs):
+    total = epochs * -(-len(made) // batch)
+    for _ in range(epochs):
         order = rng.permutation(len(made))
-        for s in range(0, len(made), batch):
-            pick = sorted((made[i] for i in order[s:s + batch]), key=lambda p: -len(p[0]))
-            grads = _gradients(net, pick, paths, rng)
+        runs = [sorted(order[s:s + 6 * batch], key=lambda i: -len(made[i].truth)) for s in range(0, len(made), 6 * batch)]
+        picks = [run[s:s + batch] for run in runs for s in range(0, len(run), batch)]  # pages of like length together
+        for k in rng.permutation(len(picks)):
+            grads = _gradients(net, [made[i] for i in picks[k]], paths, rng)
             step += 1
-            now = rate * (1 if epoch < epochs - 2 else 0.3)
+            now = rate * min(1.0, 2.2 * (1 - step / (total + 1)))
             for g, p, m, v in zip(grads, params, first, second):
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
@@ -154,25 +174,21 @@ def fit(words: list[str], pages: int = PAGES, epochs: int = 6, batch: int = 48,
     return net
 
 
-def _gradients(net: BlockLabeller, pages: list, paths: Paths, rng: np.random.Generator) -> list[np.ndarray]:
+def _gradients(net: BlockLabeller, pages: list[Example], paths: Paths, rng: np.random.Generator) -> list[np.ndarray]:
     """The gradients of the mean log loss over the blocks of the pages, longest page first."""
-    sizes = np.array([len(p[0]) for p in pages])
-    flat = [b for p in pages for b in p[0]]
-    truth = np.concatenate([p[1] for p in pages])
-    texts, linked = [b[1] for b in flat], np.array([b[2] for b in flat], np.float32)
-    tokens = [paths.tokens[b[0]] for b in flat]
+    sizes = np.array([len(p.truth) for p in pages])
+    joined = lambda name: np.concatenate([getattr(p, name) for p in pages])
+    truth, shape, places, bucket, n = map(joined, ("truth", "shape", "places", "words", "n_words"))
+    word_owner = np.repeat(np.arange(len(truth)), n)
+    places, place = np.unique(places, return_inverse=True)
+    tokens = [paths.tokens[p] or (0,) for p in places.tolist()]
     counts = np.array([len(t) for t in tokens])
-    token, owner = np.concatenate([np.array(t, np.int64) for t in tokens]), np.repeat(np.arange(len(flat)), counts)
+    token, owner = np.array([t for own in tokens for t in own]), np.repeat(np.arange(len(tokens)), counts)
     keep = rng.random(len(token)) > 0.15  # names come and go, so that no single one decides
-    scale = (keep / np.sqrt(np.maximum(1, counts))[owner])[:, None].astype(np.float32)
-    x = np.add.reduceat(np.concatenate([net.path[token] * scale, np.zeros((1, SIZE), np.float32)]), np.cumsum(counts) - counts, 0)
-    x[counts == 0] = 0
-    bucket, firsts = word_buckets(texts)
-    n = np.diff(firsts)
-    word_owner = np.repeat(np.arange(len(flat)), n)
+    scale = (keep / np.sqrt(counts)[owner])[:, None].astype(np.float32)
+    x = np.add.reduceat(net.path[token] * scale, np.cumsum(counts) - counts, 0)[place]
     share = (1 / n)[word_owner][:, None].astype(np.float32)
-    x += np.add.reduceat(net.word[bucket] * share, firsts[:-1], 0)
-    shape = shapes(texts, linked, n)
+    x += np.add.reduceat(net.word[bucket] * share, np.cumsum(n) - n, 0)
     x = np.tanh(x + shape @ net.shape + net.bias)
     first = np.cumsum(sizes) - sizes
     alive = np.searchsorted(-sizes, -np.arange(sizes[0]), "left")
@@ -195,10 +211,9 @@ def _gradients(net: BlockLabeller, pages: list, paths: Paths, rng: np.random.Gen
     lstm = []
     for d, (wx, wh, b) in enumerate(net.lstm):
         own = net.out[d * HIDDEN:(d + 1) * HIDDEN].T
-        dz_all, dwh = np.zeros((len(flat), 4 * HIDDEN), np.float32), np.zeros_like(wh)
+        dz_all, dwh = np.zeros((len(truth), 4 * HIDDEN), np.float32), np.zeros_like(wh)
         dh_next = dc_next = np.zeros((0, HIDDEN), np.float32)
         for rows, (h0, c0), h, (i, f, o, g, tc) in reversed(tapes[d]):
-            k = len(rows)
             out[d * HIDDEN:(d + 1) * HIDDEN] += h.T @ delta[rows]
             dh = delta[rows] @ own
             dh[:len(dh_next)] += dh_next
@@ -208,11 +223,10 @@ def _gradients(net: BlockLabeller, pages: list, paths: Paths, rng: np.random.Gen
             dz_all[rows] = dz
             dwh += h0.T @ dz
             dh_next, dc_next = dz @ wh.T, dc * f
-            assert len(dh_next) == k
         lstm.append([x.T @ dz_all, dwh, dz_all.sum(0)])
         dx += dz_all @ wx.T
     dx *= 1 - x * x
-    path, word = _summed(token, dx[owner] * scale, BUCKETS), _summed(bucket, dx[word_owner] * share, WORDS)
+    path, word = _summed(token, _summed(place, dx, len(places))[owner] * scale, BUCKETS), _summed(bucket, dx[word_owner] * share, WORDS)
     return [path, word, shape.T @ dx, dx.sum(0), *lstm[0], *lstm[1], out, delta.sum(0)]
 
 
