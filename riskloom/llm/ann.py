@@ -13,10 +13,13 @@ Parts are searched in chunks and blocks of bounded size, so a part may be as
 large as its vectors make it (a third of all rows may be one vector).
 
 Edge cases: vectors that are null, empty, zero or hold a null or non-finite
-component take no part, nor do rows without an id; of rows that share an id
-one vector counts.  Vectors of another dimension than the most common one form
-a part of their own for each dimension, which is searched whole.  With fewer
-candidates than k all are returned.  Ties go to the smaller vec_id.
+component take no part, nor do rows without an id; rows that share an id are
+candidates, and queries, of their own, and meet each other.  Vectors of another dimension than the most common one form
+a part of their own for each dimension, which is searched whole.  With at most
+four sampled vectors a part there is no graph and no router: all rows are one
+part, and the search is exact.  With fewer candidates than k all are returned.
+Ties go to the smaller vec_id.  The result has its own columns only, so other
+columns may have any name; vectors of any length are compared whole.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.llm.common import staged, with_arrow_columns
-from riskloom.llm.vectors import BLOCK, CHUNK, matrix, on_grid, packed, ranked, finite
+from riskloom.llm.vectors import BLOCK, CHUNK, PAIR, matrix, on_grid, packed, ranked, finite
 
 SAMPLE, NEIGHBOURS = 4096, 10
 #: The share of the sample's own neighbours that the probed parts must hold.
@@ -160,20 +163,21 @@ def fit_index(x: np.ndarray, parts: int, k: int) -> tuple[Router, int]:
 
 def _nearest(k: int):
     def search(own: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        ids, mine, theirs = own["vec_id"].to_numpy(), matrix(own), matrix(asked)
+        rows, ids, mine, theirs = own["row"].to_numpy(), own["vec_id"].to_numpy(), matrix(own), matrix(asked)
         length = np.sqrt((mine * mine).sum(1))
         fair = mine / length[:, None]
         out = []
         for s in range(0, len(asked), _STEP):
-            names, block = asked["vec_id"].to_numpy()[s:s + _STEP], theirs[s:s + _STEP]
+            names, block = asked["row"].to_numpy()[s:s + _STEP], theirs[s:s + _STEP]
             near = unit(block) @ fair.T
-            near[names[:, None] == ids[None, :]] = -np.inf
-            for name, q, row in zip(names, block, near):
+            near[names[:, None] == rows[None, :]] = -np.inf
+            for name, query_id, q, row in zip(names, asked["vec_id"].to_numpy()[s:s + _STEP], block, near):
                 least = np.partition(row, -k)[-k] - 1e-9 if len(row) > k else -2.0
                 left = np.flatnonzero((row >= least) & (row > -2))  # with room for rounding; then one sum a pair, always alike
                 score = (mine[left] * q).sum(1) / (length[left] * np.sqrt((q * q).sum()))
                 best = np.lexsort((ids[left], -score))[:k]
-                out.append(pd.DataFrame({"query_id": name, "vec_id": ids[left][best], "score": score[best]}))
+                out.append(pd.DataFrame({"query": name, "query_id": query_id, "row": rows[left][best], "vec_id": ids[left][best],
+                                         "score": score[best]}))
         return pd.concat(out)
     return search
 
@@ -192,7 +196,7 @@ def nearest_neighbours(rows: DataFrame, is_query, k: int = 5, key: str = "vec_id
         return vectors.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score"))
     dim, n = dims
     parts = index_size(n)
-    some = vectors.where(F.col("dim") == dim).orderBy(F.xxhash64("vec_id", F.lit(3)), "vec_id").limit(SAMPLE).toPandas()
+    some = vectors.where(F.col("dim") == dim).orderBy(F.xxhash64("vec_id", F.lit(3)), "vec_id", "raw").limit(SAMPLE).toPandas()
     net, probes = fit_index(matrix(some), parts, k) if len(some) > 4 * parts else (None, 1)
 
     def home(dims_: pa.Array, raws: pa.Array) -> list[pa.Array]:
@@ -230,8 +234,8 @@ def nearest_neighbours(rows: DataFrame, is_query, k: int = 5, key: str = "vec_id
                 made = F.when(F.col("part") == p, s[which]).otherwise(made)
         return made
 
-    chunk = lambda seed, which: F.pmod(F.xxhash64("vec_id", F.lit(seed)), cells(which)).cast("int")
+    chunk = lambda seed, which: F.pmod(F.xxhash64("row", F.lit(seed)), cells(which)).cast("int")
     every = lambda which: F.explode(F.sequence(F.lit(0), cells(which) - 1))
     own = indexed.withColumn("chunk", chunk(1, 0)).withColumn("block", every(1))
     asked = asked.withColumn("block", chunk(2, 1)).withColumn("chunk", every(0))
-    return ranked(on_grid(own, asked, ["part", "chunk", "block"], _nearest(k), "query_id long, vec_id long, score double"), k)
+    return ranked(on_grid(own, asked, ["part", "chunk", "block"], _nearest(k), PAIR + "double"), k)

@@ -2,7 +2,8 @@
 
 Nothing here holds a whole column on the driver or in one task.  Staged
 tables live in the shared checkpoint folder, so any executor can reread them
-after another one is lost.
+after another one is lost; results are lazy and read them, so nothing here
+deletes them: whoever owns that folder clears it after the job.
 """
 
 from __future__ import annotations
@@ -25,7 +26,10 @@ BATCH_BYTES = 8 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches of this session, so that a task's memory doesn't follow the length of its texts."""
+    """Bound the Arrow batches of this session, so that a task's memory doesn't follow the length of its texts.
+
+    The setting stays on the session, as results are lazy and run later.
+    """
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     now = spark.conf.get(name, None) or ""
     if not now.rstrip("b").isdigit() or int(now.rstrip("b")) > BATCH_BYTES:

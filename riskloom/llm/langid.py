@@ -10,7 +10,7 @@ Fit: at most about ``per_lang`` texts of each language (chosen by a hash of
 the id) and ``WINDOWS_A_TEXT`` windows of each; these bounds are the only
 sample.  Prediction reads every byte of every text.
 
-Edge cases: a null or empty text, or one without any letter, is ``und`` with
+Edge cases: a null or empty text, or one without any letter (category L), is ``und`` with
 score 0.  Rows without a language are never learned from.  With no row to
 learn from, every text is ``und``.  Ties go to the language that sorts
 first.  Repeated rows get the same answer; an empty table gives none.
@@ -18,12 +18,12 @@ first.  Repeated rows get the same answer; an empty table gives none.
 
 from __future__ import annotations
 
-import re
 import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +36,9 @@ FILTERS = 8
 WINDOWS_A_TEXT = 4
 UNDETERMINED = "und"
 _CHUNK = 256
-_LETTER = re.compile(r"[^\W\d_]")
+#: A letter is a character of the Unicode categories L, in the pipeline too.
+LETTER = r"\p{L}"
+_LETTER = regex.compile(LETTER)
 
 
 def _alphabet() -> np.ndarray:

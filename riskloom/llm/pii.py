@@ -138,10 +138,11 @@ def _add_matches(df: DataFrame, kind: Kind, text: str) -> DataFrame:
 def find_personal_data(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with ``base_spans`` and ``added_spans``: arrays of (kind, start, end, score), by kind, then start.
 
-    Columns of ``df`` with these names, or with a kind's name, are replaced; name clashes are the
-    caller's to avoid by renaming.
+    A column of ``df`` named like one of these two is replaced, all others stay, whatever they are called.
     """
-    df = df.drop("base_spans", "added_spans", *[k.name for k in BASE + ADDED])
+    kept = [(i, c) for i, c in enumerate(df.columns) if c not in ("base_spans", "added_spans")]
+    df = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in kept], F.col(f"`{text}`").alias("_body"))
+    text = "_body"
     for kind in BASE + ADDED:
         df = _add_matches(df, kind, text)
     # as the element type stays the same, an empty array takes the place of null
@@ -150,7 +151,7 @@ def find_personal_data(df: DataFrame, text: str = "text") -> DataFrame:
     df = df.withColumn("base_spans", joined(BASE))
     free = F.filter(joined(ADDED), lambda s: (s["score"] >= ADDED_SCORE) & ~F.exists(
         "base_spans", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return df.withColumn("added_spans", free).drop(*[k.name for k in BASE + ADDED])
+    return df.withColumn("added_spans", free).select(*[F.col(f"c{i}").alias(c) for i, c in kept], "base_spans", "added_spans")
 
 
 def span_text(spans: Column) -> Column:

@@ -117,11 +117,11 @@ def op9_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _TOP_K_SQL = """
-WITH v AS (SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) for x in embedding] AS w FROM embeddings
+WITH v AS (SELECT row_number() OVER () AS row, vec_id, [floor(1024 * CAST(x AS DOUBLE)) for x in embedding] AS w FROM embeddings
   WHERE len(embedding) > 0 AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.w) = len(c.w) WHERE q.vec_id % 100 = 0),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+s AS (SELECT q.row AS query, q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.row <> c.row AND len(q.w) = len(c.w) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
 
 

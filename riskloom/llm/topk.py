@@ -16,9 +16,11 @@ Candidates lie in chunks and queries in blocks of bounded size; cutoffs travel
 with their queries, not by broadcast.  Scores are whole numbers.
 
 Edge cases: vectors that are null, empty, or hold a null or non-finite
-component take no part, nor do rows without an id; of rows that share an id
-one vector counts.  A query meets only vectors of its own dimension.  With
-fewer candidates than k all are returned.  Ties go to the smaller vec_id.
+component take no part, nor do rows without an id; rows that share an id are
+candidates, and queries, of their own, and meet each other.  A query meets only vectors of its own dimension.  With
+fewer candidates than k all are returned.  Ties go to the smaller vec_id.  The
+result has its own columns only, so other columns may have any name; a task
+holds whole vectors of a chunk and a block, however long they are.
 Sums must stay within 63 bits, as the score's type does.
 """
 
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import staged
-from riskloom.llm.vectors import finite, grid, matrix, on_grid, packed, ranked
+from riskloom.llm.vectors import PAIR, finite, grid, matrix, on_grid, packed, ranked
 
 LISTS = 4
 #: Queries that a task scores at once.
@@ -54,16 +56,16 @@ def _partials(asked: np.ndarray, own: np.ndarray) -> list[np.ndarray]:
 
 def _local_lists(k: int):
     def search(own: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        ids, mine, theirs = own["vec_id"].to_numpy(), matrix(own), matrix(asked)
+        ids, mine, theirs = own["row"].to_numpy(), matrix(own), matrix(asked)
         out = []
         for s in range(0, len(asked), _STEP):
-            names = asked["vec_id"].to_numpy()[s:s + _STEP]
+            names = asked["row"].to_numpy()[s:s + _STEP]
             for b, part in enumerate(_partials(theirs[s:s + _STEP], mine)):
                 low = part.min(1)
                 part = np.where(ids[None, :] == names[:, None], np.iinfo(np.int64).min, part)  # a query's own row is no candidate
                 best = np.argpartition(part, -min(k, len(ids)), axis=1)[:, -min(k, len(ids)):]
                 rows = np.repeat(np.arange(len(names)), best.shape[1])
-                out.append(pd.DataFrame({"query_id": names[rows], "list": b, "vec_id": ids[best.ravel()],
+                out.append(pd.DataFrame({"query": names[rows], "list": b, "row": ids[best.ravel()],
                                          "part": part[rows, best.ravel()], "low": low[rows]}))
         made = pd.concat(out)
         return made[made["part"] > np.iinfo(np.int64).min]
@@ -71,27 +73,27 @@ def _local_lists(k: int):
 
 
 def _cutoffs(lists: DataFrame, k: int) -> DataFrame:
-    """(vec_id, cutoff, lows): for each query the k-th best lower bound (null with fewer) and every list's least entry."""
-    lows = lists.groupBy("query_id", "list").agg(F.min("low").alias("low"))
-    best = Window.partitionBy("query_id", "list").orderBy(F.desc("part"), "vec_id")
+    """(row, cutoff, lows): for each query the k-th best lower bound (null with fewer) and every list's least entry."""
+    lows = lists.groupBy("query", "list").agg(F.min("low").alias("low"))
+    best = Window.partitionBy("query", "list").orderBy(F.desc("part"), "row")
     known = lists.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k).join(lows.withColumnRenamed("low", "least"), [
-        "query_id", "list"])
-    floor = lows.groupBy("query_id").agg(F.sum("low").alias("floor"), F.sort_array(F.collect_list(F.struct("list", "low"))).alias("lows"))
-    above = known.groupBy("query_id", "vec_id").agg(F.sum(F.col("part") - F.col("least")).alias("above"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("above"))
-    kth = above.withColumn("r", F.row_number().over(order)).where(F.col("r") == k).select("query_id", "above")
-    return floor.join(kth, "query_id", "left").select(
-        F.col("query_id").alias("vec_id"), (F.col("above") + F.col("floor")).alias("cutoff"), F.col("lows.low").alias("lows"))
+        "query", "list"])
+    floor = lows.groupBy("query").agg(F.sum("low").alias("floor"), F.sort_array(F.collect_list(F.struct("list", "low"))).alias("lows"))
+    above = known.groupBy("query", "row").agg(F.sum(F.col("part") - F.col("least")).alias("above"))
+    order = Window.partitionBy("query").orderBy(F.desc("above"))
+    kth = above.withColumn("r", F.row_number().over(order)).where(F.col("r") == k).select("query", "above")
+    return floor.join(kth, "query", "left").select(
+        F.col("query").alias("row"), (F.col("above") + F.col("floor")).alias("cutoff"), F.col("lows.low").alias("lows"))
 
 
 def _resolve(k: int):
     def search(own: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        ids, mine, theirs = own["vec_id"].to_numpy(), matrix(own), matrix(asked)
+        rows_, ids, mine, theirs = own["row"].to_numpy(), own["vec_id"].to_numpy(), matrix(own), matrix(asked)
         out = []
         for s in range(0, len(asked), _STEP):
             block = asked.iloc[s:s + _STEP]
             parts = _partials(theirs[s:s + _STEP], mine)
-            for i, (name, cutoff, lows) in enumerate(zip(block["vec_id"], block["cutoff"], block["lows"])):
+            for i, (name, query_id, cutoff, lows) in enumerate(zip(block["row"], block["vec_id"], block["cutoff"], block["lows"])):
                 rows = [p[i] for p in parts]
                 if cutoff is None or pd.isna(cutoff) or lows is None:
                     left = np.arange(len(ids))
@@ -103,13 +105,14 @@ def _resolve(k: int):
                     left = np.flatnonzero(np.logical_or.reduce(sent))
                     most = sum(np.where(t[left], r[left], m) for t, r, m in zip(sent, rows, marks))
                     left = left[most >= cutoff]
-                left = left[ids[left] != name]
+                left = left[rows_[left] != name]
                 total = sum(r[left] for r in rows)
                 if len(left) > k:
                     least = np.partition(total, -k)[-k]
                     left, total = left[total >= least], total[total >= least]
                 order = np.lexsort((ids[left], -total))[:k]
-                out.append(pd.DataFrame({"query_id": name, "vec_id": ids[left][order], "score": total[order]}))
+                out.append(pd.DataFrame({"query": name, "query_id": query_id, "row": rows_[left][order], "vec_id": ids[left][order],
+                                         "score": total[order]}))
         return pd.concat(out)
     return search
 
@@ -117,12 +120,12 @@ def _resolve(k: int):
 def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(query_id, rank, vec_id, score): the k largest inner products of each query with every other vector.
 
-    Both sides are tables of packed vectors (see ``packed``); a candidate with the query's id is the query itself.
+    Both sides come from one table of packed vectors (see ``packed``); the candidate of the query's row is the query itself.
     """
     queries = queries.select(*[F.col(c).alias(c) for c in queries.columns])  # columns of its own, as both may be one table
     n, q = vectors.count(), queries.count()
     keys = ["dim", "chunk", "block"]
     own, asked = grid(vectors, queries, n, q)
-    lists = staged(on_grid(own, asked, keys, _local_lists(k), "query_id long, list int, vec_id long, part long, low long"), "lists")
-    asked = grid(vectors, queries.join(_cutoffs(lists, k), "vec_id", "left"), n, q)[1]
-    return ranked(on_grid(own, asked, keys, _resolve(k), "query_id long, vec_id long, score long"), k)
+    lists = staged(on_grid(own, asked, keys, _local_lists(k), "query long, list int, row long, part long, low long"), "lists")
+    asked = grid(vectors, queries.join(_cutoffs(lists, k), "row", "left"), n, q)[1]
+    return ranked(on_grid(own, asked, keys, _resolve(k), PAIR + "long"), k)

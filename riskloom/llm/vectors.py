@@ -17,6 +17,8 @@ from riskloom.llm.common import staged
 CHUNK, BLOCK = 8192, 2048
 
 PACKED = "vec_id long, dim int, raw binary"
+#: What a search returns of each pair: the rows of the query and the candidate, their ids, the score.
+PAIR = "query long, query_id long, row long, vec_id long, score "
 
 
 def finite(vector: str) -> Column:
@@ -26,9 +28,9 @@ def finite(vector: str) -> Column:
 
 
 def packed(rows: DataFrame, key: str, vector: Column) -> DataFrame:
-    """(vec_id, dim, raw): one vector of doubles for each id, as bytes; written to the shared folder.
+    """(row, vec_id, dim, raw): every row's vector of doubles as bytes, under a number of its own; written to the shared folder.
 
-    Of rows that share an id, the vector with the smallest bytes counts.  Rows without an id are left out.
+    Rows that share an id stay rows of their own.  Rows without an id are left out.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -37,8 +39,7 @@ def packed(rows: DataFrame, key: str, vector: Column) -> DataFrame:
                                               pa.array(raw, pa.binary())], names=["vec_id", "dim", "raw"])
 
     made = rows.select(F.col(key).cast("long").alias("vec_id"), vector.cast("array<double>").alias("v")).where("vec_id is not null")
-    made = made.mapInArrow(run, PACKED).groupBy("vec_id").agg(F.min_by(F.struct("dim", "raw"), "raw").alias("x"))
-    return staged(made.select("vec_id", "x.dim", "x.raw"), "vectors")
+    return staged(made.mapInArrow(run, PACKED).select(F.monotonically_increasing_id().alias("row"), "vec_id", "dim", "raw"), "vectors")
 
 
 def matrix(frame: pd.DataFrame) -> np.ndarray:
@@ -51,8 +52,8 @@ def parts_of(n: int, size: int) -> int:
 
 
 def dealt(rows: DataFrame, cells: int, seed: int) -> Column:
-    """The part, of ``cells``, that an id falls into."""
-    return F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(cells)).cast("int")
+    """The part, of ``cells``, that a row falls into."""
+    return F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(cells)).cast("int")
 
 
 def on_grid(candidates: DataFrame, queries: DataFrame, keys: list[str], search: Callable, schema: str) -> DataFrame:
@@ -76,9 +77,9 @@ def grid(candidates: DataFrame, queries: DataFrame, n: int, q: int) -> tuple[Dat
 
 
 def ranked(found: DataFrame, k: int) -> DataFrame:
-    """The k best rows of each query, ties to the smaller vec_id, with their rank."""
+    """The k best rows of each query row, ties to the smaller vec_id, with their rank."""
     from pyspark.sql import Window
 
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

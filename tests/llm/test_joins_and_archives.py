@@ -144,27 +144,25 @@ def odd_vectors(spark, n=400, size=16, seed=1):
         vectors[i] = vectors[0]  # ties
     rows = [(i, v, "x") for i, v in enumerate(vectors)]
     rows += [(n, None, "x"), (n + 1, [], "x"), (n + 2, [float("nan")] * size, "x"), (n + 3, [0.0] * size, "x"), (n + 4, [None] * size, "x"),
-             (n + 5, [float("inf")] * size, "x"), (1000, [1.0, 2.0], "x"), (1001, [2.0, 2.0], "x"), (None, vectors[1], "x"), rows[3], rows[50]]
+             (n + 5, [float("inf")] * size, "x"), (1000, [1.0, 2.0], "x"), (1001, [2.0, 2.0], "x"), (None, vectors[1], "x"), rows[3], rows[50],
+             (50, vectors[7], "x"), (8, vectors[9], "x")]  # repeated rows, and ids of two vectors
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank string")
 
 
 def usable(df, zero):
-    out = {}
-    for r in df.collect():
-        v = r.embedding
-        if r.vec_id is not None and v and all(x is not None and np.isfinite(x) for x in v) and (zero or any(v)):
-            out[r.vec_id] = np.array(v, float)
-    return out
+    """(vec_id, vector) of every row that takes part."""
+    return [(r.vec_id, np.array(r.embedding, float)) for r in df.collect() if r.vec_id is not None and (v := r.embedding)
+            and all(x is not None and np.isfinite(x) for x in v) and (zero or any(v))]
 
 
 def test_top_k_equals_brute_force(spark):
     df = odd_vectors(spark)
-    vectors = {k: np.floor(1024 * v).astype(int) for k, v in usable(df, True).items()}
+    vectors = [(k, np.floor(1024 * v).astype(int)) for k, v in usable(df, True)]
     table = topk.whole_numbers(df)
     rows = topk.exact_top_k(table, table.where("vec_id % 50 = 0"), 10).collect()
     want = []
-    for q in (k for k in vectors if k % 50 == 0):
-        near = sorted((-int(vectors[q] @ v), c) for c, v in vectors.items() if c != q and len(v) == len(vectors[q]))
+    for i, (q, own) in enumerate(vectors):
+        near = sorted((-int(own @ v), c) for j, (c, v) in enumerate(vectors) if j != i and len(v) == len(own)) if q % 50 == 0 else []
         want += [(q, r + 1, c, -s) for r, (s, c) in enumerate(near[:10])]
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in rows) == sorted(want)
 
@@ -184,21 +182,27 @@ def test_nearest_neighbours_find_what_brute_force_finds(spark):
     for r in sorted(rows, key=lambda r: r["rank"]):
         mine[r.query_id].append((r.vec_id, r.score))
     hits = total = 0
-    for q in (k for k in vectors if k % 50 == 0):
-        near = sorted((-round(float(vectors[q] @ v / np.sqrt(vectors[q] @ vectors[q]) / np.sqrt(v @ v)), 12), c)
-                      for c, v in vectors.items() if c != q and len(v) == len(vectors[q]))[:5]
-        assert len(mine[q]) == len(near) and all(a[1] >= b[1] for a, b in zip(mine[q], mine[q][1:]))
-        hits += len({c for _, c in near} & {c for c, _ in mine[q]})
-        total += len(near)
+    cosine = lambda a, b: float(a @ b / np.sqrt(a @ a) / np.sqrt(b @ b))
+    for q in {k for k, _ in vectors if k % 50 == 0}:
+        rows_of = [i for i, (k, _) in enumerate(vectors) if k == q]
+        near = [(round(cosine(vectors[i][1], v), 9), c) for i in rows_of for _, j, c, v in sorted(
+            ((-round(cosine(vectors[i][1], v), 12), j, c, v) for j, (c, v) in enumerate(vectors) if j != i and len(v) == len(vectors[i][1])),
+            key=lambda x: x[:2])[:5]]
+        assert len(mine[q]) == len(near)
+        if len(rows_of) == 1:
+            assert all(a[1] >= b[1] for a, b in zip(mine[q], mine[q][1:]))
+        hits += len(set(s for s, _ in near) & set(round(s, 9) for _, s in mine[q]))
+        total += len(set(s for s, _ in near))
         for c, score in mine[q]:
-            assert c != q and abs(score - vectors[q] @ vectors[c] / np.sqrt(vectors[q] @ vectors[q]) / np.sqrt(vectors[c] @ vectors[c])) < 1e-12
+            assert any(abs(score - cosine(vectors[i][1], v)) < 1e-12 for i in rows_of for j, (k, v) in enumerate(vectors)
+                       if k == c and j != i and len(v) == len(vectors[i][1]))
     assert hits / total >= 0.9
-    assert mine[1000][0][0] == 1001  # of another dimension
+    assert any(c == 1001 and abs(score - 6 / 40 ** 0.5) < 1e-12 for c, score in mine[1000])  # of another dimension
 
 
 def test_recall_on_embeddings(spark):
     rows = QUERIES["op2_learned_partitions"](spark, SF).collect()
-    exact = usable(spark.read.parquet(f"{SF}/embeddings.parquet"), False)
+    exact = dict(usable(spark.read.parquet(f"{SF}/embeddings.parquet"), False))
     ids = np.array(sorted(exact))
     x = ann.unit(np.stack([exact[i] for i in ids]))
     hits = 0
@@ -213,6 +217,17 @@ def test_recall_on_embeddings(spark):
     assert hits / (5 * len(asked)) >= 0.9
 
 
+def test_rows_that_share_an_id_are_rows_of_their_own(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (1, [1.0, 0.1]), (0, [0.5, 0.5])], "vec_id long, embedding array<double>")
+    rows = ann.nearest_neighbours(df, lambda v: v == 0, 3).collect()
+    found = sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 3)) for r in rows)
+    assert found == [(0, 1, 1, 0.774), (0, 1, 1, 0.995), (0, 2, 0, 0.707), (0, 2, 0, 0.707), (0, 3, 1, 0.0), (0, 3, 1, 0.707)]
+    table = topk.whole_numbers(df)
+    rows = topk.exact_top_k(table, table.where("vec_id = 0"), 2).collect()
+    first = [(r["rank"], r.vec_id, r.score) for r in rows if r.score > 1024 * 600]
+    assert len(rows) == 4 and (1, 1, 1024 * 1024) in first
+
+
 def test_vector_searches_of_nothing(spark):
     none = odd_vectors(spark).where("vec_id < 0")
     assert ann.nearest_neighbours(none, lambda v: v % 50 == 0).count() == 0

@@ -110,6 +110,16 @@ def test_base_spans_equal_plain_patterns(documents, odd_docs):
         assert r.base == base_spans(r.text or "")
 
 
+def test_columns_named_like_kinds_stay(spark):
+    names = ["email", "ip", "card", "phone", "iban", "account", "_hits", "_body", "c0"]
+    df = spark.createDataFrame([tuple(f"{n}@a.org" for n in names)], names)
+    for text in names:
+        row = pii.find_personal_data(df, text).first()
+        assert all(row[n] == f"{n}@a.org" for n in names)
+        assert [(x.kind, x.start, x.end) for x in row.base_spans] == [("email", 0, len(text) + 6)]
+        assert pii.mask_personal_data(df, text).first()[text] == "[EMAIL]"
+
+
 def test_base_spans_of_random_texts(spark):
     rng = random.Random(3)
     texts = ["".join(rng.choice("ab1290.@+-_% ()é😀") for _ in range(rng.randint(0, 80))) for _ in range(3000)]
@@ -139,6 +149,15 @@ def test_language_held_out_accuracy(spark, documents):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_signs_that_are_no_letters_are_undetermined(spark):
+    net = langid.fit([b"abab" * 90, b"xyxy" * 90] * 3, ["a", "x"] * 3, epochs=1)
+    texts = ["½²", "²", "①½ ³", "_", "7", "ª", "ʰ", "中", "é"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = langid.predict(df, net).orderBy("doc_id").collect()
+    assert [r.lang_pred == "und" for r in rows] == [True] * 5 + [False] * 4
+    assert [r.doc_id for r in df.where(F.col("text").rlike(langid.LETTER)).collect()] == [5, 6, 7, 8]
+
+
 def test_language_edge_cases(odd_docs, no_docs):
     assert langid.train(no_docs) is None
     rng = random.Random(1)
