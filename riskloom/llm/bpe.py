@@ -80,6 +80,7 @@ class Merges:
         self.ids = {s: i for i, s in self.strings.items() if made.get(i)}
         self.shorter = {i: next((self.ids[s[:k]] for k in range(len(s) - 1, 0, -1) if s[:k] in self.ids), None)
                         for s, i in self.ids.items()}
+        self.longest = max(map(len, self.ids))
         self.automaton = ahocorasick.Automaton()
         for s, i in self.ids.items():
             self.automaton.add_word(s, i)
@@ -112,33 +113,44 @@ class Merges:
         whole = self.ids.get(word)
         if whole is not None:
             return [whole]
-        found, last = [], None
+        found, last, at, fits, lengths = [], None, 0, self.fits, self.lengths
         for _, i in self.automaton.iter_long(word):
-            if last is not None and not (self.fits.get((last, i)) or self.compatible(last, i)):
-                return self._backtrack(word)
+            if last is not None and not (fits.get((last, i)) or self.compatible(last, i)):
+                return self._backtrack(word, found, at, self.shorter[i])
             found.append(i)
+            at += lengths[i]
             last = i
         return found
 
-    def _backtrack(self, word: str) -> list[int]:
-        longest: list[int | None] = [None] * (len(word) + 1)
-        for end, i in self.automaton.iter(word):
-            start = end + 1 - self.lengths[i]
-            if longest[start] is None or self.lengths[i] > self.lengths[longest[start]]:
-                longest[start] = i
-        lost, out, at, token = bytearray(len(word) + 1), [], 0, longest[0]
-        while at < len(word):
-            while token is not None and (lost[at + self.lengths[token]] or out and not self.compatible(out[-1], token)):
-                token = self.shorter[token]
+    def _longest(self, word: str, at: int) -> int | None:
+        """The longest token that begins at a place."""
+        rest = word[at:at + self.longest]
+        for size in range(self.automaton.longest_prefix(rest), 0, -1):
+            if (token := self.ids.get(rest[:size])) is not None:
+                return token
+        return None
+
+    def _backtrack(self, word: str, out: list[int], at: int, token: int | None) -> list[int]:
+        """Go on from the tokens found so far, of which the next one must be ``token`` or a shorter one; no place is lost twice."""
+        lost, fits, lengths, shorter, end = bytearray(len(word) + 1), self.fits, self.lengths, self.shorter, len(word)
+        while at < end:
+            while token is not None:
+                if not lost[at + lengths[token]]:
+                    if not out:
+                        break
+                    fit = fits.get((out[-1], token))
+                    if fit if fit is not None else self.compatible(out[-1], token):
+                        break
+                token = shorter[token]
             if token is not None:
                 out.append(token)
-                at += self.lengths[token]
-                token = longest[at]
+                at += lengths[token]
+                token = self._longest(word, at) if at < end else None
             elif out:
                 lost[at] = 1
                 last = out.pop()
-                at -= self.lengths[last]
-                token = self.shorter[last]
+                at -= lengths[last]
+                token = shorter[last]
             else:
                 raise ValueError("the vocabulary lacks a sign of the word")
         return out
@@ -168,20 +180,24 @@ class TextEncoder(dict):
         self.word_ids = word_ids or Merges(spec["model"]).encode
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split
-        self.signs = byte_signs()
+        self.signs, self.older = byte_signs(), {}
         names = {i: s for s, i in spec["model"]["vocab"].items()} | {i: s for s, i in self.special.items()}
         self.table, self.offsets = offset_table([names.get(i, "") for i in range(max(names) + 1)])
         self.digits, self.digit_offsets = offset_table([str(i) for i in range(max(names) + 1)])
 
     def __missing__(self, chunk: str) -> bytes:
-        words = _PIECES.findall(chunk)
-        if words == [chunk]:  # printable ASCII signs stand for themselves
-            signs = chunk if chunk.isascii() else "".join([self.signs[b] for b in chunk.encode()])
-            found = array("I", self.word_ids(signs)).tobytes()
-        else:
-            found = b"".join([self[w] for w in words])
+        """The ids of a chunk that isn't remembered; of two generations of chunks the older one goes when the newer one is full."""
+        found = self.older.get(chunk)
+        if found is None:
+            words = _PIECES.findall(chunk)
+            if len(words) == 1 and words[0] == chunk:  # printable ASCII signs stand for themselves
+                signs = chunk if chunk.isascii() else "".join([self.signs[b] for b in chunk.encode()])
+                found = array("I", self.word_ids(signs)).tobytes()
+            else:
+                return b"".join([self[w] for w in words])
         if len(chunk) <= MEMO_CHARS:
-            if len(self) >= MEMO:
+            if len(self) >= MEMO // 2:
+                self.older = dict(self)
                 self.clear()
             self[chunk] = found
         return found
