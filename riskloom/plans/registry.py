@@ -802,7 +802,21 @@ def _train_frame(spark, sf):
     return df, M.sized_for_iterations(train, train.count())
 
 
+#: The model that each registered learner query of an application has fitted: metrics and importance share one.
+_FITTED: dict[tuple, PipelineModel] = {}
+
+
 def trained_model(spark, sf, kind: str):
+    """(all rows with their split, the model): fitted once for an application, folder and kind."""
+    at = (spark.sparkContext.applicationId, sf, kind)
+    if at not in _FITTED:
+        df, model = _fitted_model(spark, sf, kind)
+        _FITTED[at] = model
+        return df, model
+    return split_cases(spark, sf), _FITTED[at]
+
+
+def _fitted_model(spark, sf, kind: str):
     df, train = _train_frame(spark, sf)
     prep = preprocessing(C, output_col="features")
     n_in = len(FEATURES) + 2
@@ -889,6 +903,46 @@ def q_calibration_sigmoid(spark, sf):
     return round_doubles(CAL.improved_brier(rep))
 
 
+# ---------------------------------------------------------------- M9 / M12 / C4 candidate chain and calibration by refit
+from riskloom.operators import selection as SEL  # noqa: E402
+
+_CHAINS: dict[tuple, tuple] = {}
+#: Tuned penalties of the chain's search; every combination is drawn.
+PENALTIES = {"C": [0.01, 0.1, 1.0, 10.0]}
+
+
+def logistic_chain(spark, sf):
+    """(all rows with their split, the chain): fitted once for an application and folder, as report and calibration share it."""
+    at = (spark.sparkContext.applicationId, sf)
+    df = split_cases(spark, sf)
+    if at not in _CHAINS:
+        held = df.persist()
+        _CHAINS[at] = SEL.candidate_chain(
+            spark, held.where(F.col("split") == "train"), held.where(F.col("split") == "validation"),
+            SEL.logistic_learner(preprocessing(C, output_col="features")), C.id, C.target, FEATURES, PENALTIES, 4)
+        held.unpersist()
+    return df, _CHAINS[at]
+
+
+@register("candidate_chain")
+def q_candidate_chain(spark, sf):
+    """M9 + M12: reference, ratio weight, oversampled rows and best tuned penalty of the logistic model, one row a stage: parameters,
+    training summary, validation average precision, incumbent after it.  Boosted trees go through the same chain
+    (``selection.boosting_learner``); seven fits of 600 rounds are more than a registered query may take."""
+    return round_doubles(logistic_chain(spark, sf)[1].ledger)
+
+
+@register("calibration_refit_report")
+def q_calibration_refit(spark, sf):
+    """C4: the chain's winner refitted on train minus a stratified holdout, calibrated there; raw and calibrated metrics of
+    holdout, validation and test."""
+    df, chain = logistic_chain(spark, sf)
+    done = SEL.calibrate_by_refit(df.where(F.col("split") == "train"), df.where(F.col("split") != "train"),
+                                  df.where(F.col("split") == "validation"), chain.winner.recipe,
+                                  SEL.logistic_learner(preprocessing(C, output_col="features")), C.id, C.target, FEATURES)
+    return round_doubles(SEL.refit_report(done, C.target))
+
+
 # ---------------------------------------------------------------- X1 / X2 importance
 def _fixed_rule(frame):
     return fixed_score(C.utilization, C.income)
@@ -1003,6 +1057,23 @@ def _comparison_sql(last: str | None = None) -> str:
                         f"ranked AS ({ranked}),\nqual AS ({qual})")
 
 
+_LEDGER_SQL = (
+    "SELECT a.stage, a.source, " + S.r6("a.metric", "metric") + ", (SELECT arg_max(b.source, b.metric * 1e9 - b.stage * 1e-3) FROM l b "
+    "WHERE b.stage <= a.stage) AS incumbent, NOT EXISTS (SELECT 1 FROM l b WHERE b.stage < a.stage AND b.metric >= a.metric) AS replaced FROM l a")
+
+
+@register("candidate_ledger", _comparison_sql(_LEDGER_SQL).replace("qual AS (", "l AS (SELECT CAST(CASE split_part(grp, '|', 1) " + " ".join(
+    f"WHEN '{k}' THEN {i}" for i, k in enumerate(RULES)) + " END AS INTEGER) AS stage, split_part(grp, '|', 1) AS source, average_precision "
+    "AS metric FROM met WHERE split_part(grp, '|', 2) = 'validation'),\nqual AS (", 1))
+def q_candidate_ledger(spark, sf):
+    """M12's fold: the fixed rules as candidates in stage order, the incumbent replaced only by a strictly better one."""
+    metrics = K.binary_metrics(multi_model_scores(spark, sf), C.target, "score", 0.5, ["model_key", "split"])
+    stages = spark.createDataFrame([(i, k) for i, k in enumerate(RULES)], "stage int, model_key string")
+    ledger = metrics.where(F.col("split") == "validation").join(F.broadcast(stages), "model_key").select(
+        "stage", F.col("model_key").alias("source"), F.col("average_precision").alias("metric"))
+    return round_doubles(SEL.with_incumbents(ledger))
+
+
 @register("model_comparison", _comparison_sql())
 def q_model_comparison(spark, sf):
     """Records, ranking and the champion rule over three scoring rules (grouped metrics and a
@@ -1335,7 +1406,7 @@ def q_importance_stability(spark, sf):
 
 @register("model_reload_check")
 def q_model_reload_check(spark, sf):
-    """M9 + M10 + S9: save the pipeline to the shared checkpoint folder, reload, score validation."""
+    """M10 + S9: save the pipeline to the shared checkpoint folder, reload, score validation."""
     import os
     import uuid
 
