@@ -1575,3 +1575,48 @@ def q_raw_contract_report(spark, sf):
     f"apps AS ({applications_sql()}), typed_apps AS ({_typed_apps_sql()})"))
 def q_typed_applications(spark, sf):
     return round_doubles(files.typed(load_applications(spark, sf), C))
+
+
+# ---------------------------------------------------------------- D11 labels that arrive late
+from riskloom.operators import late_labels as LL  # noqa: E402
+from riskloom.sources.tables import read_table  # noqa: E402
+
+MATURITY_DAYS = (30, 90, 180)
+_LATE_SQL = (
+    "WITH e AS (SELECT max(o_orderdate) AS evaluated FROM orders), "
+    "l AS (SELECT l_orderkey AS k, l_shipdate AS t, max(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS label FROM lineitem "
+    "WHERE l_orderkey IS NOT NULL AND l_shipdate IS NOT NULL GROUP BY ALL), "
+    "s AS (SELECT o_orderkey, o_orderdate AS scored_at, floor(least(o_totalprice / 500000.0, 1.0) * 1024.0 + 0.5) / 1024.0 AS score, "
+    "CAST(days AS INTEGER) AS window_days, o_orderdate + to_days(CAST(days AS INTEGER)) <= evaluated AS matured, "
+    "least(o_orderdate + to_days(CAST(days AS INTEGER)), evaluated) AS until "
+    f"FROM orders, e, (SELECT unnest({list(MATURITY_DAYS)}) AS days) WHERE o_orderdate <= evaluated), "
+    "j AS (SELECT s.*, l.label, l.t AS labelled_at FROM s ASOF LEFT JOIN l ON s.o_orderkey = l.k AND s.until >= l.t) ")
+
+
+def late_labels(spark, sf) -> DataFrame:
+    """Orders as scored cases (a fixed score of the price), the return flags of their lines as labels that arrive when a line ships;
+    evaluated at the last order's date."""
+    orders = read_table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_orderdate").cast("timestamp").alias("scored_at"),
+        (F.floor(F.least(F.col("o_totalprice") / 500000.0, F.lit(1.0)) * 1024.0 + 0.5) / 1024.0).alias("score"))  # a binary fraction: sums are exact
+    lines = read_table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), F.col("l_shipdate").cast("timestamp").alias("labelled_at"),
+        (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    evaluated = F.lit(orders.agg(F.max("scored_at")).first()[0]).cast("timestamp")
+    return LL.labels_by_maturity(orders, lines, "o_orderkey", "scored_at", "score", "labelled_at", "label", evaluated, MATURITY_DAYS)
+
+
+@register("late_labels_as_of", _LATE_SQL + "SELECT o_orderkey, window_days, matured, label, labelled_at FROM j")
+def q_late_labels(spark, sf):
+    """The newest label of every scored order when each maturity window ended."""
+    return late_labels(spark, sf).select("o_orderkey", "window_days", "matured", "label", "labelled_at")
+
+
+@register("late_label_vintages", _LATE_SQL + "SELECT CAST(date_trunc('month', scored_at) AS DATE) AS vintage, window_days, count(*) AS row_count, "
+          "count_if(matured) AS matured_count, count(label) AS labelled_count, "
+          + S.r6("1.0 - count(label) / count(*)", "unlabelled_share") + ", " + S.r6("sum(label) / nullif(count(label), 0)", "positive_rate") + ", "
+          + S.r6("avg(CASE WHEN label IS NOT NULL THEN score END)", "mean_score") + ", " + S.r6("avg((score - label) * (score - label))", "brier_score")
+          + ", " + S.r6("avg(score - label)", "calibration_gap") + " FROM j GROUP BY ALL")
+def q_late_label_vintages(spark, sf):
+    """Metrics by month of scoring and maturity window, with the share not yet labelled."""
+    return round_doubles(LL.vintage_report(late_labels(spark, sf), "scored_at", "score", "label"))
