@@ -31,6 +31,8 @@ from pyspark.sql.types import StringType
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 20_000
 BUCKET = "_bucket"
+#: The sketch that brackets quantiles is off by at most this part of the rows; with more probes all values are counted.
+SKETCH_ACCURACY, SKETCHED_PROBES = 10_000, 32
 
 
 def _bucketize(g: DataFrame, order_col: str, buckets: int) -> DataFrame:
@@ -123,11 +125,80 @@ def exact_quantiles(
     probs: Sequence[float],
     group_cols: Sequence[str] = (),
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
     """Exact linear-interpolation quantiles (numpy ``linear`` / SQL ``quantile_cont``).
 
     Returns one row per (group, prob index): ``group..., q_index, q, quantile``.
     Position ``h = (n - 1) * q``; value ``v[floor h] + (v[ceil h] - v[floor h]) * (h - floor h)``.
+
+    A mergeable sketch of each group brackets every probe; one more pass counts the values below
+    each bracket and keeps only those inside, so what is shuffled and ordered is the brackets'
+    share of the rows (``8 / accuracy`` a probe).  The brackets are checked against the counts, and
+    where one misses its ranks all values are counted instead, so the result is always exact.
+    Groups of fewer than ``10 * accuracy`` rows, and many probes (``SKETCHED_PROBES``), are counted
+    whole: their brackets would hold most values.
+    """
+    group_cols = list(group_cols)
+    if len(probs) > SKETCHED_PROBES:
+        return _counted_quantiles(df, value_col, probs, group_cols, rows_per_bucket)
+    inside = _bracketed_values(df, value_col, probs, group_cols, accuracy).persist()
+    missed = inside.groupBy(*group_cols, "_i").agg(F.max("_below").alias("below"), F.sum("_n").alias("n"), F.max("_total").alias("total"))
+    h = (F.col("total") - 1) * F.element_at(F.array(*[F.lit(float(x)) for x in probs]), F.greatest("_i", F.lit(0)) + 1)
+    outside = (F.floor(h) < F.col("below")) | (F.ceil(h) >= F.col("below") + F.col("n"))
+    expected = inside.select(*group_cols).distinct().count() if group_cols else 1
+    wrong = missed.agg(F.count_if((F.col("_i") >= 0) & outside).alias("wrong"), F.count_if(F.col("_i") >= 0).alias("probes"),
+                       F.count_if(F.col("_i") < 0).alias("whole")).first()
+    if wrong["wrong"] or wrong["probes"] + len(probs) * wrong["whole"] < len(probs) * (expected if wrong["probes"] + wrong["whole"] else 0):
+        return _counted_quantiles(df, value_col, probs, group_cols, rows_per_bucket)
+    keys = [*group_cols, "_i"]
+    rt = running_totals(inside.select(*keys, "_v", "_n", "_below", "_total"), "_v", ["_n"], keys, rows_per_bucket=rows_per_bucket,
+                        with_totals=False)
+    rt = rt.withColumn("cum__n", F.col("cum__n") + F.col("_below")).withColumn("tot__n", F.col("_total"))
+    own = F.when(F.col("_i") >= 0, F.array("_i")).otherwise(F.sequence(F.lit(0), F.lit(len(probs) - 1)))
+    return _at_positions(rt, "_v", probs, group_cols, own)
+
+
+def _bracketed_values(df: DataFrame, value_col: str, probs: Sequence[float], group_cols: Sequence[str], accuracy: int) -> DataFrame:
+    """(group..., _i, _v, _n, _below, _total): the distinct values inside probe _i's bracket with their multiplicity, the number of
+    values below that bracket, and the group's size.  Groups that are counted whole have all values under _i = -1."""
+    rows = df.where(F.col(value_col).isNotNull()).select(*group_cols, F.col(value_col).cast("double").alias("_v"))
+    order = sorted(range(len(probs)), key=lambda i: probs[i])
+    margin = 4.0 / accuracy
+    lows, highs = [probs[i] - margin for i in order], [probs[i] + margin for i in order]
+    asked = sorted({x for x in (*lows, *highs) if 0 < x < 1})
+    at = {x: F.element_at("_s", i + 1) for i, x in enumerate(asked)}
+    sketch = [F.percentile_approx("_v", asked, accuracy).alias("_s")] if asked else [F.array().cast("array<double>").alias("_s")]
+    groups = rows.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_total"), *sketch)
+    # NaN is the largest value of Spark's order
+    groups = groups.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)], "_total", *[
+        F.when(F.col("_total") >= 10 * accuracy, F.array(*[at.get(x, F.lit(end)) for x in bounds])).alias(name)
+        for name, bounds, end in (("_lo", lows, float("-inf")), ("_hi", highs, float("nan")))])
+    same = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group_cols)]
+    joined = rows.join(groups, on=same, how="inner") if same else rows.crossJoin(F.broadcast(groups))  # one row
+    none = F.lit(None).cast("double")
+    slot = F.size(F.filter("_lo", lambda lo: lo <= F.col("_v")))
+    cells = F.when(F.col("_lo").isNull(), F.array(F.struct(F.lit(-1).alias("i"), F.col("_v").alias("v")))).otherwise(F.concat(
+        F.array(F.struct((-2 - slot).alias("i"), none.alias("v"))),
+        F.filter(F.transform(F.arrays_zip("_lo", "_hi"), lambda b, i: F.when(
+            (F.col("_v") >= b["_lo"]) & (F.col("_v") <= b["_hi"]), F.struct(i.alias("i"), F.col("_v").alias("v")))), lambda c: c.isNotNull())))
+    counted = joined.select(*group_cols, "_total", F.explode(cells).alias("c")).groupBy(
+        *group_cols, "_total", F.col("c.i").alias("_place"), F.col("c.v").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    # rows of slot s lie below the brackets s, s + 1, ...: a group has at most as many slots as probes, and one more
+    slots = counted.where("_place < -1").groupBy(*group_cols).agg(F.collect_list(F.struct((-2 - F.col("_place")).alias("s"), "_n")).alias("_slots"))
+    slots = slots.withColumnsRenamed({c: f"_g{i}" for i, c in enumerate(group_cols)})
+    values = counted.where("_place >= -1")
+    out = values.join(slots, on=same, how="left") if same else values.join(F.broadcast(slots), how="left")
+    below = F.aggregate(F.filter(F.coalesce("_slots", F.array().cast(slots.schema["_slots"].dataType)), lambda x: x["s"] <= F.col("_place")),
+                        F.lit(0).cast("long"), lambda acc, x: acc + x["_n"])
+    number = F.element_at(F.array(*[F.lit(i) for i in order]), F.greatest("_place", F.lit(0)) + 1)
+    return out.select(*group_cols, F.when(F.col("_place") >= 0, number).otherwise(-1).alias("_i"), "_v", "_n",
+                      F.when(F.col("_place") >= 0, below).otherwise(0).cast("long").alias("_below"), "_total")
+
+
+def _counted_quantiles(df: DataFrame, value_col: str, probs: Sequence[float], group_cols: Sequence[str], rows_per_bucket: int) -> DataFrame:
+    """The quantiles from the running counts of all distinct values.
+
     Every distinct value carries its rank range ``[before, cum)`` and its group
     size, so the (bounded) list of probe ranks is tested row by row: no join.
     """
@@ -146,6 +217,14 @@ def exact_quantiles(
         idx = F.when(b > a, F.sequence(a, b - 1)).otherwise(F.array().cast("array<int>"))
     else:
         idx = F.sequence(F.lit(0), F.lit(len(probs) - 1))
+    return _at_positions(rt, value_col, probs, group_cols, idx)
+
+
+def _at_positions(rt: DataFrame, value_col: str, probs: Sequence[float], group_cols: Sequence[str], idx: Column) -> DataFrame:
+    """The quantiles from values with running counts, each of which is asked for the probes ``idx``."""
+    before = F.col("cum__n") - F.col("_n")
+    last = (F.col("tot__n") - 1).cast("double")
+    plist = F.array(*[F.lit(float(p)) for p in probs])
     hits = rt.select(*group_cols, F.col(value_col).cast("double").alias("_v"), before.alias("_before"),
                      F.col("cum__n"), last.alias("_last"), F.explode(idx).alias("_i"))
     p_i = F.element_at(plist, F.col("_i") + 1)
