@@ -48,12 +48,12 @@ def config_table(spark: SparkSession, configs: list[ModelConfig]) -> DataFrame:
 
 def model_records(metrics: DataFrame, configs: DataFrame, thresholds: DataFrame | None = None,
                   key: str = "model_key", split_col: str = "split") -> DataFrame:
-    """One flat record per model: validation_* and test_* metrics, threshold context (nulls when a
-    report is absent) and capability flags."""
+    """One flat record per configured model: validation_* and test_* metrics, threshold context (nulls when a
+    report is absent, so a model without metrics is kept and ranks last) and capability flags."""
     wide = metrics.where(F.col(split_col).isin("validation", "test")).groupBy(key).agg(*[
         F.max(F.when(F.col(split_col) == part, F.col(m))).alias(f"{part}_{m}")
         for part in ("validation", "test") for m in RECORD_METRICS])
-    out = configs.join(wide, on=key, how="inner")
+    out = configs.join(wide, on=key, how="left")
     if thresholds is not None:
         out = out.join(thresholds, on=key, how="left")
     else:

@@ -91,7 +91,7 @@ def permutation_importance(
         F.transform(F.array_sort(F.collect_list(F.struct("_r", "importance"))), lambda x: x["importance"])
         .alias("importance_values"),
         F.max("baseline_metric").alias("baseline_metric_value"))
-    return out
+    return out.orderBy(F.desc("mean_importance"), "feature_name")  # one row a feature
 
 
 def top_importances(imp: DataFrame, value_col: str, n: int, name_col: str = "feature_name") -> DataFrame:
