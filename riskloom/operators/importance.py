@@ -1,11 +1,8 @@
-"""Permutation importance (X1, D9) and top-N importances (X2) as one exploded Spark job.
+"""Permutation importance (X1, D9) and top-N importances (X2) without sorting or shuffling a copy of the rows per feature.
 
-Every (feature, repeat) copy of the evaluation rows gets its own seeded hash
-order.  The permuted value of the row ranked i by key is the value of the
-row ranked i by hash: two exact distributed ranks (``running_totals``) and
-an equi-join on (feature, repeat, rank) - no per-copy driver loop, no
-collection.  All copies are scored by one ``transform`` and evaluated by one
-grouped metric job.
+The rows are ranked once by key.  In repeat r the values of the row of rank i go to the row of rank ``permuted_rank(i)``, a
+seeded bijection computed from the rank alone.  One join on the rank brings every repeat's values to the rows, in the same
+task the row gets one variant a feature, is scored, and only counts by (feature, repeat, score) are shuffled from there.
 """
 
 from __future__ import annotations
@@ -17,6 +14,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.columns import q
 from riskloom.functions.cumulative import running_totals
+from riskloom.functions.permute import permuted_rank
 from riskloom.operators.metrics import binary_metrics
 
 # FIXED VALUES
@@ -24,30 +22,20 @@ MSG_REPEATS = "Permutation importance requires n_repeats to be positive."
 MSG_TOP = "top_n must be positive."
 
 
-def hash_rank_key(seed: int, parts: Sequence[Column]) -> Column:
-    """60-bit prefix of md5(seed-part-...) as a number (same order as the hex string)."""
-    h = F.md5(F.concat_ws("-", F.lit(str(seed)), *[p.cast("string") for p in parts]))
-    return F.conv(F.substring(h, 1, 15), 16, 10).cast("long")
-
-
 def permuted_copies(df: DataFrame, key: str, groups: Sequence[Sequence[str]], repeats: int, seed: int) -> DataFrame:
-    """Rows (``_f`` group name, ``_r`` repeat, key, permuted values of the group's columns)."""
-    names = ["+".join(g) for g in groups]
-    base = df.select(q(key), *{c for g in groups for c in g})
-    key_rank = running_totals(base.select(q(key), F.lit(1).alias("_one")), key, ["_one"], with_totals=False) \
-        .select(q(key), F.col("cum__one").alias("_rank"))
-    entries = []
-    for name, g in zip(names, groups):
-        vals = F.array(*[q(c).cast("double") for c in g])
-        for r in range(repeats):
-            entries.append(F.struct(F.lit(name).alias("_f"), F.lit(r).alias("_r"), vals.alias("_vals")))
-    copies = base.select(q(key), F.inline(F.array(*entries)))
-    copies = copies.withColumn("_h", hash_rank_key(seed, [F.col("_f"), F.col("_r"), q(key)]))
-    hashed = running_totals(copies.select("_f", "_r", "_h", q(key), "_vals", F.lit(1).alias("_one")), "_h", ["_one"],
-                            group_cols=["_f", "_r"], tiebreak=key, with_totals=False) \
-        .select("_f", "_r", F.col("cum__one").alias("_rank"), F.col("_vals").alias("_pvals"))
-    targets = copies.select("_f", "_r", q(key)).join(key_rank, on=key)
-    return targets.join(hashed, on=["_f", "_r", "_rank"]).select("_f", "_r", q(key), "_pvals")
+    """The columns of ``df`` and ``_f`` (group name), ``_r`` (repeat): a row for every row of ``df``, group and repeat, in which the
+    group's columns hold the values of another row, as double.  A repeat permutes all groups alike, columns of one group together.
+    Rows of equal or null key are rows of their own."""
+    ranked = running_totals(df.withColumn("_one", F.lit(1)), key, ["_one"], with_totals=False) \
+        .select(*[q(c) for c in df.columns], (F.col("cum__one") - 1).alias("_rank")).persist()
+    n = ranked.count()
+    used = list(dict.fromkeys(c for g in groups for c in g))
+    images = F.array(*[permuted_rank(F.col("_rank"), n, seed, r) for r in range(repeats)])
+    given = ranked.select(F.posexplode(images).alias("_r", "_rank"), *[q(c).cast("double").alias(f"_to{i}") for i, c in enumerate(used)])
+    met = ranked.join(given, on="_rank")
+    variants = [F.struct(F.lit("+".join(g)).alias("_f"), *[
+        (F.col(f"_to{used.index(c)}") if c in g else q(c).cast("double") if c in used else q(c)).alias(c) for c in df.columns]) for g in groups]
+    return met.select("_r", F.inline(F.array(*variants))).select("_f", "_r", *[q(c) for c in df.columns])
 
 
 def permutation_importance(
@@ -61,7 +49,6 @@ def permutation_importance(
     if repeats <= 0:
         raise ValueError(MSG_REPEATS)
     groups = [[f] if isinstance(f, str) else list(f) for f in features]
-    names = ["+".join(g) for g in groups]
     base = df.persist()
 
     def scored(frame: DataFrame) -> DataFrame:
@@ -69,16 +56,7 @@ def permutation_importance(
         return out if isinstance(out, DataFrame) else frame.withColumn("_p", out)
 
     baseline = binary_metrics(scored(base), y, "_p", threshold).select(F.col(metric).alias("baseline_metric"))
-    perm = permuted_copies(base, key, groups, repeats, seed)
-    rows = perm.join(base, on=key)
-    subst = {}
-    for name, g in zip(names, groups):
-        for i, c in enumerate(g):
-            subst.setdefault(c, []).append((name, i))
-    replaced = rows.select("_f", "_r", *[
-        (F.coalesce(*[F.when(F.col("_f") == name, F.col("_pvals")[i]) for name, i in subst[c]],
-                    q(c).cast("double")) if c in subst else q(c)).alias(c) for c in base.columns])
-    metrics = binary_metrics(scored(replaced), y, "_p", threshold, ["_f", "_r"]).select(
+    metrics = binary_metrics(scored(permuted_copies(base, key, groups, repeats, seed)), y, "_p", threshold, ["_f", "_r"]).select(
         "_f", "_r", F.col(metric).alias("permuted_metric"))
     sign = -1.0 if direction == "minimize" else 1.0
     joined = metrics.withColumn("_one", F.lit(1)).join(F.broadcast(baseline.withColumn("_one", F.lit(1))), on="_one")

@@ -530,7 +530,7 @@ def q_cost_leaderboard(spark, sf):
 from riskloom.functions.columns import NUMERIC_PATTERN  # noqa: E402
 from riskloom.operators import scoring as B  # noqa: E402
 from riskloom.sources.applications import applications_sql, load_applications  # noqa: E402
-from riskloom.sources.cases import fixed_score  # noqa: E402
+from riskloom.sources.cases import FIXED_SCORE_SQL, fixed_score  # noqa: E402
 
 # FIXED VALUES: the decision thresholds and candidate source of the reference's published artifacts.
 F1_THRESHOLD = 0.19962999820709218
@@ -790,6 +790,7 @@ def q_quality_runs(spark, sf):
 
 # ---------------------------------------------------------------- M1-M15 models (rows-only checks)
 from riskloom.operators import calibration as CAL  # noqa: E402
+from riskloom.functions.permute import permuted_rank_sql as P_SQL  # noqa: E402
 from riskloom.operators import importance as X  # noqa: E402
 from riskloom.operators import models as M  # noqa: E402
 from riskloom.operators.features import preprocessing  # noqa: E402
@@ -948,7 +949,36 @@ def _fixed_rule(frame):
     return fixed_score(C.utilization, C.income)
 
 
-@register("permutation_importance")
+def _importance_ctes(groups: list[list[str]], repeats: int, seed: int) -> str:
+    """``imp``: (feature_name, r, importance, permuted, baseline) of the validation rows under the fixed rule."""
+    used = list(dict.fromkeys(c for g in groups for c in g))
+    variants = " UNION ALL ".join(
+        f"SELECT '{'+'.join(g)}' AS f, m.stream AS r, m.target, "
+        + ", ".join(f"{'g' if c in g else 'm'}.{c} AS {c}" for c in (C.utilization, C.income))
+        + " FROM met m JOIN val g ON g.rank = m.giver" for g in groups)
+    metric = lambda src, by: f"(SELECT * FROM {S.metrics_sql(src, by)})"
+    return (S.split_cte() + f""",
+val AS (SELECT row_number() OVER (ORDER BY case_id) - 1 AS rank, target, {', '.join(dict.fromkeys([*used, C.utilization, C.income]))}
+  FROM split_cases WHERE split = 'validation'),
+met AS (SELECT v.*, p.stream, p.rank AS giver FROM {P_SQL('val', '(SELECT count(*) FROM val)', seed, repeats)} p JOIN val v ON v.rank = p.image),
+variants AS ({variants}),
+scored_variants AS (SELECT f, r, target, {FIXED_SCORE_SQL} AS score FROM variants),
+scored_val AS (SELECT target, {FIXED_SCORE_SQL} AS score FROM val),
+imp AS (SELECT x.f AS feature_name, x.r, x.average_precision AS permuted, b.average_precision AS baseline,
+    b.average_precision - x.average_precision AS importance
+  FROM {metric('scored_variants', 'f, r')} x, {metric('scored_val', None)} b)""")
+
+
+def _importance_sql(groups: list[list[str]], repeats: int, seed: int, body: str) -> str:
+    return S.with_cases(body, _importance_ctes(groups, repeats, seed))
+
+
+_MEAN_IMPORTANCE = f"SELECT feature_name, {S.r6('avg(importance)', 'mean_importance')}, {S.r6('stddev_pop(importance)', 'std_importance')}, " \
+    f"{S.r6('avg(permuted)', 'mean_permuted_metric')} FROM imp GROUP BY feature_name"
+
+
+@register("permutation_importance", _importance_sql([[f] for f in FEATURES], 5, 42, _MEAN_IMPORTANCE.replace(
+    " FROM imp", f", {S.r6('max(baseline)', 'baseline_metric_value')} FROM imp")))
 def q_permutation_importance(spark, sf):
     """10 features x 5 repeats of the validation rows, scored by the fixed rule, one job."""
     val = scored_cases(spark, sf).where(F.col("split") == "validation").select(C.id, C.target) \
@@ -1270,13 +1300,15 @@ def q_spearman_overview(spark, sf):
     return round_doubles(D.correlation_matrix(ranks, _CORR_COLS))
 
 
-@register("grouped_permutation_importance")
+_IMPORTANCE_GROUPS = [[C.utilization], [C.income, C.dependents], list(C.delinquency), [C.age, C.debt_ratio]]
+
+
+@register("grouped_permutation_importance", _importance_sql(_IMPORTANCE_GROUPS, 5, 7, _MEAN_IMPORTANCE))
 def q_grouped_permutation(spark, sf):
     """Columns shuffled together (income with its missingness partner dependents, the delinquency trio)."""
     val = scored_cases(spark, sf).where(F.col("split") == "validation").select(C.id, C.target) \
         .join(cases(spark, sf).drop(C.target), on=C.id)
-    groups = [[C.utilization], [C.income, C.dependents], list(C.delinquency), [C.age, C.debt_ratio]]
-    imp = X.permutation_importance(val, C.id, C.target, groups, _fixed_rule, seed=7)
+    imp = X.permutation_importance(val, C.id, C.target, _IMPORTANCE_GROUPS, _fixed_rule, seed=7)
     return round_doubles(imp.select("feature_name", "mean_importance", "std_importance", "mean_permuted_metric"))
 
 
@@ -1367,13 +1399,16 @@ def q_ks_row_level(spark, sf):
     return round_doubles(K.ks_row_level(scored_cases(spark, sf), C.target, "score", C.id, ["split"]))
 
 
-@register("top_importances")
+@register("top_importances", _importance_sql([[f] for f in FEATURES], 5, 5, f"""SELECT feature_name, {S.r6('mean_importance', 'mean_importance')},
+  CAST(row_number() OVER (ORDER BY mean_importance DESC, feature_name) AS INTEGER) AS rank
+  FROM (SELECT feature_name, {S.r6('avg(importance)', 'mean_importance')} FROM imp GROUP BY feature_name) QUALIFY rank <= 3"""))
 def q_top_importances(spark, sf):
     """The three largest permutation importances (a top-k is the operator)."""
     val = scored_cases(spark, sf).where(F.col("split") == "validation").select(C.id, C.target) \
         .join(cases(spark, sf).drop(C.target), on=C.id)
     imp = X.permutation_importance(val, C.id, C.target, FEATURES, _fixed_rule, seed=5)
-    return round_doubles(X.top_importances(imp.select("feature_name", "mean_importance"), "mean_importance", 3))
+    # importances equal to six digits are ties, in order of their names
+    return X.top_importances(round_doubles(imp.select("feature_name", "mean_importance")), "mean_importance", 3)
 
 
 # ---------------------------------------------------------------- D4, D10, D13, M9-M14 (rows-only)
@@ -1391,16 +1426,23 @@ def q_calibration_shift(spark, sf):
     return round_doubles(D.distribution_shift(cal, "score", "calibrated", 20))
 
 
-@register("importance_stability")
+@register("importance_stability", _importance_sql([[f] for f in FEATURES], 6, 1, f"""
+SELECT run_a, run_b, {S.r6('corr(rank_a, rank_b)', 'rank_correlation')}, {S.r6('sum(CASE WHEN rank_a <= 5 AND rank_b <= 5 THEN 1 ELSE 0 END) / 5.0', 'top_k_overlap')}
+FROM (SELECT a.run AS run_a, b.run AS run_b, CAST(a.rank AS DOUBLE) AS rank_a, CAST(b.rank AS DOUBLE) AS rank_b
+  FROM ranked_runs a JOIN ranked_runs b ON a.feature_name = b.feature_name AND a.run < b.run) GROUP BY run_a, run_b""").replace(
+    "\nSELECT run_a", f""",
+ranked_runs AS (SELECT feature_name, run, row_number() OVER (PARTITION BY run ORDER BY mean_importance DESC, feature_name) AS rank FROM (
+  SELECT feature_name, CAST(r // 2 AS INTEGER) AS run, {S.r6('sum(importance) / 2.0', 'mean_importance')} FROM imp GROUP BY feature_name, r // 2))
+SELECT run_a""", 1))
 def q_importance_stability(spark, sf):
     """Top-5 overlap and rank correlation of permutation importances across three seeds."""
     val = scored_cases(spark, sf).where(F.col("split") == "validation").select(C.id, C.target) \
         .join(cases(spark, sf).drop(C.target), on=C.id)
-    # three runs = three disjoint pairs of repeats of one permutation job (each repeat has its own hash order)
+    # three runs = three disjoint pairs of repeats of one permutation job (each repeat has its own permutation)
     imp = X.permutation_importance(val, C.id, C.target, FEATURES, _fixed_rule, repeats=6, seed=1)
-    runs = imp.select("feature_name", F.posexplode(F.array(*[
+    runs = round_doubles(imp.select("feature_name", F.posexplode(F.array(*[
         (F.col("importance_values")[2 * j] + F.col("importance_values")[2 * j + 1]) / 2.0 for j in range(3)]))
-        .alias("run", "mean_importance")).persist()  # a 30-row table read three times below
+        .alias("run", "mean_importance"))).persist()  # a 30-row table read three times below
     return round_doubles(D.importance_stability(runs, "run", "feature_name", "mean_importance", 5))
 
 
