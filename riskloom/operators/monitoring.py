@@ -17,6 +17,7 @@ from riskloom import rules as R
 from riskloom.functions.columns import nan_to_null, q
 from riskloom.functions.cumulative import exact_quantiles, running_totals
 from riskloom.operators.metrics import precision_recall_curve
+from riskloom.session import ensure_checkpoint_dir
 
 
 def calibration_curve(df: DataFrame, y: str, s: str, bins: int = 10, group_cols: Sequence[str] = ()) -> DataFrame:
@@ -167,18 +168,65 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                                          for i, (a, b) in enumerate(pairs)])))
 
 
-def spearman_ranks(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Average ranks (ties share the mean rank) per column from value histograms - exact and
-    distributed - then joined back to rows; ``corr`` of these ranks is Spearman's rho."""
-    long = df.select(q(key), F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), nan_to_null(q(c).cast("double")).alias("value")) for c in columns])))
-    vc = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
-    rt = running_totals(vc, "value", ["_n"], ["column"], with_totals=False)
-    avg_rank = rt.select("column", "value", ((F.col("cum__n") - F.col("_n") + 1 + F.col("cum__n")) / 2.0).alias("rank"))
-    ranked = long.join(avg_rank, on=["column", "value"], how="left")
-    return ranked.groupBy(q(key)).pivot("column", list(columns)).agg(F.first("rank"))
+#: A value with at least this part of a column's rows is frequent: a column has at most 1 / FREQUENT of them.
+FREQUENT = 1 / 256
 
 
+def spearman_ranks(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Average ranks (ties share the mean rank; null and NaN have none) of the columns, one row for every row of ``df``, with its key;
+    ``corr`` of these ranks is Spearman's rho.
+
+    Ranks come from the running counts of each column's distinct values.  Frequent values, of which there are at most
+    ``1 / FREQUENT`` a column, are broadcast and looked up in place, and their rows shuffle by the row alone; the others are
+    joined by value, where no value holds more than that part of the rows.  Equal and null keys are rows of their own."""
+    ensure_checkpoint_dir(df.sparkSession)
+    rows = df.select(q(key), *[nan_to_null(q(c).cast("double")).alias(f"_v{i}") for i, c in enumerate(columns)])
+    # a row's own number is drawn once: the job that joins it back must not draw another, so the numbered rows are a checkpoint
+    rows = rows.withColumn("_row", F.monotonically_increasing_id()).checkpoint()
+    long = rows.select("_row", F.posexplode(F.array(*[f"_v{i}" for i in range(len(columns))])).alias("_c", "_v")).where(F.col("_v").isNotNull())
+    counts = long.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    ranks = running_totals(counts, "_v", ["_n"], ["_c"]).select(
+        "_c", "_v", "_n", "tot__n", (F.col("cum__n") - (F.col("_n") - 1) / 2.0).alias("_rank")).persist()
+    is_frequent = F.col("_n") >= F.col("tot__n") * F.lit(FREQUENT)
+    table = ranks.where(is_frequent).agg(F.collect_list(F.struct("_c", "_v", "_rank")).alias("_t"))  # columns / FREQUENT entries
+
+    def rank_map(i: int) -> Column:
+        own = F.filter("_t", lambda e: e["_c"] == i)
+        return F.map_from_entries(F.transform(own, lambda e: F.struct(e["_v"], e["_rank"]))).alias(f"_m{i}")
+
+    looked_up = rows.crossJoin(F.broadcast(table.select(*[rank_map(i) for i in range(len(columns))])))  # one row
+    found = [F.try_element_at(f"_m{i}", F.col(f"_v{i}")) for i in range(len(columns))]
+    held = looked_up.select("_row", q(key), *[r.alias(f"_f{i}") for i, r in enumerate(found)],
+                            *[F.when(r.isNull(), F.col(f"_v{i}")).alias(f"_v{i}") for i, r in enumerate(found)])
+    rare = held.select("_row", F.posexplode(F.array(*[f"_v{i}" for i in range(len(columns))])).alias("_c", "_v")).where(F.col("_v").isNotNull()) \
+        .join(ranks.where(~is_frequent).select("_c", "_v", "_rank"), on=["_c", "_v"])
+    rare = rare.groupBy("_row").agg(*[F.max(F.when(F.col("_c") == i, F.col("_rank"))).alias(f"_r{i}") for i in range(len(columns))])
+    return held.join(rare, on="_row", how="left").select(
+        q(key), *[F.coalesce(f"_f{i}", f"_r{i}").alias(c) for i, c in enumerate(columns)])
+
+
+def correlation_clusters(pairs: DataFrame, value: str, columns: Sequence[str], threshold: float = 0.7) -> DataFrame:
+    """Clusters of columns linked by |``value``| >= threshold: one row a column with its cluster (its first member in the order of
+    names) and the cluster's size.  ``pairs`` is a table (column_a, column_b, value) of column pairs; a null value links nothing.
+
+    Labels spread along links and jump to their label's label, so about log2 of the columns' number of rounds suffice."""
+    spark = pairs.sparkSession
+    ensure_checkpoint_dir(spark)
+    links = pairs.where(F.abs(F.col(value)) >= threshold).select(F.col("column_a").alias("a"), F.col("column_b").alias("b"))
+    links = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).checkpoint()
+    labels = spark.createDataFrame([(c, c) for c in columns], "column string, cluster string")
+    while True:
+        near = links.join(labels, F.col("b") == F.col("column")).groupBy("a").agg(F.min("cluster").alias("near"))
+        step = labels.join(near, F.col("a") == F.col("column"), "left").select(
+            "column", F.least("cluster", F.coalesce("near", "cluster")).alias("cluster"), F.col("cluster").alias("before"))
+        parent = step.select(F.col("column").alias("parent"), F.col("cluster").alias("jump"))
+        step = step.join(parent, F.col("cluster") == F.col("parent")).select("column", F.col("jump").alias("cluster"), "before").checkpoint()
+        labels = step.select("column", "cluster")
+        if step.where("cluster <> before").isEmpty():
+            break
+    size = labels.groupBy("cluster").agg(F.count(F.lit(1)).alias("cluster_size"))
+    return labels.join(size, on="cluster").select("column", "cluster", "cluster_size")
+
 
 def bootstrap_metrics(df: DataFrame, y: str, s: str, key: str, replicates: int = 200, seed: int = 42,
                       metrics: Sequence[str] = ("average_precision", "roc_auc", "ks_statistic", "brier_score"),

@@ -1293,11 +1293,37 @@ def q_correlation_overview(spark, sf):
     return round_doubles(D.correlation_matrix(cases(spark, sf), _CORR_COLS))
 
 
-@register("spearman_overview")
+def _spearman_ctes() -> str:
+    ranks = ", ".join(f"CASE WHEN {c} IS NOT NULL THEN rank() OVER (PARTITION BY {c} IS NULL ORDER BY {c}) "
+                      f"+ (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 END AS {c}" for c in _CORR_COLS)
+    rho = " UNION ALL ".join(f"SELECT '{a}' AS column_a, '{b}' AS column_b, corr({a}, {b}) AS rho FROM ranks"
+                             for i, a in enumerate(_CORR_COLS) for b in _CORR_COLS[i + 1:])
+    return f"ranks AS (SELECT {ranks} FROM cases),\nrho AS ({rho})"
+
+
+def _spearman(spark, sf):
+    return D.correlation_matrix(D.spearman_ranks(cases(spark, sf), C.id, _CORR_COLS), _CORR_COLS)
+
+
+@register("spearman_overview", S.with_cases(f"SELECT column_a, column_b, {S.r6('rho', 'pearson')} FROM rho", _spearman_ctes()))
 def q_spearman_overview(spark, sf):
     """D8 (Spearman): exact average ranks, then Pearson of ranks."""
-    ranks = D.spearman_ranks(cases(spark, sf), C.id, _CORR_COLS)
-    return round_doubles(D.correlation_matrix(ranks, _CORR_COLS))
+    return round_doubles(_spearman(spark, sf))
+
+
+#: |rho| from which two columns are one cluster in the registered query: the derived cases' columns are weakly related.
+CLUSTER_RHO = 0.5
+
+
+@register("spearman_clusters", S.with_cases(
+    "SELECT \"column\", cluster, count(*) OVER (PARTITION BY cluster) AS cluster_size FROM (SELECT a AS \"column\", min(b) AS cluster FROM reach GROUP BY a)",
+    _spearman_ctes() + f""",
+links AS (SELECT column_a AS a, column_b AS b FROM rho WHERE abs(rho) >= {CLUSTER_RHO} UNION ALL SELECT column_b, column_a FROM rho WHERE abs(rho) >= {CLUSTER_RHO}),
+reach AS (WITH RECURSIVE r AS (SELECT x AS a, x AS b FROM (VALUES {', '.join(f"('{c}')" for c in _CORR_COLS)}) v(x)
+  UNION SELECT r.a, l.b FROM r JOIN links l ON l.a = r.b) SELECT * FROM r)"""))
+def q_spearman_clusters(spark, sf):
+    """Columns that hang together by Spearman's rho."""
+    return D.correlation_clusters(_spearman(spark, sf), "pearson", _CORR_COLS, CLUSTER_RHO)
 
 
 _IMPORTANCE_GROUPS = [[C.utilization], [C.income, C.dependents], list(C.delinquency), [C.age, C.debt_ratio]]
