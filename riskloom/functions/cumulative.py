@@ -35,7 +35,8 @@ BUCKET = "_bucket"
 SKETCH_ACCURACY, SKETCHED_PROBES = 10_000, 32
 
 
-def _bucketize(g: DataFrame, order_col: str, buckets: int) -> DataFrame:
+def bucketize(g: DataFrame, order_col: str, buckets: int) -> DataFrame:
+    """``g`` with the number of the range of the order column (``BUCKET``) that a row lies in; ranges hold about equally many rows."""
     probs = [i / buckets for i in range(1, buckets)]
     with_double = g.withColumn("_order_d", _as_number(g, order_col))
     cuts = with_double.approxQuantile("_order_d", probs, 1.0 / (4 * buckets))
@@ -91,7 +92,7 @@ def running_totals(
                 out = out.withColumn(f"tot_{c}", F.sum(c).over(wt))
         return out.withColumn(BUCKET, F.lit(0))
 
-    b = _bucketize(g, order_col, buckets)
+    b = bucketize(g, order_col, buckets)
     keys = group_cols + [BUCKET]
     totals = b.groupBy(*keys).agg(*[F.sum(c).alias(f"_bt_{c}") for c in sum_cols])
     border = F.col(BUCKET).desc() if descending else F.col(BUCKET).asc()

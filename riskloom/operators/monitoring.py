@@ -10,13 +10,16 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom import rules as R
 from riskloom.functions.columns import nan_to_null, q
-from riskloom.functions.cumulative import exact_quantiles, running_totals
-from riskloom.operators.metrics import precision_recall_curve
+from riskloom.functions.cumulative import BUCKET, bucketize, exact_quantiles, running_totals
+from riskloom.operators.metrics import (MSG_S_MISSING, MSG_S_RANGE, MSG_Y_BINARY, MSG_Y_MISSING, _finish, _guard, check_threshold,
+                                        precision_recall_curve)
 from riskloom.session import ensure_checkpoint_dir
 
 
@@ -228,28 +231,88 @@ def correlation_clusters(pairs: DataFrame, value: str, columns: Sequence[str], t
     return labels.join(size, on="cluster").select("column", "cluster", "cluster_size")
 
 
-def bootstrap_metrics(df: DataFrame, y: str, s: str, key: str, replicates: int = 200, seed: int = 42,
-                      metrics: Sequence[str] = ("average_precision", "roc_auc", "ks_statistic", "brier_score"),
-                      level: float = 0.95, threshold: float = 0.5) -> DataFrame:
-    """Poisson(1) bootstrap - every row gets a repeatable Poisson weight per replicate from a hash
-    (no resampled copies are materialised beyond the weighted rows), all replicates are one grouped
-    weighted metric job, and the interval is the exact percentile of each metric over replicates."""
-    from riskloom.operators.metrics import binary_metrics
-    lam = math.exp(-1.0)
-    # inverse CDF of Poisson(1) from one uniform draw of 53 bits, which can't reach weights above 18
-    cdf, acc, p = [], 0.0, lam
-    for k in range(19):
+def poisson_weight(seed: int, replicate: Column, key: Column) -> Column:
+    """The Poisson(1) weight of a row in a replicate: the inverse distribution function at 53 bits of a hash, as double."""
+    u = F.shiftrightunsigned(F.xxhash64(F.lit(seed), replicate, key), 11).cast("double") / float(2 ** 53)
+    cdf, acc, p = [], 0.0, math.exp(-1.0)
+    for k in range(19):  # 53 bits can't reach weights above 18
         acc += p
         cdf.append(acc)
         p = p / (k + 1)
-    rep = F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate")
-    x = df.select(q(key), F.col(y), F.col(s), rep)
-    u = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("replicate"), q(key)), 11).cast("double") / float(2 ** 53)
-    wexpr = F.lit(len(cdf))
+    weight = F.lit(len(cdf))
     for k in reversed(range(len(cdf))):
-        wexpr = F.when(u < cdf[k], F.lit(k)).otherwise(wexpr)
-    x = x.withColumn("_w", wexpr.cast("double")).where(F.col("_w") > 0)
-    per = binary_metrics(x, y, s, threshold, ["replicate"], weight="_w")
+        weight = F.when(u < cdf[k], F.lit(k)).otherwise(weight)
+    return weight.cast("double")
+
+
+#: Weights (cells x replicates) that one task of the bootstrap holds in each of its matrices, about.
+BOOTSTRAP_WEIGHTS = 1_000_000
+
+
+def bootstrap_replicates(df: DataFrame, y: str, s: str, key: str, replicates: int = 200, seed: int = 42, threshold: float = 0.5,
+                         weights_per_task: int = BOOTSTRAP_WEIGHTS) -> DataFrame:
+    """The metrics row (K12) of every replicate 0 .. replicates - 1, in which each row of ``df`` counts ``poisson_weight`` times.
+
+    No row is copied: a row has the array of its weights, arrays are summed per (score, class) before the shuffle, and the running
+    sums over the scores are taken for all replicates at once, bucket by bucket of the scores: bucket totals give the sums before
+    each bucket, within a bucket they are one cumulative sum of a (scores x replicates) matrix."""
+    from pyspark.sql import Window
+    check_threshold(threshold)
+    yc, sc = F.col(y), F.col(s)
+    ids = F.sequence(F.lit(0), F.lit(replicates - 1))
+    rows = df.select(
+        _guard(yc.cast("int"), [(yc.isNull(), MSG_Y_MISSING), (~yc.isin(0, 1), MSG_Y_BINARY), (sc.isNull() | F.isnan(sc), MSG_S_MISSING),
+                                ((sc < 0) | (sc > 1), MSG_S_RANGE)]).alias("_y"),
+        sc.cast("double").alias("_s"), F.transform(ids, lambda r: poisson_weight(seed, r, q(key))).alias("_w"))
+
+    def summed(g: DataFrame, *by: str) -> DataFrame:
+        return g.groupBy(*by).agg(*[F.sum(F.col("_w")[r]).alias(f"_w{r}") for r in range(replicates)]).select(
+            *by, F.array(*[f"_w{r}" for r in range(replicates)]).alias("_w"))
+
+    cells = summed(rows, "_s", "_y").persist()
+    buckets = max(1, math.ceil(cells.count() * replicates / weights_per_task))
+    cells = bucketize(cells, "_s", buckets) if buckets > 1 else cells.withColumn(BUCKET, F.lit(0))
+    per = summed(cells, BUCKET, "_y").select(BUCKET, "_y", F.posexplode("_w").alias("replicate", "_w")).groupBy(BUCKET, "replicate").agg(
+        F.sum(F.when(F.col("_y") == 1, F.col("_w")).otherwise(0.0)).alias("pos"), F.sum(F.when(F.col("_y") == 0, F.col("_w")).otherwise(0.0)).alias("neg"))
+    every = Window.partitionBy("replicate")  # a row a bucket
+    above = every.orderBy(F.desc(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
+    starts = per.select(BUCKET, "replicate", *[F.coalesce(F.sum(c).over(above), F.lit(0.0)).alias(f"{c}_above") for c in ("pos", "neg")],
+                        *[F.sum(c).over(every).alias(f"{c}_total") for c in ("pos", "neg")])
+    fields = ("pos_above", "neg_above", "pos_total", "neg_total")
+    starts = starts.groupBy(BUCKET).agg(F.array_sort(F.collect_list(F.struct("replicate", *fields))).alias("_l")) \
+        .select(BUCKET, *[F.expr(f"transform(_l, e -> e.{f})").alias(f) for f in fields])
+
+    def measure(cell: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
+        scores = np.unique(cell["_s"].to_numpy())[::-1]
+        counts = np.zeros((2, len(scores), replicates))
+        counts[cell["_y"].to_numpy(), np.searchsorted(-scores, -cell["_s"].to_numpy())] = np.stack(cell["_w"].to_list())
+        neg, pos = counts
+        pos_above, neg_above, pos_total, neg_total = (np.asarray(start[f].iloc[0]) for f in fields)
+        cum_pos, cum_neg = pos_above + pos.cumsum(axis=0), neg_above + neg.cumsum(axis=0)
+        at = scores[:, None]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            ap = np.nan_to_num(pos * cum_pos / (cum_pos + cum_neg)).sum(axis=0)
+            ks = np.nan_to_num(np.abs(cum_pos / pos_total - cum_neg / neg_total)).max(axis=0)
+        hit = at >= threshold
+        return pd.DataFrame({
+            "replicate": np.arange(replicates), "P": pos.sum(axis=0), "N": neg.sum(axis=0),
+            "_auc_num": (neg * (cum_pos - pos / 2.0)).sum(axis=0), "_ap_num": ap, "_ks": ks,
+            "_sq": (pos * (at - 1.0) ** 2 + neg * at ** 2).sum(axis=0), "tp": (pos * hit).sum(axis=0), "fp": (neg * hit).sum(axis=0)})
+
+    sums = ("P", "N", "_auc_num", "_ap_num", "_sq", "tp", "fp")
+    parts = cells.groupBy(BUCKET).cogroup(starts.groupBy(BUCKET)).applyInPandas(
+        measure, "replicate int, P double, N double, _auc_num double, _ap_num double, _ks double, _sq double, tp double, fp double")
+    agg = parts.groupBy("replicate").agg(*[F.sum(c).alias(c) for c in sums], F.max("_ks").alias("_ks"),
+                                         *[F.lit(0).alias(c) for c in ("_bad_y", "_null_y", "_s_missing", "_s_range")])
+    return _finish(agg, ["replicate"], F.lit(float(threshold)))
+
+
+def bootstrap_metrics(df: DataFrame, y: str, s: str, key: str, replicates: int = 200, seed: int = 42,
+                      metrics: Sequence[str] = ("average_precision", "roc_auc", "ks_statistic", "brier_score"),
+                      level: float = 0.95, threshold: float = 0.5) -> DataFrame:
+    """Poisson(1) bootstrap - every row gets a repeatable Poisson weight per replicate from a hash of its key, and the interval is
+    the exact percentile of each metric over the replicates (``bootstrap_replicates``)."""
+    per = bootstrap_replicates(df, y, s, key, replicates, seed, threshold)
     long = per.select("replicate", F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
                                                       for m in metrics])))
     lo, hi = (1 - level) / 2, 1 - (1 - level) / 2
