@@ -279,8 +279,8 @@ def bootstrap_replicates(df: DataFrame, y: str, s: str, key: str, replicates: in
     starts = per.select(BUCKET, "replicate", *[F.coalesce(F.sum(c).over(above), F.lit(0.0)).alias(f"{c}_above") for c in ("pos", "neg")],
                         *[F.sum(c).over(every).alias(f"{c}_total") for c in ("pos", "neg")])
     fields = ("pos_above", "neg_above", "pos_total", "neg_total")
-    starts = starts.groupBy(BUCKET).agg(F.array_sort(F.collect_list(F.struct("replicate", *fields))).alias("_l")) \
-        .select(BUCKET, *[F.expr(f"transform(_l, e -> e.{f})").alias(f) for f in fields])
+    starts = starts.groupBy(F.col(BUCKET).alias("_at")).agg(F.array_sort(F.collect_list(F.struct("replicate", *fields))).alias("_l")) \
+        .select("_at", *[F.expr(f"transform(_l, e -> e.{f})").alias(f) for f in fields])
 
     def measure(cell: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
         scores = np.unique(cell["_s"].to_numpy())[::-1]
@@ -300,7 +300,7 @@ def bootstrap_replicates(df: DataFrame, y: str, s: str, key: str, replicates: in
             "_sq": (pos * (at - 1.0) ** 2 + neg * at ** 2).sum(axis=0), "tp": (pos * hit).sum(axis=0), "fp": (neg * hit).sum(axis=0)})
 
     sums = ("P", "N", "_auc_num", "_ap_num", "_sq", "tp", "fp")
-    parts = cells.groupBy(BUCKET).cogroup(starts.groupBy(BUCKET)).applyInPandas(
+    parts = cells.groupBy(BUCKET).cogroup(starts.groupBy("_at")).applyInPandas(
         measure, "replicate int, P double, N double, _auc_num double, _ap_num double, _ks double, _sq double, tp double, fp double")
     agg = parts.groupBy("replicate").agg(*[F.sum(c).alias(c) for c in sums], F.max("_ks").alias("_ks"),
                                          *[F.lit(0).alias(c) for c in ("_bad_y", "_null_y", "_s_missing", "_s_range")])
@@ -312,7 +312,7 @@ def bootstrap_metrics(df: DataFrame, y: str, s: str, key: str, replicates: int =
                       level: float = 0.95, threshold: float = 0.5) -> DataFrame:
     """Poisson(1) bootstrap - every row gets a repeatable Poisson weight per replicate from a hash of its key, and the interval is
     the exact percentile of each metric over the replicates (``bootstrap_replicates``)."""
-    per = bootstrap_replicates(df, y, s, key, replicates, seed, threshold)
+    per = bootstrap_replicates(df, y, s, key, replicates, seed, threshold).persist()  # a row a replicate, read by several jobs
     long = per.select("replicate", F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
                                                       for m in metrics])))
     lo, hi = (1 - level) / 2, 1 - (1 - level) / 2
