@@ -163,9 +163,17 @@ def joint_delinquency(df: DataFrame, columns: Sequence[str], limit: float = R.DE
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every column pair in one aggregate (long form)."""
+    """Pearson correlation of every column pair in one aggregate (long form); null where a column has one value or none in the
+    pair's rows."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    agg = df.agg(*[F.corr(q(a).cast("double"), q(b).cast("double")).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+
+    def pearson(a: str, b: str) -> Column:
+        x, y = q(a).cast("double"), q(b).cast("double")
+        both = x.isNotNull() & y.isNotNull()
+        deviation = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
+        return F.try_divide(F.covar_pop(x, y), deviation)
+
+    agg = df.agg(*[pearson(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     return agg.select(F.inline(F.array(*[F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
                                                   F.col(f"c{i}").alias("pearson"))
                                          for i, (a, b) in enumerate(pairs)])))

@@ -56,3 +56,10 @@ def test_clusters_of_columns(spark):
     names = [f"c{i}" for i in range(10)] + ["w", "x", "y", "z"]
     got = {r["column"]: (r.cluster, r.cluster_size) for r in D.correlation_clusters(pairs, "rho", names, 0.7).collect()}
     assert got == {**{f"c{i}": ("c0", 10) for i in range(10)}, "w": ("w", 2), "z": ("w", 2), "x": ("x", 1), "y": ("y", 1)}
+
+
+def test_correlation_of_a_column_of_one_value_is_null(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 5.0), (2.0, 4.5, 5.0), (3.0, 5.0, 5.0), (None, 9.0, 5.0)], "a double, b double, c double")
+    got = {(r.column_a, r.column_b): r.pearson for r in D.correlation_matrix(df, ["a", "b", "c"]).collect()}
+    assert got[("a", "c")] is None and got[("b", "c")] is None
+    assert got[("a", "b")] == pytest.approx(pd.Series([1.0, 2, 3]).corr(pd.Series([2.0, 4.5, 5])))
