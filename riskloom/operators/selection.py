@@ -93,8 +93,7 @@ def training_frame(train: DataFrame, key: str, target: str, features: Sequence[s
     """The rows that a recipe is fitted on; only these are ever oversampled, once, to the shared checkpoint folder."""
     if not recipe.oversample:
         return train
-    ensure_checkpoint_dir(train.sparkSession)
-    return smote(train.checkpoint(), key, target, features, seed=seed)[0].checkpoint()
+    return smote(train, key, target, features, seed=seed)[0].checkpoint()
 
 
 @dataclass
