@@ -17,6 +17,9 @@ from riskloom.functions.cumulative import running_totals
 from riskloom.functions.permute import permuted_rank
 from riskloom.operators.metrics import binary_metrics
 
+#: Rows that one task ranks by key; the permuted values are made in as many tasks as the session shuffles into.
+RANKED_ROWS = 50_000
+
 # FIXED VALUES
 MSG_REPEATS = "Permutation importance requires n_repeats to be positive."
 MSG_TOP = "top_n must be positive."
@@ -26,13 +29,16 @@ def permuted_copies(df: DataFrame, key: str, groups: Sequence[Sequence[str]], re
     """The columns of ``df`` and ``_f`` (group name), ``_r`` (repeat): a row for every row of ``df``, group and repeat, in which the
     group's columns hold the values of another row, as double.  A repeat permutes all groups alike, columns of one group together.
     Rows of equal or null key are rows of their own."""
-    ranked = running_totals(df.withColumn("_one", F.lit(1)), key, ["_one"], with_totals=False) \
-        .select(*[q(c) for c in df.columns], (F.col("cum__one") - 1).alias("_rank")).persist()
+    ranked = running_totals(df.withColumn("_one", F.lit(1)), key, ["_one"], with_totals=False, rows_per_bucket=RANKED_ROWS) \
+        .select(*[q(c) for c in df.columns], (F.col("cum__one") - 1).alias("_rank"))
+    # little data but much work a row: a number of its own keeps Spark from merging the partitions by their size
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranked = ranked.repartition(parts, "_rank").persist()
     n = ranked.count()
     used = list(dict.fromkeys(c for g in groups for c in g))
     images = F.array(*[permuted_rank(F.col("_rank"), n, seed, r) for r in range(repeats)])
     given = ranked.select(F.posexplode(images).alias("_r", "_rank"), *[q(c).cast("double").alias(f"_to{i}") for i, c in enumerate(used)])
-    met = ranked.join(given, on="_rank")
+    met = ranked.join(given.repartition(parts, "_rank"), on="_rank")
     variants = [F.struct(F.lit("+".join(g)).alias("_f"), *[
         (F.col(f"_to{used.index(c)}") if c in g else q(c).cast("double") if c in used else q(c)).alias(c) for c in df.columns]) for g in groups]
     return met.select("_r", F.inline(F.array(*variants))).select("_f", "_r", *[q(c) for c in df.columns])
