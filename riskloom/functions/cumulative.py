@@ -33,6 +33,8 @@ MAX_BUCKETS = 20_000
 BUCKET = "_bucket"
 #: The sketch that brackets quantiles is off by at most this part of the rows; with more probes all values are counted.
 SKETCH_ACCURACY, SKETCHED_PROBES = 10_000, 32
+#: Bracket ends and keys of the groups that are sent to all tasks, at most (some MB); more groups are joined by a shuffle.
+BROADCAST_CELLS = 200_000
 
 
 def bucketize(g: DataFrame, order_col: str, buckets: int) -> DataFrame:
@@ -176,6 +178,11 @@ def _bracketed_values(df: DataFrame, value_col: str, probs: Sequence[float], gro
         F.when(F.col("_total") >= 10 * accuracy, F.array(*[at.get(x, F.lit(end)) for x in bounds])).alias(name)
         for name, bounds, end in (("_lo", lows, float("-inf")), ("_hi", highs, float("nan")))])
     same = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group_cols)]
+    if same:
+        # counted before the join: Spark learns how many groups there are before it would shuffle every value to join them
+        groups = groups.persist()
+        if groups.count() * (2 * len(probs) + len(same)) <= BROADCAST_CELLS:
+            groups = F.broadcast(groups)
     joined = rows.join(groups, on=same, how="inner") if same else rows.crossJoin(F.broadcast(groups))  # one row
     none = F.lit(None).cast("double")
     slot = F.size(F.filter("_lo", lambda lo: lo <= F.col("_v")))
@@ -184,7 +191,7 @@ def _bracketed_values(df: DataFrame, value_col: str, probs: Sequence[float], gro
         F.filter(F.transform(F.arrays_zip("_lo", "_hi"), lambda b, i: F.when(
             (F.col("_v") >= b["_lo"]) & (F.col("_v") <= b["_hi"]), F.struct(i.alias("i"), F.col("_v").alias("v")))), lambda c: c.isNotNull())))
     counted = joined.select(*group_cols, "_total", F.explode(cells).alias("c")).groupBy(
-        *group_cols, "_total", F.col("c.i").alias("_place"), F.col("c.v").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+        *group_cols, "_total", F.col("c.i").alias("_place"), F.col("c.v").alias("_v")).agg(F.count(F.lit(1)).alias("_n")).persist()
     # rows of slot s lie below the brackets s, s + 1, ...: a group has at most as many slots as probes, and one more
     slots = counted.where("_place < -1").groupBy(*group_cols).agg(F.collect_list(F.struct((-2 - F.col("_place")).alias("s"), "_n")).alias("_slots"))
     slots = slots.withColumnsRenamed({c: f"_g{i}" for i, c in enumerate(group_cols)})
