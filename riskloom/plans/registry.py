@@ -1489,19 +1489,20 @@ def q_random_search(spark, sf):
     """Seeded random search over the logistic penalty (12 draws: all 8 combinations); each fit is a Spark job; leaderboard
     by validation average precision (ties -> earlier candidate)."""
     df, train = _train_frame(spark, sf)
-    val = df.where(F.col("split") == "validation").persist()
     n = float(train.count())
+    # imputing and scaling are the same for every candidate: fitted once, their vectors are held for all fits
+    prepared = preprocessing(C, output_col="features").fit(train)
+    held, judged = (prepared.transform(part).select(C.target, "split", "features").persist()
+                    for part in (train, df.where(F.col("split") == "validation")))
 
     def make(params):
-        est = M.logistic("features", C.target, n_weight=n, C=params["C"], max_iter=params["max_iter"])
-        return __import__("pyspark.ml", fromlist=["Pipeline"]).Pipeline(
-            stages=[*preprocessing(C, output_col="features").getStages(), est])
+        return M.logistic("features", C.target, n_weight=n, C=params["C"], max_iter=params["max_iter"])
 
     def evaluate(model, data):
         sc = M.predict_proba(model, data, keep=[C.target], out="p")
         return K.binary_metrics(sc, C.target, "p").first()["average_precision"]
 
-    rows = M.random_search(train, val, make, evaluate, {"C": [0.01, 0.1, 1.0, 10.0], "max_iter": [50, 200]},
+    rows = M.random_search(held, judged, make, evaluate, {"C": [0.01, 0.1, 1.0, 10.0], "max_iter": [50, 200]},
                            n_iter=12, seed=42, split_col="split")
     board = spark.createDataFrame([(r["index"], float(r["params"]["C"]), int(r["params"]["max_iter"]), r["metric"],
                                     r["error"]) for r in rows],
