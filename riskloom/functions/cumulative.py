@@ -21,6 +21,8 @@ from __future__ import annotations
 import math
 import os.path
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
@@ -184,14 +186,16 @@ def _bracketed_values(df: DataFrame, value_col: str, probs: Sequence[float], gro
         if groups.count() * (2 * len(probs) + len(same)) <= BROADCAST_CELLS:
             groups = F.broadcast(groups)
     joined = rows.join(groups, on=same, how="inner") if same else rows.crossJoin(F.broadcast(groups))  # one row
-    none = F.lit(None).cast("double")
-    slot = F.size(F.filter("_lo", lambda lo: lo <= F.col("_v")))
-    cells = F.when(F.col("_lo").isNull(), F.array(F.struct(F.lit(-1).alias("i"), F.col("_v").alias("v")))).otherwise(F.concat(
-        F.array(F.struct((-2 - slot).alias("i"), none.alias("v"))),
-        F.filter(F.transform(F.arrays_zip("_lo", "_hi"), lambda b, i: F.when(
-            (F.col("_v") >= b["_lo"]) & (F.col("_v") <= b["_hi"]), F.struct(i.alias("i"), F.col("_v").alias("v")))), lambda c: c.isNotNull())))
-    counted = joined.select(*group_cols, "_total", F.explode(cells).alias("c")).groupBy(
-        *group_cols, "_total", F.col("c.i").alias("_place"), F.col("c.v").alias("_v")).agg(F.count(F.lit(1)).alias("_n")).persist()
+    # bracket i holds a value if i < slot (brackets whose low end isn't above it) and i >= passed (brackets whose high end is below it):
+    # both ends rise with i.  Written out bracket by bracket, this is compiled; functions over the arrays would be interpreted, cell by cell.
+    slot, passed = (reduce(add, [test(F.element_at(ends, i + 1)).cast("int") for i in range(len(probs))], F.lit(0)) for ends, test in (
+        ("_lo", lambda low: low <= F.col("_v")), ("_hi", lambda high: high < F.col("_v"))))
+    cells = joined.withColumns({"_slot": slot, "_passed": passed}).withColumn("_places", F.when(F.col("_lo").isNull(), F.array(F.lit(-1))).when(
+        F.col("_slot") > F.col("_passed"), F.concat(F.array(-2 - F.col("_slot")), F.sequence("_passed", F.col("_slot") - 1))).otherwise(
+        F.array(-2 - F.col("_slot"))))
+    counted = cells.select(*group_cols, "_total", F.explode("_places").alias("_place"), "_v") \
+        .withColumn("_v", F.when(F.col("_place") >= -1, F.col("_v"))) \
+        .groupBy(*group_cols, "_total", "_place", "_v").agg(F.count(F.lit(1)).alias("_n")).persist()
     # rows of slot s lie below the brackets s, s + 1, ...: a group has at most as many slots as probes, and one more
     slots = counted.where("_place < -1").groupBy(*group_cols).agg(F.collect_list(F.struct((-2 - F.col("_place")).alias("s"), "_n")).alias("_slots"))
     slots = slots.withColumnsRenamed({c: f"_g{i}" for i, c in enumerate(group_cols)})

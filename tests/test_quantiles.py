@@ -48,3 +48,27 @@ def test_a_missed_bracket_counts_all_values(spark, rows, monkeypatch):
     df = spark.createDataFrame(rows, "g string, v double")
     got = {(r.g, r.q_index): r["quantile"] for r in CU.exact_quantiles(df, "v", PROBS, ["g"], accuracy=20).collect()}
     assert seen and abs(got["a", 4] - np.quantile([v for k, v in rows if k == "a"], 0.5)) < 1e-9
+
+
+def test_brackets_are_searched_by_compiled_expressions(spark, rows):
+    """Functions over arrays are interpreted for every cell; only the few rows behind the counts may use them."""
+    df = spark.createDataFrame(rows, "g string, v double")
+    inside = CU._bracketed_values(df, "v", [0.25, 0.5, 0.75], ["g"], 50)
+    plan = inside._jdf.queryExecution().toString().splitlines()
+    searches = [line for line in plan if "Generate explode" in line]
+    assert searches and not any("lambda" in line for line in searches)
+
+
+def test_overlapping_brackets_and_nan(spark):
+    """Probes closer than their brackets are wide share values; NaN is the largest value, infinities are values."""
+    values = [float(i % 97) for i in range(900)] + [float("inf")] * 30 + [float("-inf")] * 30
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    probs = [0.5, 0.501, 0.502, 0.03, 0.97, 0.0, 1.0]
+    got = {r.q_index: r["quantile"] for r in CU.exact_quantiles(df, "v", probs, accuracy=40).collect()}
+    ranked = sorted(values)
+    for i in (0, 1, 2):
+        assert abs(got[i] - np.quantile(ranked, probs[i])) < 1e-9
+    assert got[5] == ranked[0] or np.isnan(got[5])
+    more = df.union(spark.createDataFrame([(float("nan"),)] * 100, "v double"))
+    top = {r.q_index: r["quantile"] for r in CU.exact_quantiles(more, "v", [0.5, 0.99], accuracy=40).collect()}
+    assert np.isnan(top[1]) and abs(top[0] - (ranked + [np.nan] * 100)[530]) <= 1
