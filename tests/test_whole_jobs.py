@@ -58,6 +58,25 @@ def test_best_round_has_patience():
     assert M.best_round([1.0], 50) == 1
 
 
+def test_rows_of_iterative_learners_are_dealt_evenly(spark):
+    """The last two of 64 partitions hold all rows: merged as they lie, one task would hold them all."""
+    df = spark.range(0, 6400, 1, 64).where("id >= 6200")
+    cores = spark.sparkContext.defaultParallelism
+    for wanted in (2, cores + 1):
+        sized = M.sized_for_iterations(df, 200, -(-200 // wanted))
+        sizes = [r["count"] for r in sized.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 200 and len(sizes) == sized.rdd.getNumPartitions() <= wanted
+        assert len(sizes) in (2, cores) and max(sizes) <= 2 * 200 / len(sizes)
+    assert M.sized_for_iterations(df, 200).rdd.getNumPartitions() == 1
+    assert M.sized_for_iterations(df, 200, 1).rdd.getNumPartitions() == 64  # large partitions stay as they are
+
+
+def test_vectors_held_for_a_learner_carry_no_lineage(spark):
+    held = M.held_for_iterations(spark.range(10).where("id > 3"))
+    assert sorted(r.id for r in held.collect()) == list(range(4, 10)) and "Range" not in held._jdf.queryExecution().optimizedPlan().toString()
+    held.unpersist()
+
+
 def test_boosting_is_cut_at_the_best_validation_round(spark):
     """The validation labels contradict the training labels, so every round but the first makes it worse."""
     from pyspark.ml.feature import VectorAssembler
