@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Sequence
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -37,6 +38,9 @@ HOLDOUT = "calibration_holdout"
 MSG_NO_CANDIDATE = "No candidate was trained successfully."
 # END FIXED VALUES
 
+#: Candidates that are made at a time, and the most training rows for that: each fit holds its rows a second time.
+SIDE_BY_SIDE, SIDE_BY_SIDE_ROWS = 4, 5_000_000
+
 LEDGER = ("stage int, source string, params string, train_variant string, row_count long, positive_rate double, eval_row_count long, "
           "classifier_class string, best_iteration int, best_score double, metric double, error string")
 
@@ -115,9 +119,10 @@ class Prepared:
 def prepare(learner: Learner, rows: DataFrame, validation: DataFrame, target: str) -> Prepared:
     """The preprocessing fitted on the training rows, once for all candidates that share them."""
     fitted = learner.preprocessing.fit(rows)
-    made, judged = (fitted.transform(df).select(target, "features").persist() for df in (rows, validation))
-    counts = made.agg(F.count(F.lit(1)).alias("n"), F.avg((q(target) == 1).cast("double")).alias("rate")).first()
-    return Prepared(fitted.stages, M.sized_for_iterations(made, counts["n"]), judged, counts["n"], counts["rate"], judged.count())
+    made, judged = (fitted.transform(df).select(target, "features") for df in (rows, validation))
+    counts = rows.agg(F.count(F.lit(1)).alias("n"), F.avg((q(target) == 1).cast("double")).alias("rate")).first()
+    made, judged = M.held_for_iterations(M.sized_for_iterations(made, counts["n"])), judged.persist()
+    return Prepared(fitted.stages, made, judged, counts["n"], counts["rate"], judged.count())
 
 
 def train_candidate(recipe: Recipe, learner: Learner, data: Prepared, target: str, weight_col: str = "_weight") -> Trained:
@@ -165,22 +170,17 @@ class Chain:
 
 def candidate_chain(spark: SparkSession, train: DataFrame, validation: DataFrame, learner: Learner, key: str, target: str,
                     features: Sequence[str], space: dict[str, list] | None = None, n_iter: int = 0, metric: str = "average_precision",
-                    maximize: bool = True, seed: int = 42) -> Chain:
-    """M12 over ``train`` and ``validation``: reference, ratio weight, oversampled rows and the best of ``n_iter`` tuned ones."""
-    rows, held = [], {}
+                    maximize: bool = True, seed: int = 42, side_by_side: int | None = None) -> Chain:
+    """M12 over ``train`` and ``validation``: reference, ratio weight, oversampled rows and the best of ``n_iter`` tuned ones.
 
-    original: list[Prepared] = []
-
-    def prepared(recipe: Recipe) -> Prepared:
-        if recipe.oversample:
-            return prepare(learner, training_frame(train, key, target, features, recipe, seed), validation, target)
-        if not original:
-            original.append(prepare(learner, train, validation, target))
-        return original[0]
+    Fits on few rows wait for their many short jobs rather than for cores: ``side_by_side`` candidates are made at a time
+    (by default ``SIDE_BY_SIDE``, and one where ``train`` has more than ``SIDE_BY_SIDE_ROWS`` rows).  The fold is in stage order."""
+    rows, held = [], {}
 
-    def tried(recipe: Recipe) -> tuple:
+    def tried(recipe: Recipe, original: Future) -> tuple:
         try:
-            data = prepared(recipe)
+            data = original.result() if not recipe.oversample else prepare(
+                learner, training_frame(train, key, target, features, recipe, seed), validation, target)
             trained = train_candidate(recipe, learner, data, target)
             score = validation_metric(trained, data, target, metric)
             if recipe.oversample:
@@ -195,16 +195,24 @@ def candidate_chain(spark: SparkSession, train: DataFrame, validation: DataFrame
                 score, error)
 
     better = (lambda a, b: a > b) if maximize else (lambda a, b: a < b)
-    ratio = class_weight_summary(train, target).first()["scale_pos_weight"]
-    recipes = [Recipe(0, REFERENCE), Recipe(1, WEIGHTED, {"scale_pos_weight": ratio}), Recipe(2, OVERSAMPLED, oversample=True)]
-    for recipe in recipes:
-        trained, summary, score, error = tried(recipe)
+    summary = class_weight_summary(train, target).first()
+    if side_by_side is None:
+        side_by_side = SIDE_BY_SIDE if summary["positive_count"] + summary["negative_count"] <= SIDE_BY_SIDE_ROWS else 1
+    recipes = [Recipe(0, REFERENCE), Recipe(1, WEIGHTED, {"scale_pos_weight": summary["scale_pos_weight"]}),
+               Recipe(2, OVERSAMPLED, oversample=True)]
+    drawn = [Recipe(3, TUNED, params) for params in M.sample_parameter_sets(space or {}, n_iter, seed)]
+    with ThreadPoolExecutor(max_workers=side_by_side) as pool:
+        # submitted before all candidates, so none of them waits for a preparation that has not begun
+        original = pool.submit(prepare, learner, train, validation, target)
+        # the oversampled rows take longest to make: they begin first
+        order = sorted(range(len(recipes) + len(drawn)), key=lambda i: not [*recipes, *drawn][i].oversample)
+        begun = {i: pool.submit(tried, [*recipes, *drawn][i], original) for i in order}
+        results = [begun[i].result() for i in range(len(begun))]
+    for recipe, (trained, summary, score, error) in zip(recipes, results):
         held[recipe.source] = trained
         rows.append(row(recipe, summary, score, error))
     tuned, best = [], None
-    for i, params in enumerate(M.sample_parameter_sets(space or {}, n_iter, seed)):
-        recipe = Recipe(3, TUNED, params)
-        trained, summary, score, error = tried(recipe)
+    for i, (recipe, (trained, summary, score, error)) in enumerate(zip(drawn, results[len(recipes):])):
         made = row(recipe, summary, score, error)
         tuned.append((i, *made[2:]))
         if score is not None and (best is None or better(score, best[1][-2])):
@@ -212,8 +220,8 @@ def candidate_chain(spark: SparkSession, train: DataFrame, validation: DataFrame
     if best is not None:
         held[TUNED] = best[0]
         rows.append(best[1])
-    for data in original:
-        data.release()
+    if original.exception() is None:
+        original.result().release()
     ledger = with_incumbents(spark.createDataFrame(rows, LEDGER), "metric", maximize)
     search = spark.createDataFrame(tuned, "candidate int, " + LEDGER.split("source string, ")[1])
     last = ledger.orderBy(F.desc("stage")).first()["incumbent"]

@@ -75,6 +75,30 @@ def test_a_failed_candidate_is_a_row(spark, parts):
         SEL.candidate_chain(spark, parts["train"], parts["validation"], learner, C.id, C.target, R.FEATURES)
 
 
+def test_candidates_are_made_side_by_side_and_folded_in_order(spark):
+    """The weighted and the tuned candidate wait for each other: one after another they would never meet."""
+    import threading
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    meet = [threading.Barrier(2, timeout=60)]
+
+    def estimator(params, features, target, weight, rows):
+        if params and meet:
+            meet[0].wait()
+        return M.logistic(features, target, n_weight=float(rows), C=params.get("C", 1.0), max_iter=20, weight_col=weight)
+
+    df = spark.range(90).selectExpr("id", "cast(id % 5 = 0 as int) as y", "cast(id % 7 + id % 5 as double) as x", "cast(id % 11 as double) as z")
+    learner = SEL.Learner(estimator, Pipeline(stages=[VectorAssembler(inputCols=["x", "z"], outputCol="features")]))
+    chain = SEL.candidate_chain(spark, df.where("id < 60"), df.where("id >= 60"), learner, "id", "y", ["x", "z"], {"C": [0.1]}, 1)
+    rows = chain.ledger.orderBy("stage").collect()
+    assert [(r.source, r.error) for r in rows] == [(s, None) for s in (SEL.REFERENCE, SEL.WEIGHTED, SEL.OVERSAMPLED, SEL.TUNED)]
+    assert rows[0].row_count == 60 and rows[2].positive_rate == 0.5
+    meet.clear()
+    one = SEL.candidate_chain(spark, df.where("id < 60"), df.where("id >= 60"), learner, "id", "y", ["x", "z"], {"C": [0.1]}, 1, side_by_side=1)
+    assert [(r.source, r.params, round(r.metric, 6), r.incumbent) for r in rows] == [
+        (r.source, r.params, round(r.metric, 6), r.incumbent) for r in one.ledger.orderBy("stage").collect()]
+
+
 def test_calibration_refit_never_fits_the_holdout(spark, parts):
     learner = SEL.logistic_learner(R.preprocessing(C, output_col="features"), max_iter=30)
     done = SEL.calibrate_by_refit(parts["train"], parts["all"].where(F.col("split") != "train"), parts["validation"],
