@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -163,20 +165,53 @@ def joint_delinquency(df: DataFrame, columns: Sequence[str], limit: float = R.DE
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every column pair in one aggregate (long form); null where a column has one value or none in the
-    pair's rows."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-
-    def pearson(a: str, b: str) -> Column:
-        x, y = q(a).cast("double"), q(b).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        deviation = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
-        return F.try_divide(F.covar_pop(x, y), deviation)
+    """Pearson correlation of every column pair in one pass (long form); null where a column has one value or none in the
+    pair's rows.
 
-    agg = df.agg(*[pearson(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    return agg.select(F.inline(F.array(*[F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                                                  F.col(f"c{i}").alias("pearson"))
-                                         for i, (a, b) in enumerate(pairs)])))
+    A task sums the co-moments of all pairs over its rows, batch by batch, and passes on one row a pair; these are merged pair by pair.
+    Deviations are taken from a value of the batch, so a column of one value has a deviation of exactly zero."""
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
+    places = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
+
+    def merged(a, b):
+        """(n, mean x, mean y, sum of squared deviations of x, of y, sum of their products) of two sets of rows together."""
+        n = a[0] + b[0]
+        dx, dy, shared = b[1] - a[1], b[2] - a[2], a[0] * b[0] / n
+        return (n, a[1] + dx * b[0] / n, a[2] + dy * b[0] / n, a[3] + b[3] + dx * dx * shared, a[4] + b[4] + dy * dy * shared,
+                a[5] + b[5] + dx * dy * shared)
+
+    def co_moments(batches):
+        sums = {}
+        for batch in batches:
+            there = [c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns]
+            values = [c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in batch.columns]
+            with np.errstate(invalid="ignore", over="ignore"):
+                for p, (i, j) in enumerate(places):
+                    both = there[i] & there[j]
+                    x, y = values[i][both], values[j][both]
+                    if not len(x):
+                        continue
+                    dx, dy = x - x[0], y - y[0]
+                    mx, my = dx.mean(), dy.mean()
+                    dx, dy = dx - mx, dy - my
+                    own = (float(len(x)), x[0] + mx, y[0] + my, (dx * dx).sum(), (dy * dy).sum(), (dx * dy).sum())
+                    sums[p] = merged(sums[p], own) if p in sums else own
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), *[pa.array([m[f] for m in sums.values()], pa.float64()) for f in range(6)]],
+                                         names=["_p", *fields])
+
+    def correlation(parts: pa.Table) -> pa.Table:
+        with np.errstate(invalid="ignore", over="ignore"):
+            n, _, _, xx, yy, xy = reduce(merged, zip(*[parts[f].to_numpy() for f in fields]))
+            deviation = np.sqrt(xx / n) * np.sqrt(yy / n)
+            at = (parts["_p"][0].as_py(), xy / n, deviation if np.isfinite(deviation) else math.nan)
+        return pa.table({name: pa.array([v]) for name, v in zip(("_p", "_covariance", "_deviation"), at)})
+
+    fields = ["n", "x", "y", "xx", "yy", "xy"]
+    rows = df.select(*[q(c).cast("double").alias(f"_v{i}") for i, c in enumerate(columns)])
+    parts = rows.mapInArrow(co_moments, "_p long, " + ", ".join(f"{f} double" for f in fields))
+    found = parts.groupBy("_p").applyInArrow(correlation, "_p long, _covariance double, _deviation double")
+    names = df.sparkSession.createDataFrame([(p, a, b) for p, (a, b) in enumerate(pairs)], "_p long, column_a string, column_b string")
+    return names.join(found, on="_p", how="left").select("column_a", "column_b", F.try_divide("_covariance", "_deviation").alias("pearson"))
 
 
 #: A value with at least this part of a column's rows is frequent: a column has at most 1 / FREQUENT of them.
@@ -223,7 +258,8 @@ def correlation_clusters(pairs: DataFrame, value: str, columns: Sequence[str], t
     Labels spread along links and jump to their label's label, so about log2 of the columns' number of rounds suffice."""
     spark = pairs.sparkSession
     ensure_checkpoint_dir(spark)
-    links = pairs.where(F.abs(F.col(value)) >= threshold).select(F.col("column_a").alias("a"), F.col("column_b").alias("b"))
+    # the pairs may be the end of a long job: they are made once, not once for each direction of the links
+    links = pairs.where(F.abs(F.col(value)) >= threshold).select(F.col("column_a").alias("a"), F.col("column_b").alias("b")).checkpoint()
     links = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).checkpoint()
     labels = spark.createDataFrame([(c, c) for c in columns], "column string, cluster string")
     while True:

@@ -63,3 +63,36 @@ def test_correlation_of_a_column_of_one_value_is_null(spark):
     got = {(r.column_a, r.column_b): r.pearson for r in D.correlation_matrix(df, ["a", "b", "c"]).collect()}
     assert got[("a", "c")] is None and got[("b", "c")] is None
     assert got[("a", "b")] == pytest.approx(pd.Series([1.0, 2, 3]).corr(pd.Series([2.0, 4.5, 5])))
+
+
+def test_clusters_make_their_pairs_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    rows = [("a", "b", 0.9), ("c", "d", 0.8)]
+    pairs = spark.createDataFrame(rows, "column_a string, column_b string, rho double").mapInArrow(counted, "column_a string, column_b string, rho double")
+    got = {r["column"]: r.cluster for r in D.correlation_clusters(pairs, "rho", ["a", "b", "c", "d"]).collect()}
+    assert got == {"a": "a", "b": "a", "c": "c", "d": "c"}
+    assert made.value == len(rows)
+
+
+def test_correlations_are_those_of_all_rows_whatever_their_batches(spark):
+    random.seed(5)
+    rows = [(random.gauss(1e6, 1), None if i % 3 == 0 else random.random(), 0.1 if i % 2 else None, math.nan if i == 7 else 1.0 * i, 0.3 if i < 9 else None)
+            for i in range(500)]
+    names = ["a", "b", "one", "nan", "few"]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {(r.column_a, r.column_b): r.pearson for r in D.correlation_matrix(df.repartition(3), names).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    table = pd.DataFrame(rows, columns=names)
+    assert got[("a", "b")] == pytest.approx(table["a"].corr(table["b"]), abs=1e-9)
+    assert [got[p] for p in [("a", "one"), ("b", "one"), ("one", "few"), ("b", "few")]] == [None] * 4
+    assert math.isnan(got[("a", "nan")]) and len(got) == 10
+    assert {r.pearson for r in D.correlation_matrix(df.where("a is null"), names).collect()} == {None}
