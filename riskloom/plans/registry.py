@@ -1512,16 +1512,15 @@ def q_random_search(spark, sf):
 
 # ---------------------------------------------------------------- V12 / V13 file checksums, D5 data checks
 def file_checksums_frame(spark, sf):
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(sf)
-    return files.select(F.regexp_extract("path", r"[^/]+$", 0).alias("name"), F.sha2("content", 256).alias("sha256"),
-                        F.col("length").alias("size_bytes"))
+    from riskloom.sources.checksums import file_checksums
+    return file_checksums(spark, sf)
 
 
 @register("file_checksums", "SELECT regexp_extract(filename, '[^/]+$', 0) AS name, sha256(content) AS sha256, "
           "CAST(size AS BIGINT) AS size_bytes FROM read_blob('/root/testdata/sf0.01/*.parquet')")
 def q_file_checksums(spark, sf):
-    """SHA-256 of every source file (one row per file; a file is read by one task, so it must fit in
-    its memory and be below the 2 GB of binaryFile; ``content_fingerprints`` is for tables of any size)."""
+    """SHA-256 of every source file (one row per file; a large file is hashed in turns, each by a task that reads a bounded
+    stretch of it and takes up the state of the turn before)."""
     return file_checksums_frame(spark, sf)
 
 
