@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from riskloom.plans import registry as R
 from riskloom.sources import checksums as S
 
 
@@ -48,6 +49,17 @@ def test_no_large_file_is_read_whole(spark, tmp_path):
     assert {tuple(r) for r in got} == want
 
 
+def test_fingerprint_of_files_beyond_the_readers_limit(spark, tmp_path, monkeypatch):
+    want = _files(tmp_path)
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "300000")
+    monkeypatch.setattr(S.file_checksums, "__defaults__", ("*.parquet", 300_000, 1_000_000))
+    try:
+        got = R.QUERIES["dataset_fingerprint"](spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert [r[0] for r in got] == [hashlib.sha256("".join(sorted(f"{n}:{h}" for n, h, _ in want)).encode()).hexdigest()]
+
+
 def test_a_state_is_taken_up_where_it_was_left():
     after, digest = S._chained_sha256()
     state = after(after(after(None, b"abc"), b""), b"d" * 1000)
