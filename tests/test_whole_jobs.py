@@ -120,3 +120,14 @@ def test_queries_repeat_as_often_as_their_operators(spark, monkeypatch, query, m
     with pytest.raises(Seen) as seen:
         R.QUERIES[query](spark, SF)
     assert seen.value.args[0] >= least
+
+
+def test_the_network_is_given_its_own_columns_and_no_held_copies(spark, monkeypatch):
+    class Spy:
+        def fit(self, rows):
+            raise Seen((rows.columns, rows.storageLevel.useMemory or rows.storageLevel.useDisk))
+
+    monkeypatch.setattr(M, "neural", lambda *args, **given: Spy())
+    with pytest.raises(Seen) as seen:
+        R._fitted_model(spark, SF, "neural")
+    assert seen.value.args[0] == (["features", R.C.target], False)
