@@ -177,8 +177,8 @@ def _bracketed_values(df: DataFrame, value_col: str, probs: Sequence[float], gro
     groups = rows.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_total"), *sketch)
     # NaN is the largest value of Spark's order
     groups = groups.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)], "_total", *[
-        F.when(F.col("_total") >= 10 * accuracy, F.array(*[at.get(x, F.lit(end)) for x in bounds])).alias(name)
-        for name, bounds, end in (("_lo", lows, float("-inf")), ("_hi", highs, float("nan")))])
+        F.when(F.col("_total") >= 10 * accuracy, at.get(x, F.lit(end))).alias(f"{name}{i}")
+        for name, bounds, end in (("_lo", lows, float("-inf")), ("_hi", highs, float("nan"))) for i, x in enumerate(bounds)])
     same = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group_cols)]
     if same:
         # counted before the join: Spark learns how many groups there are before it would shuffle every value to join them
@@ -187,15 +187,20 @@ def _bracketed_values(df: DataFrame, value_col: str, probs: Sequence[float], gro
             groups = F.broadcast(groups)
     joined = rows.join(groups, on=same, how="inner") if same else rows.crossJoin(F.broadcast(groups))  # one row
     # bracket i holds a value if i < slot (brackets whose low end isn't above it) and i >= passed (brackets whose high end is below it):
-    # both ends rise with i.  Written out bracket by bracket, this is compiled; functions over the arrays would be interpreted, cell by cell.
-    slot, passed = (reduce(add, [test(F.element_at(ends, i + 1)).cast("int") for i in range(len(probs))], F.lit(0)) for ends, test in (
+    # both ends rise with i.  A row is one key, whatever number of brackets hold it, and the ends are plain columns: a longer expression
+    # (ends read from arrays, an array of places for every row) makes a method that Java no longer compiles, some 40 us a row.
+    # Both numbers are null for groups that are counted whole.
+    slot, passed = (reduce(add, [test(F.col(f"{name}{i}")).cast("int") for i in range(len(probs))], F.lit(0)) for name, test in (
         ("_lo", lambda low: low <= F.col("_v")), ("_hi", lambda high: high < F.col("_v"))))
-    cells = joined.withColumns({"_slot": slot, "_passed": passed}).withColumn("_places", F.when(F.col("_lo").isNull(), F.array(F.lit(-1))).when(
+    cells = joined.select(*group_cols, "_total", slot.alias("_slot"), passed.alias("_passed"), "_v") \
+        .withColumn("_v", F.when(F.col("_slot") <= F.col("_passed"), F.lit(None)).otherwise(F.col("_v"))) \
+        .groupBy(*group_cols, "_total", "_slot", "_passed", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    places = F.when(F.col("_slot").isNull(), F.array(F.lit(-1))).when(
         F.col("_slot") > F.col("_passed"), F.concat(F.array(-2 - F.col("_slot")), F.sequence("_passed", F.col("_slot") - 1))).otherwise(
-        F.array(-2 - F.col("_slot"))))
-    counted = cells.select(*group_cols, "_total", F.explode("_places").alias("_place"), "_v") \
+        F.array(-2 - F.col("_slot")))
+    counted = cells.select(*group_cols, "_total", F.explode(places).alias("_place"), "_v", "_n") \
         .withColumn("_v", F.when(F.col("_place") >= -1, F.col("_v"))) \
-        .groupBy(*group_cols, "_total", "_place", "_v").agg(F.count(F.lit(1)).alias("_n")).persist()
+        .groupBy(*group_cols, "_total", "_place", "_v").agg(F.sum("_n").alias("_n")).persist()
     # rows of slot s lie below the brackets s, s + 1, ...: a group has at most as many slots as probes, and one more
     slots = counted.where("_place < -1").groupBy(*group_cols).agg(F.collect_list(F.struct((-2 - F.col("_place")).alias("s"), "_n")).alias("_slots"))
     slots = slots.withColumnsRenamed({c: f"_g{i}" for i, c in enumerate(group_cols)})
