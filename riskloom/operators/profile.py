@@ -17,6 +17,7 @@ from riskloom.functions.cumulative import exact_quantiles
 from riskloom.rules import CreditColumns
 
 SUMMARY_PERCENTILES = (0.01, 0.05, 0.5, 0.95, 0.99)
+EXTREME_PERCENTILES = (0.25, 0.75, 0.99)
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -57,18 +58,24 @@ def _is_float(df: DataFrame, c: str) -> bool:
     return df.schema[c].dataType.typeName() in ("double", "float")
 
 
-def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None,
-                    percentiles: Sequence[float] = SUMMARY_PERCENTILES) -> DataFrame:
-    """E5: count, mean, sample std, min, percentiles, max per numeric column, rounded to 6."""
-    columns = list(columns or numeric_columns(df))
-    # read by two aggregates (moments, quantiles): keep the stacked cells instead of recomputing the input
+def _cells(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> tuple[DataFrame, DataFrame]:
+    """(the stacked cells, their quantiles).  Several aggregates read the cells: they are kept instead of recomputing the input."""
     long = stack(df, columns).persist()
+    return long, exact_quantiles(long, "value", list(probs), ["column"])
+
+
+def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, percentiles: Sequence[float] = SUMMARY_PERCENTILES,
+                    cells: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """E5: count, mean, sample std, min, percentiles, max per numeric column, rounded to 6.
+
+    ``cells`` are ``_cells`` of at least these columns and percentiles, where a report shares them."""
+    columns = list(columns or numeric_columns(df))
+    long, qs = cells or _cells(df, columns, percentiles)
+    long = long.where(F.col("column").isin(columns))
     moments = long.groupBy("column").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))
-    qs = exact_quantiles(long, "value", list(percentiles), ["column"])
-    wide = qs.groupBy("column").agg(*[F.max(F.when(F.col("q_index") == i, F.col("quantile"))).alias(_pname(p))
-                                      for i, p in enumerate(percentiles)])
+    wide = qs.groupBy("column").agg(*[F.max(F.when(F.col("q") == p, F.col("quantile"))).alias(_pname(p)) for p in percentiles])
     out = moments.join(wide, on="column", how="left")
     cols = ["count", "mean", "std", "min", *[_pname(p) for p in percentiles], "max"]
     return out.select("column", *[F.round(F.col(c).cast("double"), 6).alias(c) for c in cols])
@@ -78,15 +85,16 @@ def _pname(p: float) -> str:
     return f"p{round(p * 100):d}" if abs(p * 100 - round(p * 100)) < 1e-9 else f"p{p * 100:g}".replace(".", "_")
 
 
-def extreme_values(df: DataFrame, exclude: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
-    """IQR fences (linear Q1/Q3, strict outside) per numeric column over non-null values."""
+def extreme_values(df: DataFrame, exclude: Sequence[str], columns: Sequence[str] | None = None,
+                   cells: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """IQR fences (linear Q1/Q3, strict outside) per numeric column over non-null values.
+
+    ``cells`` as in ``numeric_summary``, with ``EXTREME_PERCENTILES``."""
     columns = [c for c in (columns or numeric_columns(df)) if c not in set(exclude)]
-    long = stack(df, columns).where(F.col("value").isNotNull()).persist()
-    qs = exact_quantiles(long, "value", [0.25, 0.75, 0.99], ["column"])
-    bounds = qs.groupBy("column").agg(
-        F.max(F.when(F.col("q_index") == 0, F.col("quantile"))).alias("q1"),
-        F.max(F.when(F.col("q_index") == 1, F.col("quantile"))).alias("q3"),
-        F.max(F.when(F.col("q_index") == 2, F.col("quantile"))).alias("p99"))
+    long, qs = cells or _cells(df, columns, EXTREME_PERCENTILES)
+    long = long.where(F.col("value").isNotNull() & F.col("column").isin(columns))
+    bounds = qs.groupBy("column").agg(*[F.max(F.when(F.col("q") == p, F.col("quantile"))).alias(name)
+                                        for name, p in zip(("q1", "q3", "p99"), EXTREME_PERCENTILES)])
     bounds = bounds.withColumn("_iqr", F.col("q3") - F.col("q1")) \
         .withColumn("lower_bound", F.col("q1") - F.lit(1.5) * F.col("_iqr")) \
         .withColumn("upper_bound", F.col("q3") + F.lit(1.5) * F.col("_iqr"))
@@ -121,13 +129,16 @@ def suspicious_values(df: DataFrame, cols: CreditColumns) -> DataFrame:
 def full_summary(df: DataFrame, cols: CreditColumns) -> DataFrame:
     """E1-E7 as one long table (section, item, statistic, value).  ``item`` is the column, the
     class value of the target (null for missing targets), or null where the whole table is meant.
-    Duplicates are counted without the id, which would make every row differ."""
+    Duplicates are counted without the id, which would make every row differ.
+    The parts read the rows one after another, and two of them their cells and quantiles: both are made once."""
+    df = df.persist()
+    cells = _cells(df, numeric_columns(df), sorted({*SUMMARY_PERCENTILES, *EXTREME_PERCENTILES}))
     parts = [
         _as_long(shape(df.drop(cols.id)), "shape"),
         _as_long(target_counts(df, cols.target), "target", "value"),
         _as_long(missingness(df), "missingness", "column"),
-        _as_long(numeric_summary(df), "numeric", "column"),
-        _as_long(extreme_values(df, exclude=[cols.id, cols.target]), "extremes", "column"),
+        _as_long(numeric_summary(df, cells=cells), "numeric", "column"),
+        _as_long(extreme_values(df, exclude=[cols.id, cols.target], cells=cells), "extremes", "column"),
         _as_long(suspicious_values(df, cols), "suspicious"),
     ]
     out = parts[0]
