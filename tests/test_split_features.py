@@ -173,3 +173,28 @@ def test_smote_plan_stays_short(spark):
     out, _ = smote(df, "id", "y", list(COLS.features), seed=2)
     assert len(out._jdf.queryExecution().logical().toString()) < 50_000
     assert out.where("id < 0").count() == 5_000
+
+
+def test_neighbours_of_many_queries_are_found_at_once():
+    """A task works on arrays of queries; ties, repeated vectors, NaN and infinities against a plain search."""
+    import numpy as np
+
+    from riskloom.operators.imbalance import _cell_search
+
+    rng = np.random.default_rng(3)
+    for n, k in ((120, 5), (9, 4), (3, 5), (1, 2)):
+        rows = rng.integers(0, 4, (n, 3)).astype(float)
+        rows[rng.random(rows.shape) < 0.05] = np.nan
+        rows[rng.random(rows.shape) < 0.02] = np.inf
+        keys, got = np.arange(n), {}
+        blocks = list(_cell_search()[1](rows, keys, rows, keys, k))
+        assert len(blocks) == 1  # fails where each query comes by itself
+        for i, at, d2 in blocks:
+            for a, b, c in zip(i, at, d2):
+                got.setdefault(int(a), []).append((int(b), float(c)))
+        for i in range(n):
+            with np.errstate(invalid="ignore"):
+                far = sum((rows[i, j] - rows[:, j]) ** 2 for j in range(3))
+            want = sorted((p for p in range(n) if p != i), key=lambda p: (np.isnan(far[p]), 0 if np.isnan(far[p]) else far[p], p))[:k]
+            assert [p for p, _ in got.get(i, [])] == want
+            assert np.array_equal([c for _, c in got.get(i, [])], far[want], equal_nan=True)
